@@ -96,3 +96,8 @@ def hist_new_combine(df: DataFrame) -> DataFrame:
             "CLV_ratio": safe_ratio("new_CLV", "hist_CLV"),
         }
     )
+
+
+def union_folds(frames: Sequence[DataFrame]) -> DataFrame:
+    """Stack per-fold results, and the test cards, by column name."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
