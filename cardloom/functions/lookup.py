@@ -1,10 +1,10 @@
-"""Left joins of a log with a keyed table that stay balanced on hot keys."""
+"""Joining and laying out logs by a key, balanced also when one key is hot."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A table of at most this many rows is sent to every executor.
@@ -38,6 +38,48 @@ def lookup(
     return hot_split_lookup(rows, table, on)
 
 
+def most_frequent(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """The n most frequent non-null keys. Counts are combined before the shuffle."""
+    return (
+        rows.select(*[F.col(f"`{c}`") for c in keys])
+        .dropna()
+        .groupBy(*[F.col(f"`{c}`") for c in keys])
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .orderBy(F.desc("__n"), *[F.col(f"`{c}`") for c in keys])
+        .limit(n)
+        .drop("__n")
+    )
+
+
+def row_spread(rows: DataFrame) -> Column:
+    """0..SPREAD-1 from the row's content, the same when a task is run again."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(SPREAD))
+
+
+def clustered(
+    rows: DataFrame, key: str, hot_keys: int = HOT_KEYS, count_in: DataFrame | None = None
+) -> DataFrame:
+    """The rows shuffled so that a key's rows lie together, except that those of
+    the most frequent keys, and null keys, are spread over all partitions.
+
+    A wide aggregate by ``key`` over this layout combines nearly everything
+    before its own shuffle. Over rows in arrival order the map side would find
+    one row per key and ship a buffer many times wider than the row. Key counts
+    come from ``count_in`` where a plainer table has the same keys.
+    """
+    source = rows if count_in is None else count_in
+    hot = most_frequent(source, [key], hot_keys).withColumn("__hot", F.lit(1))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    apart = F.col("__hot").isNotNull() | F.col(f"`{key}`").isNull()
+    spread = F.when(apart, row_spread(rows)).otherwise(F.lit(0).cast("long"))
+    return (
+        marked.withColumn("__spread", spread)
+        .repartition(F.col(f"`{key}`"), F.col("__spread"))
+        .sortWithinPartitions(key)
+        .select(*[F.col(f"`{c}`") for c in rows.columns])
+    )
+
+
 def hot_split_lookup(
     rows: DataFrame,
     table: DataFrame,
@@ -59,14 +101,7 @@ def hot_split_lookup(
     for c in on:
         some_null = some_null | F.col(f"`{c}`").isNull()
 
-    frequent = (
-        rows.filter(~some_null)
-        .groupBy(*[F.col(f"`{c}`") for c in on])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .orderBy(F.desc("__n"), *on)
-        .limit(hot_keys)
-        .drop("__n")
-    )
+    frequent = most_frequent(rows, on, hot_keys)
     hot = table.join(F.broadcast(frequent), on, "left_semi").select(
         *[F.col(f"`{c}`") for c in on],
         F.struct(F.lit(1).alias("__hit"), *[F.col(f"`{c}`") for c in values]).alias("__hot"),
@@ -74,10 +109,9 @@ def hot_split_lookup(
     marked = rows.join(F.broadcast(hot), on, "left")
 
     # Spread value 0 can match; every other value matches nothing on purpose.
-    row_hash = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(SPREAD))
     apart = some_null | F.col("__hot").isNotNull()
     marked = marked.withColumn(
-        "__spread", F.when(apart, row_hash + F.lit(1)).otherwise(F.lit(0)).cast("long")
+        "__spread", F.when(apart, row_spread(rows) + F.lit(1)).otherwise(F.lit(0)).cast("long")
     )
     cold = table.select(
         *[F.col(f"`{c}`") for c in on],

@@ -75,10 +75,11 @@ AGGREGATES = {
 }
 
 
-def aggregate(name: str, column: str) -> Column:
-    if name not in AGGREGATES:
-        raise ValueError(f"unknown statistic {name!r} of {column}")
-    return F.expr(AGGREGATES[name].replace("{c}", f"`{column}`"))
+def aggregate(stat: str, column: str, name: str) -> Column:
+    """The statistic of the column under ``name``."""
+    if stat not in AGGREGATES:
+        raise ValueError(f"unknown statistic {stat!r} of {column}")
+    return F.expr(AGGREGATES[stat].replace("{c}", f"`{column}`") + f" AS `{name}`")
 
 
 def smoothed_mean(total: Column, n: Column, prior: Column, center: float = 85.0) -> Column:

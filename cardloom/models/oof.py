@@ -39,7 +39,9 @@ def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Staged card_id, target, fold and one feature vector, laid out by fold so a
     fold is read without scanning the others."""
     assembled = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(
-        df.select("card_id", "target", "fold", *[F.col(f"`{f}`").cast("double") for f in features])
+        df.selectExpr(
+            "card_id", "target", "fold", *[f"cast(`{f}` AS double) AS `{f}`" for f in features]
+        )
     )
     return staged(
         assembled.select("card_id", "target", "fold", VECTOR), "vectors", partition_by=["fold"]

@@ -6,39 +6,42 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 INF = float("inf")
 IS_TRAIN = "target IS NOT NULL"
-# Columns per statistics job; wider aggregates compile slowly.
-CHUNK = 200
 
 
 def column_stats(
     df: DataFrame, features: Sequence[str], aggregates: Mapping[str, str]
 ) -> dict[str, dict[str, float]]:
-    """One row of statistics per feature. ``aggregates`` are SQL texts over {c}."""
-    out: dict[str, dict[str, float]] = {}
-    for start in range(0, len(features), CHUNK):
-        chunk = features[start : start + CHUNK]
-        exprs = [
-            F.expr(sql.replace("{c}", f"cast(`{f}` AS double)")).alias(f"{name}_{i}")
-            for i, f in enumerate(chunk)
-            for name, sql in aggregates.items()
+    """One row of statistics per feature. ``aggregates`` are SQL texts over {c}.
+
+    The features are turned into rows and grouped by their position, so a
+    thousand of them need no more generated code than one, and each task ships
+    one partial result per feature.
+    """
+    values = ", ".join(f"cast(`{f}` AS double)" for f in features)
+    exprs = [F.expr(sql.replace("{c}", "v") + f" AS {name}") for name, sql in aggregates.items()]
+    found = (
+        df.selectExpr(f"posexplode(array({values})) AS (ix, v)").groupBy("ix").agg(*exprs).collect()
+    )
+    by_position = {r["ix"]: r for r in found}
+    empty = dict.fromkeys(aggregates)
+    return {
+        f: by_position[i].asDict() if i in by_position else empty for i, f in enumerate(features)
+    }
+
+
+def _replace(df: DataFrame, new: Mapping[str, str]) -> DataFrame:
+    """Columns by SQL text over {c}, the double value of the old column."""
+    return df.selectExpr(
+        *[
+            f"{new[c].replace('{c}', f'cast(`{c}` AS double)')} AS `{c}`" if c in new else f"`{c}`"
+            for c in df.columns
         ]
-        row = df.agg(*exprs).first()
-        for i, f in enumerate(chunk):
-            out[f] = {name: row[f"{name}_{i}"] for name in aggregates}
-    return out
-
-
-def _replace(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
-    return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])
-
-
-def _double(c: str) -> Column:
-    return F.col(f"`{c}`").cast("double")
+    )
 
 
 def replace_infinite(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -55,29 +58,29 @@ def replace_infinite(df: DataFrame, features: Sequence[str]) -> DataFrame:
             "has_lo": "max(CASE WHEN {c} = double('-inf') THEN 1 ELSE 0 END)",
         },
     )
-    train = F.col("target").isNotNull()
     new = {}
     for f, s in stats.items():
         hi, lo = s["hi"], s["lo"]
         if hi is None:
             # No finite value to lean on.
-            new[f] = F.when(F.abs(_double(f)) < INF, _double(f))
+            new[f] = finite
             continue
-        test_hi, test_lo = hi + (s["has_hi"] or 0), lo - (s["has_lo"] or 0)
-        c = _double(f)
+        test_hi, test_lo = hi + s["has_hi"], lo - s["has_lo"]
         new[f] = (
-            F.when(c == INF, F.when(train, hi + 1.0).otherwise(test_hi))
-            .when(c == -INF, F.when(train, lo - 1.0).otherwise(test_lo))
-            .otherwise(c)
+            f"CASE WHEN {{c}} = double('inf') THEN if({IS_TRAIN}, {hi + 1.0!r}D, {float(test_hi)!r}D)"
+            f" WHEN {{c}} = double('-inf') THEN if({IS_TRAIN}, {lo - 1.0!r}D, {float(test_lo)!r}D)"
+            " ELSE {c} END"
         )
     return _replace(df, new)
 
 
 def impute_train_mean(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """NULL becomes the mean of the train cards."""
+    """NULL becomes the mean of the train cards; a column without any train value
+    stays as it is."""
     stats = column_stats(df.filter(IS_TRAIN), features, {"mean": "avg({c})"})
     return _replace(
-        df, {f: F.coalesce(_double(f), F.lit(s["mean"]).cast("double")) for f, s in stats.items()}
+        df,
+        {f: f"coalesce({{c}}, {s['mean']!r}D)" for f, s in stats.items() if s["mean"] is not None},
     )
 
 
@@ -87,8 +90,8 @@ def minmax_scale(df: DataFrame, features: Sequence[str]) -> DataFrame:
     new = {}
     for f, s in stats.items():
         if s["lo"] is not None:
-            width = s["hi"] - s["lo"]
-            new[f] = (_double(f) - s["lo"]) / (width if width != 0 else 1.0)
+            width = (s["hi"] - s["lo"]) or 1.0
+            new[f] = f"({{c}} - {s['lo']!r}D) / {width!r}D"
     return _replace(df, new)
 
 
@@ -101,11 +104,11 @@ def standardize(df: DataFrame, features: Sequence[str]) -> DataFrame:
     new = {}
     for f, s in stats.items():
         if not s["n"]:
-            new[f] = F.lit(0.0)
+            new[f] = "0D"
             continue
         # Imputed rows sit on the mean, so they only widen the divisor.
-        sd = s["sd"] * (s["n"] / s["all"]) ** 0.5
-        new[f] = (F.coalesce(_double(f), F.lit(s["mean"])) - s["mean"]) / (sd if sd > 0 else 1.0)
+        sd = s["sd"] * (s["n"] / s["all"]) ** 0.5 or 1.0
+        new[f] = f"(coalesce({{c}}, {s['mean']!r}D) - {s['mean']!r}D) / {sd!r}D"
     return _replace(df, new)
 
 

@@ -67,4 +67,4 @@ def select_by_importance(
         for other in per_fold[1:]:
             ranked = ranked.unionByName(other)
         features = [r["feature"] for r in top_k_features(ranked, size).collect()]
-    return df.select("card_id", "outliers", "target", *[F.col(f"`{f}`") for f in features])
+    return df.select("card_id", "outliers", "target", *[f"`{f}`" for f in features])

@@ -30,13 +30,11 @@ NOT_FEATURES = (
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ("card_id",)) -> DataFrame:
-    return df.select(
-        *[F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").alias(prefix + c) for c in df.columns]
-    )
+    return df.selectExpr(*[f"`{c}`" if c in keep else f"`{c}` AS `{prefix}{c}`" for c in df.columns])
 
 
 def select_features(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in feature_names(df, exclude)])
+    return df.select(*[f"`{c}`" for c in feature_names(df, exclude)])
 
 
 def feature_names(df: DataFrame, exclude: Sequence[str] = NOT_FEATURES) -> list[str]:

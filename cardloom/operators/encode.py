@@ -8,13 +8,15 @@ encoding for a fold is the total less that fold.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.functions.lookup import lookup
-from cardloom.functions.stats import AGGREGATES, safe_ratio, smoothed_mean
+from cardloom.functions.lookup import SMALL_ROWS, clustered, hot_split_lookup, lookup
+from cardloom.functions.stats import AGGREGATES, smoothed_mean
 from cardloom.operators.folds import card_folds
 from cardloom.sources.staging import staged
 
@@ -40,6 +42,8 @@ _ENCODED_SQL = {
     "mean": "try_divide(sum({c}), count({c}))",
 }
 ENCODING_FOLDS = 7
+# Columns per grouped aggregate.
+BLOCK = 22
 LOG_SEED = 10
 DATE_SEED = 1199
 
@@ -130,8 +134,9 @@ def fold_statistics(labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
     return leave_fold_out(sums, ["key_ix", "value"])
 
 
-def encode_rows(labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """card_id and one ``<key>taren`` column per key for each row of the log."""
+def encode_rows(labelled: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, bool]:
+    """card_id and one ``<key>taren`` column per key for each row of the log, and
+    whether all encodings were broadcast, which leaves the rows in their place."""
     stats = staged(fold_statistics(labelled, keys), "fold-statistics")
     # One row per fold.
     overall = stats.filter(F.col("key_ix") == -1).collect()
@@ -140,12 +145,24 @@ def encode_rows(labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows = labelled.select(
         "card_id", "fold", *[F.col(k).cast("string").alias(f"__k{i}") for i, k in enumerate(keys)]
     )
+    table = stats.filter(F.col("key_ix") >= 0).select(
+        "key_ix", "value", "fold", encoding.alias("encoding")
+    )
+    sizes = {r["key_ix"]: r["count"] for r in table.groupBy("key_ix").count().collect()}
+    small = [i for i in range(len(keys)) if sizes.get(i, 0) <= SMALL_ROWS]
+    # All small encodings come over in one go: at most SMALL_ROWS per key.
+    local = table.filter(F.col("key_ix").isin(small)).toArrow()
     for i, k in enumerate(keys):
-        table = stats.filter(F.col("key_ix") == i).select(
-            F.col("value").alias(f"__k{i}"), "fold", encoding.alias(f"{k}taren")
-        )
-        rows = lookup(rows, table, [f"__k{i}", "fold"]).drop(f"__k{i}")
-    return rows.drop("fold")
+        on = [f"__k{i}", "fold"]
+        columns = [F.col("value").alias(f"__k{i}"), "fold", F.col("encoding").alias(f"{k}taren")]
+        if i in small:
+            part = local.filter(pc.equal(local["key_ix"], i))
+            part = rows.sparkSession.createDataFrame(part, table.schema).select(*columns)
+            rows = rows.join(F.broadcast(part), on, "left")
+        else:
+            part = table.filter(F.col("key_ix") == i).select(*columns)
+            rows = hot_split_lookup(rows, part, on)
+    return rows.select("card_id", *[f"{k}taren" for k in keys]), len(small) == len(keys)
 
 
 def ratio_name(a: str, b: str) -> str:
@@ -154,20 +171,26 @@ def ratio_name(a: str, b: str) -> str:
 
 def target_ratio_pairs(encoded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Adds the ratio of each pair of encodings."""
-    return encoded.withColumns(
-        {ratio_name(a, b): safe_ratio(f"{a}taren", f"{b}taren") for a, b in combinations(keys, 2)}
-    )
+    ratios = (f"try_divide({a}taren, {b}taren) AS {ratio_name(a, b)}" for a, b in combinations(keys, 2))
+    return encoded.selectExpr("*", *ratios)
 
 
 def encoding_profile(encoded: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
     """Per card sum, mean, max, min and var of the given columns. Mean is taken
-    from sum and count to keep the aggregation buffer small."""
-    exprs = [
-        F.expr(sql.replace("{c}", f"`{name}`")).alias(f"{prefix}{name}_{stat}")
-        for name in columns
-        for stat, sql in _ENCODED_SQL.items()
-    ]
-    return encoded.groupBy("card_id").agg(*exprs)
+    from sum and count to keep the aggregation buffer small, and the columns are
+    aggregated in blocks, since a single buffer of hundreds of values outgrows
+    generated code. The blocks share the partitioning by card."""
+
+    def block(names: Sequence[str]) -> DataFrame:
+        exprs = [
+            F.expr(sql.replace("{c}", f"`{name}`") + f" AS `{prefix}{name}_{stat}`")
+            for name in names
+            for stat, sql in _ENCODED_SQL.items()
+        ]
+        return encoded.groupBy("card_id").agg(*exprs)
+
+    blocks = [block(columns[i : i + BLOCK]) for i in range(0, len(columns), BLOCK)]
+    return reduce(lambda a, b: a.join(b, "card_id"), blocks)
 
 
 def join_encoding_left(cards: DataFrame, encoding: DataFrame) -> DataFrame:
@@ -188,10 +211,14 @@ def oof_target_encode(
     folds = staged(card_folds(cards, k, seed), "card-folds")
     known = log.filter(F.col("card_id").isNotNull()).select("card_id", *keys)
     labelled = label_transactions(known, folds).filter(F.col("fold").isNotNull())
-    encoded = encode_rows(labelled, keys)
+    # Narrow rows, written once card by card, for the passes below.
+    labelled = staged(clustered(labelled, "card_id", count_in=known), "labelled")
+    encoded, in_place = encode_rows(labelled, keys)
     names = [f"{c}taren" for c in keys]
     if ratios:
-        encoded = target_ratio_pairs(encoded, keys)
+        if not in_place:
+            encoded = clustered(encoded, "card_id", count_in=labelled)
+        encoded = target_ratio_pairs(staged(encoded, "encoded"), keys)
         names += [ratio_name(a, b) for a, b in combinations(keys, 2)]
     return join_encoding_left(folds.select("card_id"), encoding_profile(encoded, names, prefix))
 

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.functions.lookup import lookup
+from cardloom.functions.lookup import clustered, hot_split_lookup, lookup, pulled
 from cardloom.operators import calendar, cleaning
-from cardloom.operators.profiles import agg_spec, enrich, merchant_spec, purchase_span
+from cardloom.operators.columns import prefix_columns
+from cardloom.operators.profiles import LOG_COLUMNS, agg_spec, enrich, merchant_spec, purchase_span
+from cardloom.sources.staging import staged
 
+# Merchant columns per grouped aggregate.
+BLOCK = 25
 COMBINED_PREFIX = "mer+his"
 LOOKUP_PREFIX = "mer1"
 DATES = ("purchase_date_max", "purchase_date_min")
@@ -19,6 +24,10 @@ DATES = ("purchase_date_max", "purchase_date_min")
 def merchant_profile(
     log: DataFrame, prefix: str, as_of: str, holidays: Mapping[str, str], amount: str
 ) -> DataFrame:
+    # Logs are kept card by card, so a merchant's rows are everywhere: bring them
+    # together while they are narrow.
+    narrow = cleaning.fill_defaults(log.select(*LOG_COLUMNS))
+    log = staged(clustered(narrow, "merchant_id"), "by-merchant")
     df = enrich(log, as_of, holidays, amount, installments_plus1=True)
     df = agg_spec(df, "merchant_id", merchant_spec(tuple(holidays)), prefix)
     return purchase_span(df, as_of, prefix, size="merchant_id_size")
@@ -55,30 +64,27 @@ def merchant_combined(new_profile: DataFrame, hist_profile: DataFrame) -> DataFr
         for c in hist_profile.columns
         if c != "merchant_id" and not c.endswith(DATES)
     ]
-    zero = F.lit(0.0)
-    return joined.select(
+    return joined.selectExpr(
         "merchant_id",
         *[
-            (
-                F.coalesce(F.col(f"`new_{n}`").cast("double"), zero)
-                + F.coalesce(F.col(f"`hist_{n}`").cast("double"), zero)
-            ).alias(f"{COMBINED_PREFIX}hist_{n}")
+            f"coalesce(cast(`new_{n}` AS double), 0D) + coalesce(cast(`hist_{n}` AS double), 0D)"
+            f" AS `{COMBINED_PREFIX}hist_{n}`"
             for n in names
         ],
     )
 
 
-def merchant_lookup(log: DataFrame, merchants: DataFrame) -> DataFrame:
-    """The merchant's profile on each row; NULLs for an unknown merchant."""
-    renamed = merchants.select(
-        "merchant_id",
-        *[
-            F.col(f"`{c}`").alias(LOOKUP_PREFIX + c)
-            for c in merchants.columns
-            if c != "merchant_id"
-        ],
-    )
-    return lookup(log, renamed, ["merchant_id"])
+def merchant_lookup(
+    log: DataFrame, merchants: DataFrame, small: bool | None = None
+) -> DataFrame:
+    """The merchant's profile on each row; NULLs for an unknown merchant.
+    ``small`` says that the profile is already known to fit a broadcast."""
+    renamed = prefix_columns(merchants, LOOKUP_PREFIX, keep=("merchant_id",))
+    if small is None:
+        return lookup(log, renamed, ["merchant_id"])
+    if small:
+        return log.join(F.broadcast(renamed), "merchant_id", "left")
+    return hot_split_lookup(log, renamed, ["merchant_id"])
 
 
 def card_merchant_profile(log: DataFrame, merchants: DataFrame, prefix: str = "new_") -> DataFrame:
@@ -87,24 +93,32 @@ def card_merchant_profile(log: DataFrame, merchants: DataFrame, prefix: str = "n
     The log is first reduced to one row per card and merchant with a count, so
     the profile meets each pair once however often the card shopped there.
     """
-    visits = (
+    visits = staged(
         cleaning.fill_defaults(log)
         .filter(F.col("card_id").isNotNull())
         .groupBy("card_id", "merchant_id")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.count(F.lit(1)).alias("__n")),
+        "visits",
     )
-    joined = merchant_lookup(visits, merchants)
-    stats = []
-    for c in merchants.columns:
-        if c == "merchant_id":
-            continue
-        name = LOOKUP_PREFIX + c
-        v = f"`{name}`"
-        total, n = f"sum({v} * __n)", f"sum(CASE WHEN {v} IS NOT NULL THEN __n END)"
-        stats += [
-            F.expr(f"coalesce({total}, 0D)").alias(f"{prefix}{name}_sum"),
-            F.expr(f"try_divide({total}, {n})").alias(f"{prefix}{name}_mean"),
-            F.expr(f"min({v})").alias(f"{prefix}{name}_min"),
-            F.expr(f"max({v})").alias(f"{prefix}{name}_max"),
-        ]
-    return joined.groupBy("card_id").agg(*stats)
+    names = [c for c in merchants.columns if c != "merchant_id"]
+    table = pulled(merchants)
+    merchants = merchants if table is None else table
+
+    def block(columns: Sequence[str]) -> DataFrame:
+        side = merchants.select("merchant_id", *[f"`{c}`" for c in columns])
+        joined = merchant_lookup(visits, side, small=table is not None)
+        stats = []
+        for c in columns:
+            name = LOOKUP_PREFIX + c
+            v = f"`{name}`"
+            total, n = f"sum({v} * __n)", f"sum(CASE WHEN {v} IS NOT NULL THEN __n END)"
+            stats += [
+                F.expr(f"coalesce({total}, 0D) AS `{prefix}{name}_sum`"),
+                F.expr(f"try_divide({total}, {n}) AS `{prefix}{name}_mean`"),
+                F.expr(f"min({v}) AS `{prefix}{name}_min`"),
+                F.expr(f"max({v}) AS `{prefix}{name}_max`"),
+            ]
+        return joined.groupBy("card_id").agg(*stats)
+
+    blocks = [block(names[i : i + BLOCK]) for i in range(0, len(names), BLOCK)]
+    return reduce(lambda a, b: a.join(b, "card_id"), blocks)

@@ -21,6 +21,22 @@ Spec = dict[str, tuple[str, ...]]
 # Integer columns known to lie in 0..63.
 CALENDAR_COLUMNS = ("month", "day", "hour", "weekofyear", "weekday")
 
+# What the profiles read of a log.
+LOG_COLUMNS = (
+    "card_id",
+    "merchant_id",
+    "merchant_category_id",
+    "subsector_id",
+    "authorized_flag",
+    "category_1",
+    "category_2",
+    "category_3",
+    "installments",
+    "purchase_amount",
+    "purchase_date",
+    "month_lag",
+)
+
 SIX = ("sum", "max", "min", "mean", "var", "skew")
 
 
@@ -39,11 +55,11 @@ def agg_spec(df: DataFrame, key: str, spec: Mapping[str, Sequence[str]], prefix:
             name = f"{prefix}{column}_{stat}"
             names.append(name)
             if stat != "nunique":
-                plain.append(aggregate(stat, column).alias(name))
+                plain.append(aggregate(stat, column, name))
             elif column in CALENDAR_COLUMNS:
-                plain.append(aggregate("small_nunique", column).alias(name))
+                plain.append(aggregate("small_nunique", column, name))
             else:
-                counted.append(aggregate(stat, column).alias(name))
+                counted.append(aggregate(stat, column, name))
     out = [key, *[f"`{n}`" for n in names]]
     if not counted:
         return df.groupBy(key).agg(*plain).select(*out)
@@ -76,7 +92,7 @@ def category_amount_stats(
         "mean": F.try_divide(F.sum("s"), F.sum("n")),
         "min": F.min("lo"),
         "max": F.max("hi"),
-        "sum": aggregate("sum", "s"),
+        "sum": F.coalesce(F.sum("s"), F.lit(0.0)),
     }
     for c in columns:
         table = (

@@ -51,24 +51,24 @@ ROUNDED = (
 def present(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            c = c.cast("bigint")
+            c = f"cast({c} AS bigint)"
         elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.expr(ROUNDED.replace("{c}", f"cast(`{f.name}` AS double)"))
+            c = ROUNDED.replace("{c}", f"cast({c} AS double)")
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            c = c.cast("string")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            c = f"cast({c} AS string)"
+        out.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
-def floating(df: DataFrame, keep: tuple[str, ...] = ("card_id", "merchant_id")) -> DataFrame:
+def floating(df: DataFrame) -> DataFrame:
     """All numbers as double: for wide profiles that mix counts and means."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name)
-            if isinstance(f.dataType, T.NumericType) and f.name not in keep
-            else F.col(f"`{f.name}`")
+            f"cast(`{f.name}` AS double) AS `{f.name}`"
+            if isinstance(f.dataType, T.NumericType)
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
@@ -580,7 +580,7 @@ def _(s):
         "installments": ("sum", "count", "nunique"),
         "merchant_id": ("nunique", "size"),
     }
-    return floating(profiles.agg_spec(s.hist, "state_id", spec, "p_"), ())
+    return floating(profiles.agg_spec(s.hist, "state_id", spec, "p_"))
 
 
 @query("hist_card_profile")
