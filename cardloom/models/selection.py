@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cardloom.models.oof import _fit, gbt, vectors
 from cardloom.models.scaling import model_inputs
 from cardloom.operators.columns import feature_names
+from cardloom.sources.staging import staged
 
 KEEP = (1000, 500, 300)
 SELECTION_SEED = 120
@@ -59,7 +60,7 @@ def select_by_importance(
     outliers, target, fold and the features."""
     features = [f for f in feature_names(df) if f != "fold"]
     estimator = estimator or gbt(maxDepth=7, maxIter=100, stepSize=0.05)
-    inputs = model_inputs(df, features)
+    inputs = staged(model_inputs(df, features), "inputs")
     for size in keep:
         data = vectors(inputs, features)
         per_fold = [feature_importance(data, features, estimator, f) for f in folds]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardloom.operators.cleaning import round_target
+from cardloom.operators.cleaning import round_target, split_train_test
 
 # Buckets per class when shuffling: 16 ** HEX_DIGITS.
 HEX_DIGITS = 3
@@ -122,8 +122,6 @@ def stratified_folds(train: DataFrame, k: int, seed: int, key: str = "card_id")
 
 def card_folds(cards: DataFrame, k: int, seed: int) -> DataFrame:
     """card_id, target, fold for all cards; test cards get fold -1."""
-    from cardloom.operators.cleaning import split_train_test
-
     train, test = split_train_test(cards.select("card_id", "target"))
     return stratified_folds(train, k, seed).unionByName(
         test.withColumn("fold", F.lit(-1))
