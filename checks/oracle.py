@@ -351,8 +351,8 @@ ORACLES["recode_category3"] = over(
     'category_3')} FROM newlog"""
 )
 ORACLES["restore_amount"] = over(
-    f"""SELECT {ROW}, {dbl('purchase_amount / 0.00150265118e0 + 497.06e0', 'purchase_amount')}
-    FROM hist"""
+    f"""SELECT {ROW},
+    {dbl('round_even(purchase_amount / 0.00150265118e0 + 497.06e0, 8)', 'purchase_amount')} FROM hist"""
 )
 ORACLES["parse_dates"] = over(
     f"""SELECT card_id, {txt('first_active_month', 'day')},
