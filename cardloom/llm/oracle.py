@@ -127,29 +127,31 @@ FROM o GROUP BY conv_id, speaker, part
 
 _VOTES = (
     ("n_symbols::DOUBLE / n_words", 0.1, 0.02),
+    ("n_punctuation::DOUBLE / word_chars", 0.12, 0.08),
     ("n_capitals::DOUBLE / word_chars", 0.5, 0.1),
+    ("n_marks::DOUBLE / n_words", 0.3, 0.05),
     ("n_repeat_words::DOUBLE / n_words", 0.4, 0.2),
     ("n_dup_lines::DOUBLE / n_lines", 0.5, 0.3),
-    ("n_marks::DOUBLE / n_words", 0.3, 0.05),
     ("abs(word_chars::DOUBLE / n_words - 5.5)", 4.5, 3.0),
 )
+RULES = range(len(_VOTES))
+_ODDS = "ln(m.good / (1 - m.good))" + "".join(
+    f" + CASE v{i} WHEN 1 THEN ln(m.g{i}p / m.b{i}p) WHEN -1 THEN ln(m.g{i}m / m.b{i}m) ELSE ln(m.g{i}z / m.b{i}z) END"
+    for i in RULES
+)
 
 
 def _em_step(k: int) -> str:
     """One round of expectation-maximisation: the model m{k} from m{k-1}."""
-    odds = "ln(m.good / (1 - m.good))" + "".join(
-        f" + CASE v{i} WHEN 1 THEN ln(m.g{i}p / m.b{i}p) WHEN -1 THEN ln(m.g{i}m / m.b{i}m) ELSE ln(m.g{i}z / m.b{i}z) END"
-        for i in range(6)
-    )
     names = {"p": 1, "z": 0, "m": -1}
     chances = ", ".join(
         f"(coalesce(sum(p * n) FILTER (v{i} = {v}), 0) + 1) / (sum(p * n) + 3) AS g{i}{c}, "
         f"(coalesce(sum((1 - p) * n) FILTER (v{i} = {v}), 0) + 1) / (sum((1 - p) * n) + 3) AS b{i}{c}"
-        for i in range(6)
+        for i in RULES
         for c, v in names.items()
     )
     return (
-        f"e{k} AS MATERIALIZED (SELECT pat.*, 1 / (1 + exp(-({odds}))) AS p FROM pat, m{k - 1} m), "
+        f"e{k} AS MATERIALIZED (SELECT pat.*, 1 / (1 + exp(-({_ODDS}))) AS p FROM pat, m{k - 1} m), "
         f"m{k} AS MATERIALIZED (SELECT (sum(p * n) + 1) / (sum(n) + 2) AS good, {chances} FROM e{k})"
     )
 
@@ -161,14 +163,10 @@ def quality(rounds: int = 15) -> str:
         for i, (value, bad, good) in enumerate(_VOTES)
     )
     first = ", ".join(
-        f"0.72::DOUBLE AS g{i}p, 0.2::DOUBLE AS g{i}z, 0.08::DOUBLE AS g{i}m, 0.08::DOUBLE AS b{i}p, 0.2::DOUBLE AS b{i}z, 0.72::DOUBLE AS b{i}m"
-        for i in range(6)
+        f"0.9::DOUBLE AS g{i}p, 0.08::DOUBLE AS g{i}z, 0.02::DOUBLE AS g{i}m, 0.5::DOUBLE AS b{i}p, 0.1::DOUBLE AS b{i}z, 0.4::DOUBLE AS b{i}m"
+        for i in RULES
     )
     steps = ", ".join(_em_step(k) for k in range(1, rounds + 1))
-    last = "ln(m.good / (1 - m.good))" + "".join(
-        f" + CASE v{i} WHEN 1 THEN ln(m.g{i}p / m.b{i}p) WHEN -1 THEN ln(m.g{i}m / m.b{i}m) ELSE ln(m.g{i}z / m.b{i}z) END"
-        for i in range(6)
-    )
     bare = "regexp_replace({}, '" + SPACE + "', '', 'g')"
     return f"""
 base AS MATERIALIZED (
@@ -184,14 +182,15 @@ base AS MATERIALIZED (
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(reps.n, 0)::BIGINT AS n_repeat_words,
          len(l) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
-         length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks
+         length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks,
+         length(regexp_replace(t, '[^\\x21-\\x2F\\x3A-\\x40\\x5B\\x5D-\\x60\\x7B-\\x7E]', '', 'g')) AS n_punctuation
   FROM base LEFT JOIN reps USING (doc_id)
 ), voted AS MATERIALIZED (SELECT *, {votes} FROM feat
-), pat AS MATERIALIZED (SELECT v0, v1, v2, v3, v4, v5, count(*)::DOUBLE AS n FROM voted GROUP BY ALL
+), pat AS MATERIALIZED (SELECT {', '.join(f'v{i}' for i in RULES)}, count(*)::DOUBLE AS n FROM voted GROUP BY ALL
 ), m0 AS (SELECT 0.8::DOUBLE AS good, {first}), {steps}, judged AS (
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
          NOT base_failed AND p >= 0.5 AS kept
-  FROM (SELECT voted.*, 1 / (1 + exp(-({last}))) AS p, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM (SELECT voted.*, 1 / (1 + exp(-({_ODDS}))) AS p, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
         FROM voted, m{rounds} m)
 )"""
 

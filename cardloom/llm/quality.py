@@ -13,6 +13,7 @@ Only counts of vote patterns are needed: at most ``3 ** rules`` rows.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +30,20 @@ KEEP = 0.5
 # Rule: (name, value, bad at or above, good at or below). Between them it abstains.
 RULES = (
     ("symbols", "n_symbols / n_words", 0.1, 0.02),
+    ("punctuation", "n_punctuation / word_chars", 0.12, 0.08),
     ("capitals", "n_capitals / word_chars", 0.5, 0.1),
+    ("marks", "n_marks / n_words", 0.3, 0.05),
     ("repeated_words", "n_repeat_words / n_words", 0.4, 0.2),
     ("repeated_lines", "n_dup_lines / n_lines", 0.5, 0.3),
-    ("marks", "n_marks / n_words", 0.3, 0.05),
     ("word_length", "abs(word_chars / n_words - 5.5)", 4.5, 3.0),
 )
-# What is assumed before counting: the share of good documents, and how often a
-# rule that votes is right.
-PRIOR_GOOD, PRIOR_RIGHT = 0.8, 0.9
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"
+# Where the estimate begins: a good document rarely trips a rule, a bad one trips
+# some and passes others. Chances of votes good, none and bad.
+PRIOR_GOOD = 0.8
+ON_GOOD, ON_BAD = (0.9, 0.08, 0.02), (0.5, 0.1, 0.4)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_MORE = ("n_lines", "n_capitals", "n_marks")
+_MORE = ("n_lines", "n_punctuation", "n_capitals", "n_marks")
 
 
 def _without(text: str, characters: str) -> str:
@@ -48,27 +52,34 @@ def _without(text: str, characters: str) -> str:
 
 
 def with_features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with the counts of ``BASE`` and three more (64-bit), and the column
+    """``docs`` with the counts of ``BASE`` and four more (64-bit), and the column
     that has each: another name where ``docs`` has that one already.
 
     Words are runs of characters other than ASCII spaces. ``n_repeat_words`` counts the words
     that lie in a run of three words found at least twice in the text.
     """
-    text, words, runs, places, rows = (
-        fresh(docs, c) for c in ("text_", "words_", "runs_", "places_", "lines_")
+    text, words, hashes, runs, places, rows = (
+        fresh(docs, c) for c in ("text_", "words_", "hashes_", "runs_", "places_", "lines_")
     )
     df = docs.withColumn(text, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     df = df.withColumn(
         words,
         F.expr(f"filter(split(`{text}`, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"),
     )
-    # Hashes of all runs of three words with their places, equal ones side by side.
+    df = df.withColumn(
+        hashes,
+        F.expr(
+            f"if(size(`{words}`) < 3, array(), transform(slice(`{words}`, 1, size(`{words}`) - 2), (w, i) ->"
+            f" xxhash64(w, element_at(`{words}`, i + 2), element_at(`{words}`, i + 3))))"
+        ),
+    )
+    # All runs of three words with their places, equal ones side by side; nothing
+    # to sort where they all differ.
     df = df.withColumn(
         runs,
         F.expr(
-            f"sort_array(if(size(`{words}`) < 3, array(), transform(slice(`{words}`, 1, size(`{words}`) - 2),"
-            f" (w, i) -> struct(xxhash64(w, element_at(`{words}`, i + 2), element_at(`{words}`, i + 3)) as h,"
-            " i as i))))"
+            f"if(size(array_distinct(`{hashes}`)) = size(`{hashes}`), array(),"
+            f" sort_array(transform(`{hashes}`, (h, i) -> struct(h as h, i as i))))"
         ),
     )
     # Places of those that occur again, in order of place.
@@ -93,13 +104,20 @@ def with_features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, d
         "n_repeat_words": f"aggregate(`{places}`, struct(0L as n, -3 as last), (a, p) ->"
         " struct(a.n + least(3, p - a.last) as n, p as last), a -> a.n)",
         "n_lines": f"size({lines})",
+        "n_punctuation": f"length({t}) - length({_without(t, PUNCTUATION)})",
         "n_capitals": f"length({t}) - length({_without(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')})",
         "n_marks": f"length({t}) - length({_without(t, '!?')})",
     }
     names = {k: fresh(docs, k) for k in values}
+    # As the output of a generator the counts are made once per row: a filter on
+    # plain expressions would be pushed down and make all of the above again for each use.
+    counted = fresh(docs, "counts_")
+    counts = F.struct(*[F.expr(v).cast("long").alias(k) for k, v in values.items()])
     out = df.select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(counts)).alias(counted)
+    ).select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        *[F.expr(v).cast("long").alias(names[k]) for k, v in values.items()],
+        *[F.col(f"`{counted}`.{k}").alias(names[k]) for k in values],
     )
     return out, names
 
@@ -108,8 +126,7 @@ def votes(names: dict[str, str]) -> list[Column]:
     """Of every rule 1 (good), -1 (bad) or 0 (abstains; also where there is no word)."""
     out = []
     for _, value, bad, good in RULES:
-        for k in (*BASE, *_MORE):
-            value = value.replace(k, f"cast(`{names[k]}` as double)")
+        value = re.sub(r"\w+_\w+", lambda m: f"cast(`{names[m[0]]}` as double)", value)
         known = f"`{names['n_words']}` > 0"
         out.append(
             F.expr(
@@ -128,11 +145,10 @@ def failed(names: dict[str, str]) -> Column:
 
 def first_model() -> dict:
     """Share of good documents; per rule the chances of votes 1, 0 and -1."""
-    good = {1: PRIOR_RIGHT * 0.8, 0: 0.2, -1: (1 - PRIOR_RIGHT) * 0.8}
     return {
         "good": PRIOR_GOOD,
-        "on_good": [dict(good) for _ in RULES],
-        "on_bad": [{v: good[-v] for v in good} for _ in RULES],
+        "on_good": [dict(zip((1, 0, -1), ON_GOOD)) for _ in RULES],
+        "on_bad": [dict(zip((1, 0, -1), ON_BAD)) for _ in RULES],
     }
 
 
