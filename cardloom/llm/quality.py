@@ -126,7 +126,11 @@ def votes(names: dict[str, str]) -> list[Column]:
     """Of every rule 1 (good), -1 (bad) or 0 (abstains; also where there is no word)."""
     out = []
     for _, value, bad, good in RULES:
-        value = re.sub(r"\w+_\w+", lambda m: f"cast(`{names[m[0]]}` as double)", value)
+        # No lines or words: nothing to divide by, and null is neither bad nor good.
+        value = re.sub(r"(\w+) / (\w+)", r"try_divide(\1, \2)", value)
+        value = re.sub(
+            r"\b(n_\w+|word_chars)", lambda m: f"cast(`{names[m[0]]}` as double)", value
+        )
         known = f"`{names['n_words']}` > 0"
         out.append(
             F.expr(

@@ -29,11 +29,11 @@ PREFIXES = (4, 5, 6)
 MAX_TRAIN = 8_000
 ROUNDS = 200
 RATE = 0.15
-# Weight that a feature must earn: documents' worth of slope taken off its weight.
-PENALTY = 1.0
+# What a feature must earn: so many documents' worth of slope is taken off its weight.
+PENALTY = 0.5
 # Only a feature whose documents are toxic more often than all are, by so many
 # standard deviations, gets a weight; it is never negative.
-MIN_SCORE = 3.0
+MIN_SCORE = 2.5
 # The log-odds of a sentence without known features, before fitting.
 START = -6.0
 THRESHOLD = 0.3

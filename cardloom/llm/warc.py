@@ -92,7 +92,7 @@ def resolve(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def _name(page_id: str, copy: str) -> Column:
     return F.concat(
         F.lit(f"<{_ID}"), F.coalesce(F.col(page_id).cast("string"), F.lit("none")), F.lit(":"),
-        F.col(copy).cast("string"), F.lit(">"),
+        F.col(copy).cast("string"), F.lit(":"), F.col("payload_digest"), F.lit(">"),
     )
 
 
@@ -198,7 +198,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     read, with ``payloads`` also the ``payload`` itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        page = lambda name: int(m[1]) if name and (m := re.search(r":(-?\d+):", name)) else None
+        page = lambda name: int(m[1]) if name and (m := re.match(rf"<{_ID}(-?\d+):", name)) else None
         names = [f.split()[0] for f in _FIELDS.split(", ")] + ["payload_bytes", "payload_digest"]
         kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
         if payloads:
