@@ -7,19 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table of at most this many rows is sent to every executor.
+from cardloom.sources.staging import staged
+
+# A table of at most this many rows and bytes is sent to every executor.
 SMALL_ROWS = 10_000
-# Number of most frequent keys treated apart when the table is larger. Any key
-# outside them holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1_000
+SMALL_BYTES = 8 << 20
 SPREAD = 4_096
 
 
-def pulled(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """The same rows as a local table when there are at most ``max_rows``, else
-    None. Computes the table once and never fetches more than the limit."""
+def pulled(
+    table: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES
+) -> DataFrame | None:
+    """The same rows as a local table when there are at most ``max_rows`` of at most
+    ``max_bytes``, else None. Never fetches more rows than the limit."""
     rows = table.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
         return None
     return table.sparkSession.createDataFrame(rows, table.schema)
 
@@ -30,25 +32,25 @@ def lookup(
     on: Sequence[str],
     max_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Left join; ``table`` has one row per key. A table within ``max_rows`` is
-    broadcast, a larger one is joined by shuffle with its hot keys apart."""
+    """Left join; ``table`` has one row per key. It is computed once, as a stage. A
+    small one is broadcast, a larger one joined by shuffle with its hot keys apart."""
+    table = staged(table, "lookup")
     small = pulled(table, max_rows)
     if small is not None:
         return rows.join(F.broadcast(small), list(on), "left")
     return hot_split_lookup(rows, table, on)
 
 
-def most_frequent(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """The n most frequent non-null keys. Counts are combined before the shuffle."""
-    return (
-        rows.select(*[F.col(f"`{c}`") for c in keys])
-        .dropna()
-        .groupBy(*[F.col(f"`{c}`") for c in keys])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .orderBy(F.desc("__n"), *[F.col(f"`{c}`") for c in keys])
-        .limit(n)
-        .drop("__n")
-    )
+def hot(rows: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The non-null keys with more than 1/``parts`` of these rows each, so fewer than
+    ``parts`` of them however the rows are spread; any other key fits into a
+    shuffle partition of mean size. ``parts`` is the number of shuffle partitions if
+    not given. Counts are combined before the shuffle."""
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = [F.col(f"`{c}`") for c in keys]
+    counts = rows.select(*names).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    share = counts.agg(F.sum("__n") / F.lit(parts)).scalar()
+    return counts.where(F.col("__n") > share).drop("__n")
 
 
 def row_spread(rows: DataFrame) -> Column:
@@ -57,10 +59,10 @@ def row_spread(rows: DataFrame) -> Column:
 
 
 def clustered(
-    rows: DataFrame, key: str, hot_keys: int = HOT_KEYS, count_in: DataFrame | None = None
+    rows: DataFrame, key: str, parts: int | None = None, count_in: DataFrame | None = None
 ) -> DataFrame:
     """The rows shuffled so that a key's rows lie together, except that those of
-    the most frequent keys, and null keys, are spread over all partitions.
+    every hot key, and null keys, are spread over all partitions.
 
     A wide aggregate by ``key`` over this layout combines nearly everything
     before its own shuffle. Over rows in arrival order the map side would find
@@ -68,8 +70,9 @@ def clustered(
     come from ``count_in`` where a plainer table has the same keys.
     """
     source = rows if count_in is None else count_in
-    hot = most_frequent(source, [key], hot_keys).withColumn("__hot", F.lit(1))
-    marked = rows.join(F.broadcast(hot), key, "left")
+    # Fewer keys than partitions are sent.
+    apart = hot(source, [key], parts).withColumn("__hot", F.lit(1))
+    marked = rows.join(F.broadcast(apart), key, "left")
     apart = F.col("__hot").isNotNull() | F.col(f"`{key}`").isNull()
     spread = F.when(apart, row_spread(rows)).otherwise(F.lit(0).cast("long"))
     return (
@@ -84,12 +87,12 @@ def hot_split_lookup(
     rows: DataFrame,
     table: DataFrame,
     on: Sequence[str],
-    hot_keys: int = HOT_KEYS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Left join by shuffle, exact for any key distribution.
 
-    The ``hot_keys`` most frequent keys meet a broadcast slice of the table
-    (its size is bounded by the limit). All other rows are shuffled on the key;
+    The ``hot`` keys meet a broadcast slice of the table (fewer rows than there
+    are partitions). All other rows are shuffled on the key;
     hot rows and rows with a null key pass through that shuffle spread over
     many partitions instead of piling up in one.
     """
@@ -101,12 +104,12 @@ def hot_split_lookup(
     for c in on:
         some_null = some_null | F.col(f"`{c}`").isNull()
 
-    frequent = most_frequent(rows, on, hot_keys)
-    hot = table.join(F.broadcast(frequent), on, "left_semi").select(
+    frequent = hot(rows, on, parts)
+    few = table.join(F.broadcast(frequent), on, "left_semi").select(
         *[F.col(f"`{c}`") for c in on],
         F.struct(F.lit(1).alias("__hit"), *[F.col(f"`{c}`") for c in values]).alias("__hot"),
     )
-    marked = rows.join(F.broadcast(hot), on, "left")
+    marked = rows.join(F.broadcast(few), on, "left")
 
     # Spread value 0 can match; every other value matches nothing on purpose.
     apart = some_null | F.col("__hot").isNotNull()

@@ -43,9 +43,10 @@ def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
             "card_id", "target", "fold", *[f"cast(`{f}` AS double) AS `{f}`" for f in features]
         )
     )
-    return staged(
-        assembled.select("card_id", "target", "fold", VECTOR), "vectors", partition_by=["fold"]
-    )
+    # By fold and some of the rows, so that a fold is a few files and not one per task.
+    rows = assembled.select("card_id", "target", "fold", VECTOR)
+    rows = rows.repartition("fold", F.pmod(F.xxhash64("card_id"), F.lit(8)))
+    return staged(rows, "vectors", partition_by=["fold"])
 
 
 def gbt(seed: int = 459, **params) -> Estimator:

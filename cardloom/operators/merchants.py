@@ -104,9 +104,11 @@ def card_merchant_profile(log: DataFrame, merchants: DataFrame, prefix: str = "n
     table = pulled(merchants)
     merchants = merchants if table is None else table
 
+    joined = merchant_lookup(visits, merchants, small=table is not None)
+    if table is None:
+        joined = staged(joined, "visited")  # joined once for all blocks
+
     def block(columns: Sequence[str]) -> DataFrame:
-        side = merchants.select("merchant_id", *[f"`{c}`" for c in columns])
-        joined = merchant_lookup(visits, side, small=table is not None)
         stats = []
         for c in columns:
             name = LOOKUP_PREFIX + c

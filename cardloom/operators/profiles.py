@@ -18,9 +18,6 @@ from cardloom.operators import amounts, calendar, cleaning
 
 Spec = dict[str, tuple[str, ...]]
 
-# Integer columns known to lie in 0..63.
-CALENDAR_COLUMNS = ("month", "day", "hour", "weekofyear", "weekday")
-
 # What the profiles read of a log.
 LOG_COLUMNS = (
     "card_id",
@@ -46,20 +43,17 @@ def agg_spec(df: DataFrame, key: str, spec: Mapping[str, Sequence[str]], prefix:
     Open-ended distinct counts run as a narrow aggregate of their own: in one
     aggregate with the rest, every row would be expanded once per counted
     column and carry all the other buffers through the shuffle. Both results
-    are partitioned by the key, so joining them shuffles nothing.
+    are partitioned by the key, so joining them shuffles nothing. The statistic
+    ``small_nunique`` is a distinct count of integers that the caller knows to lie in
+    0..63, made with the others and named like ``nunique``.
     """
     df = df.filter(F.col(key).isNotNull())
     names, plain, counted = [], [], []
     for column, stats in spec.items():
         for stat in stats:
-            name = f"{prefix}{column}_{stat}"
+            name = f"{prefix}{column}_{stat.removeprefix('small_')}"
             names.append(name)
-            if stat != "nunique":
-                plain.append(aggregate(stat, column, name))
-            elif column in CALENDAR_COLUMNS:
-                plain.append(aggregate("small_nunique", column, name))
-            else:
-                counted.append(aggregate(stat, column, name))
+            (counted if stat == "nunique" else plain).append(aggregate(stat, column, name))
     out = [key, *[f"`{n}`" for n in names]]
     if not counted:
         return df.groupBy(key).agg(*plain).select(*out)
@@ -124,11 +118,11 @@ def hist_spec(holidays: Sequence[str] = tuple(calendar.HOLIDAYS)) -> Spec:
         "subsector_id": ("nunique",),
         "merchant_id": ("nunique",),
         "merchant_category_id": ("nunique",),
-        "month": ("nunique", "mean", "min", "max"),
-        "hour": ("nunique", "mean", "min", "max"),
-        "weekofyear": ("nunique", "mean", "min", "max"),
+        "month": ("small_nunique", "mean", "min", "max"),
+        "hour": ("small_nunique", "mean", "min", "max"),
+        "weekofyear": ("small_nunique", "mean", "min", "max"),
         "weekday": ("mean",),
-        "day": ("nunique", "mean", "min"),
+        "day": ("small_nunique", "mean", "min"),
         "purchase_amount": SIX,
         "installments": ("sum", "max", "mean", "var", "skew"),
         "purchase_date": ("max", "min"),
@@ -155,7 +149,7 @@ def new_spec(holidays: Sequence[str] = calendar.NEW_HOLIDAYS) -> Spec:
     spec |= {
         "month": ("mean", "min", "max"),
         "weekday": ("mean", "min", "max"),
-        "day": ("nunique", "mean", "min", "max"),
+        "day": ("small_nunique", "mean", "min", "max"),
         "month_diff": ("mean", "var", "skew"),
         "price": ("mean", "max", "min", "var"),
     }

@@ -6,10 +6,11 @@ a lost executor or a failed stage costs that stage only.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions.lookup import clustered
@@ -28,11 +29,14 @@ from cardloom.operators import (
 from cardloom.operators.columns import feature_names
 from cardloom.operators.folds import card_folds
 from cardloom.sources.readers import merchant_store, read_merchants, write_scores_csv
-from cardloom.sources.staging import stage_read, stage_write
+from cardloom.sources.staging import finished, remove, resumed, stage_root
 
 LAG_FROM = (0, -2, -6)
 AMOUNT_RANGES = ((-7, -3), (-1, 100), (-3, 100), (-100, 100))
 STACK_SEEDS = (40, 400, 4000)
+# The first two stacks have a learner more.
+STACK_EXTRA = (True, True, False)
+EXTRA = dict(seed=4950, numTrees=300, subsamplingRate=1.0)
 
 
 @dataclass(frozen=True)
@@ -54,7 +58,25 @@ class Settings:
 
 
 def _stage(df: DataFrame, s: Settings, name: str) -> DataFrame:
-    return stage_read(df.sparkSession, stage_write(df, f"{s.out}/{name}"))
+    """A named stage. A run into the same folder goes on where the last one ended."""
+    return resumed(df, f"{s.out}/{name}")
+
+
+def _job(run):
+    """Stages inside operators go below the job's own folder, and are deleted at its end."""
+
+    @functools.wraps(run)
+    def inner(*args, **kwargs):
+        s = next(a for a in (*args, *kwargs.values()) if isinstance(a, Settings))
+        with stage_root(f"{s.out}/_work"):
+            return run(*args, **kwargs)
+
+    return inner
+
+
+def clean_up(spark: SparkSession, s: Settings) -> None:
+    """Delete what only the jobs themselves needed."""
+    remove(spark, f"{s.out}/_work")
 
 
 def by_card(log: DataFrame, s: Settings, name: str) -> DataFrame:
@@ -63,6 +85,7 @@ def by_card(log: DataFrame, s: Settings, name: str) -> DataFrame:
     return _stage(clustered(log, "card_id"), s, name)
 
 
+@_job
 def build_features(
     train: DataFrame, test: DataFrame, hist: DataFrame, new: DataFrame, s: Settings
 ) -> dict[str, DataFrame]:
@@ -98,9 +121,9 @@ def build_features(
         "hist": merchants.hist_merchant_profile(hist, s.as_of, s.holidays),
     }
     sides = {name: table(f"{name}-merchants", df) for name, df in sides.items()}
-    path = merchant_store(
-        merchants.merchant_combined(sides["new"], sides["hist"]), f"{s.out}/merchant-profiles"
-    )
+    path = f"{s.out}/merchant-profiles"
+    if not finished(cards.sparkSession, path):
+        merchant_store(merchants.merchant_combined(sides["new"], sides["hist"]), path)
     visited = merchants.card_merchant_profile(new, read_merchants(cards.sparkSession, path))
     with_merchants = _stage(
         assemble.assemble_features(base, [table("visited", visited)]), s, "merchants"
@@ -118,6 +141,7 @@ def build_features(
     return {"base": base, "merchants": with_merchants, "amounts": amounts}
 
 
+@_job
 def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
     """card_id, outliers, target and the best features."""
     folds = card_folds(features, s.folds, SELECTION_SEED).select("card_id", "fold")
@@ -129,18 +153,25 @@ def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
     return _stage(chosen, s, name)
 
 
-def stack(selected: DataFrame, seed: int, s: Settings, name: str) -> DataFrame:
-    """Level-1 predictions of one selected feature set."""
+@_job
+def stack(
+    selected: DataFrame, seed: int, s: Settings, name: str, extra: bool = False
+) -> DataFrame:
+    """Level-1 predictions of one selected feature set. ``extra`` adds a second forest,
+    on all rows, in the place of extra trees."""
     features = feature_names(selected)
     folds = card_folds(selected, s.folds, seed).select("card_id", "fold")
     inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
     data = oof.vectors(inputs, features)
     learners = {m: oof.gbt(**(p | dict(s.boosting))) for m, p in oof.BOOSTED.items()}
     learners["random"] = oof.forest(**s.forest)
+    if extra:
+        learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
     learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
     return _stage(oof.stack_level1(data, learners, s.folds), s, name)
 
 
+@_job
 def blend_stacks(stacks: Sequence[DataFrame], s: Settings) -> DataFrame:
     """card_id, target, pred over all cards. The share of the network the
     original blend gives is divided between the two learners that remain."""
@@ -154,24 +185,30 @@ def blend_stacks(stacks: Sequence[DataFrame], s: Settings) -> DataFrame:
 
 def write_scores(scored: DataFrame, path: str) -> str:
     test = scored.filter(F.col("target").isNull())
-    return write_scores_csv(test.select("card_id", F.col("pred").alias("target")), path)
+    return write_scores_csv(test.select("card_id", F.col("pred").alias("target")), path, "overwrite")
 
 
+@_job
 def stacked_scores(features: Mapping[str, DataFrame], s: Settings) -> DataFrame:
     """The ordinary path: select and stack each feature table, then blend."""
     stacks = []
-    for (name, table), seed in zip(features.items(), STACK_SEEDS):
-        stacks.append(stack(select(table, s, f"selected-{name}"), seed, s, f"stack-{name}"))
+    for (name, table), seed, extra in zip(features.items(), STACK_SEEDS, STACK_EXTRA):
+        chosen = select(table, s, f"selected-{name}")
+        stacks.append(stack(chosen, seed, s, f"stack-{name}", extra))
     blended = blend_stacks(stacks, s)
     write_scores(blended, f"{s.out}/test-scores")
     return blended
 
 
+@_job
 def fast_scores(base: DataFrame, s: Settings) -> DataFrame:
-    """The fast path: one boosted model on the selected base features."""
+    """The fast path: one boosted model on the selected base features. Its
+    out-of-fold error by fold and over all is written beside the scores."""
     selected = select(base, s, "selected-fast")
     predictions, scores = blend.score_single(
         selected, feature_names(selected), s.folds, **dict(s.boosting)
     )
-    write_scores_csv(scores, f"{s.out}/single-model")
+    predictions = _stage(predictions, s, "single-model-predictions")
+    write_scores_csv(scores, f"{s.out}/single-model", "overwrite")
+    _stage(oof.fold_rmse(predictions), s, "single-model-rmse")
     return predictions

@@ -15,7 +15,14 @@ from cardloom.sources.staging import stage_read, stage_write
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
     if fmt == "csv":
-        return spark.read.schema(schema).csv(path, header=True, enforceSchema=True)
+        # Columns go by the names in the header, whatever their order; others are
+        # not parsed. Text that is not of the column's type becomes NULL.
+        df = spark.read.csv(path, header=True, inferSchema=False)
+        if missing := [f.name for f in schema if f.name not in df.columns]:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        return df.select(
+            *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema]
+        )
     if fmt == "parquet":
         return spark.read.parquet(path)
     raise ValueError(f"unknown format {fmt!r}")
@@ -59,6 +66,6 @@ def read_merchants(spark: SparkSession, path: str) -> DataFrame:
     return stage_read(spark, path)
 
 
-def write_scores_csv(df: DataFrame, path: str) -> str:
-    df.select("card_id", "target").write.mode("error").csv(path, header=True)
+def write_scores_csv(df: DataFrame, path: str, mode: str = "error") -> str:
+    df.select("card_id", "target").write.mode(mode).csv(path, header=True)
     return path

@@ -4,18 +4,33 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_root: ContextVar[str | None] = ContextVar("stage_root", default=None)
 _fallback_dir: str | None = None
 
 
+@contextmanager
+def stage_root(path: str) -> Iterator[None]:
+    """Stages without a path of their own go below ``path`` meanwhile. They may be
+    deleted once the job's results are written."""
+    token = _root.set(path.rstrip("/"))
+    try:
+        yield
+    finally:
+        _root.reset(token)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only where the session
-    names none (tests, one machine) is a temporary one made."""
+    """The folder of ``stage_root``, or that named by ``spark.checkpoint.dir``. Only
+    where neither is given (tests, one machine) is a temporary one made."""
     global _fallback_dir
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = _root.get() or spark.conf.get("spark.checkpoint.dir", None)
+    named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -25,6 +40,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dir
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a stage was written there to its end."""
+    place, fs = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, fs = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def resumed(df: DataFrame, path: str) -> DataFrame:
+    """The stage at ``path``: read if an earlier run finished it, else written. What an
+    interrupted run left there is overwritten."""
+    spark = df.sparkSession
+    if not finished(spark, path):
+        stage_write(df, path, mode="overwrite")
+    return stage_read(spark, path)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cardloom/{name}-{uuid.uuid4().hex}"
 

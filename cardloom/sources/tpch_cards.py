@@ -37,11 +37,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str, first_day: str, end_day: str) -> DataFrame:
-    """Transactions ordered in [first_day, end_day), the 14 log columns."""
+# Months back from the last one, 2001-08: every sixteen of them are the history and
+# the new months of one card, so each customer has five cards and every line is used.
+BACK = "((2001 - year(o_orderdate)) * 12 + 8 - month(o_orderdate))"
+
+
+def transactions(spark: SparkSession, sf_dir: str, first_lag: int, last_lag: int) -> DataFrame:
+    """Transactions with these month lags, the 14 log columns."""
     orders = _table(spark, sf_dir, "orders").filter(
-        (F.col("o_orderdate") >= F.lit(first_day).cast("timestamp_ntz"))
-        & (F.col("o_orderdate") < F.lit(end_day).cast("timestamp_ntz"))
+        F.expr(f"2 - {BACK} % 16 BETWEEN {first_lag} AND {last_lag}")
     )
     lines = _table(spark, sf_dir, "lineitem")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
@@ -59,7 +63,7 @@ def transactions(spark: SparkSession, sf_dir: str, first_day: str, end_day: str)
         .join(shops, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     return joined.selectExpr(
-        "concat('C_', o_custkey) AS card_id",
+        f"concat('C_', o_custkey, '_', {BACK} DIV 16) AS card_id",
         "CASE WHEN l_suppkey % 20 = 0 THEN NULL ELSE concat('M_', l_suppkey) END AS merchant_id",
         "p_size AS merchant_category_id",
         "p_brand AS subsector_id",
@@ -76,23 +80,26 @@ def transactions(spark: SparkSession, sf_dir: str, first_day: str, end_day: str)
         "l_extendedprice / 60000.0D - 0.75D AS purchase_amount",
         "o_orderdate + make_dt_interval(0, 0, 0, (l_orderkey * 37 + l_linenumber * 3607) % 86400)"
         " AS purchase_date",
-        "CAST((year(o_orderdate) - 2001) * 12 + month(o_orderdate) - 5 AS int) AS month_lag",
+        f"CAST(2 - {BACK} % 16 AS int) AS month_lag",
     )
 
 
 def hist_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lags -13 to 0 of the observation month 2001-05."""
-    return transactions(spark, sf_dir, "2000-04-01", "2001-06-01")
+    """Lags -13 to 0 of the cards' observation months."""
+    return transactions(spark, sf_dir, -13, 0)
 
 
 def new_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags 1 and 2."""
-    return transactions(spark, sf_dir, "2001-06-01", "2001-08-01")
+    return transactions(spark, sf_dir, 1, 2)
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").selectExpr(
-        "concat('C_', c_custkey) AS card_id",
+    customers = _table(spark, sf_dir, "customer").withColumn(
+        "window", F.explode(F.sequence(F.lit(0), F.lit(4)))
+    )
+    return customers.selectExpr(
+        "concat('C_', c_custkey, '_', window) AS card_id",
         "make_date(1998 + CAST(c_custkey % 3 AS int), 1 + CAST(c_custkey % 12 AS int), 1)"
         " AS first_active_month",
         "1 + c_nationkey % 5 AS feature_1",

@@ -22,7 +22,7 @@ ROW = "card_id, CAST(purchase_date AS VARCHAR) AS purchase_date"
 
 BASE = """
 t AS (
-  SELECT concat('C_', o_custkey) AS card_id,
+  SELECT concat('C_', o_custkey, '_', ((2001 - year(o_orderdate)) * 12 + 8 - month(o_orderdate)) // 16) AS card_id,
          CASE WHEN l_suppkey % 20 = 0 THEN NULL ELSE concat('M_', l_suppkey) END AS merchant_id,
          p_size AS merchant_category_id, p_brand AS subsector_id,
          s_nationkey AS city_id, n_regionkey AS state_id,
@@ -36,7 +36,7 @@ t AS (
               ELSE l_linenumber - 1 END AS installments,
          l_extendedprice / 60000.0e0 - 0.75e0 AS purchase_amount,
          o_orderdate + to_seconds((l_orderkey * 37 + l_linenumber * 3607) % 86400) AS purchase_date,
-         CAST((year(o_orderdate) - 2001) * 12 + month(o_orderdate) - 5 AS INT) AS month_lag
+         CAST(2 - ((2001 - year(o_orderdate)) * 12 + 8 - month(o_orderdate)) % 16 AS INT) AS month_lag
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
@@ -46,14 +46,14 @@ t AS (
 hist AS (SELECT * FROM t WHERE month_lag BETWEEN -13 AND 0),
 newlog AS (SELECT * FROM t WHERE month_lag IN (1, 2)),
 cards AS (
-  SELECT concat('C_', c_custkey) AS card_id,
+  SELECT concat('C_', c_custkey, '_', w) AS card_id,
          make_date(1998 + CAST(c_custkey % 3 AS INT), 1 + CAST(c_custkey % 12 AS INT), 1)
            AS first_active_month,
          1 + c_nationkey % 5 AS feature_1, 1 + c_nationkey % 3 AS feature_2,
          CAST(c_custkey % 2 AS INT) AS feature_3,
          CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_acctbal < -700 THEN -33.2e0
               ELSE c_acctbal / 2000.0e0 - 2.5e0 END AS target
-  FROM customer
+  FROM customer, range(5) r(w)
 ),
 flagged AS (
   SELECT *, CASE WHEN target IS NULL THEN NULL WHEN target < -30 THEN 1 ELSE 0 END AS outliers
@@ -191,13 +191,18 @@ STATS = {
     "size": "count(*)",
     "count": "count({c})",
     "nunique": "count(DISTINCT {c})",
+    "small_nunique": "count(DISTINCT {c})",
 }
 DATES = ("purchase_date_max", "purchase_date_min")
 
 
+def stat_name(prefix: str, column: str, stat: str) -> str:
+    return f"{prefix}{column}_{stat.removeprefix('small_')}"
+
+
 def grouped(source: str, key: str, spec, prefix: str, name: str, where: str = "true") -> str:
     cols = [
-        STATS[s].replace("{c}", q(c)) + f" AS {q(prefix + c + '_' + s)}"
+        STATS[s].replace("{c}", q(c)) + f" AS {q(stat_name(prefix, c, s))}"
         for c, stats in spec.items()
         for s in stats
     ]
@@ -206,7 +211,7 @@ def grouped(source: str, key: str, spec, prefix: str, name: str, where: str = "t
 
 
 def spec_names(spec, prefix: str) -> list[str]:
-    return [f"{prefix}{c}_{s}" for c, stats in spec.items() for s in stats]
+    return [stat_name(prefix, c, s) for c, stats in spec.items() for s in stats]
 
 
 def span(prefix: str, size: str = "card_id_size") -> str:

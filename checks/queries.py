@@ -512,7 +512,7 @@ def _(s):
 @query("lookup_encode_hot_split")
 def _(s):
     rows = s.hist.select(*ROW, "merchant_id")
-    return lk.hot_split_lookup(rows, _merchant_rates(s), ["merchant_id"], hot_keys=20)
+    return lk.hot_split_lookup(rows, _merchant_rates(s), ["merchant_id"], parts=200)
 
 
 @query("join_encoding_left")

@@ -32,14 +32,14 @@ def test_every_way_gives_the_plain_left_join(skewed, table):
     want = rows(skewed.join(table, "key", "left"))
     assert rows(lk.lookup(skewed, table, ["key"])) == want
     assert rows(lk.lookup(skewed, table, ["key"], max_rows=100)) == want
-    assert rows(lk.hot_split_lookup(skewed, table, ["key"], hot_keys=5)) == want
+    assert rows(lk.hot_split_lookup(skewed, table, ["key"], parts=5)) == want
 
 
 def test_two_keys(skewed, table):
     left = skewed.withColumn("fold", (F.col("id") % 3).cast("int"))
     right = table.withColumn("fold", F.explode(F.array(F.lit(0), F.lit(2))))
     want = rows(left.join(right, ["key", "fold"], "left"))
-    assert rows(lk.hot_split_lookup(left, right, ["key", "fold"], hot_keys=7)) == want
+    assert rows(lk.hot_split_lookup(left, right, ["key", "fold"], parts=7)) == want
 
 
 def test_pulled_is_bounded(spark):
@@ -49,11 +49,11 @@ def test_pulled_is_bounded(spark):
 
 def test_clustered_keeps_rows_and_spreads_the_hot_key(skewed):
     spark = skewed.sparkSession
-    out = lk.clustered(skewed, "key", hot_keys=1)
+    out = lk.clustered(skewed, "key", parts=5)
     assert sorted(out.collect(), key=str) == sorted(skewed.collect(), key=str)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = lk.clustered(skewed, "key", hot_keys=1).withColumn("p", F.spark_partition_id())
+        spread = lk.clustered(skewed, "key", parts=5).withColumn("p", F.spark_partition_id())
         per_part = {r["p"]: r["count"] for r in spread.filter("key = 'hot'").groupBy("p").count().collect()}
         assert len(per_part) == 4 and max(per_part.values()) < 10_000 / 2
         # Any other key stays in one partition.
@@ -61,3 +61,17 @@ def test_clustered_keeps_rows_and_spreads_the_hot_key(skewed):
         assert others.agg(F.max("n")).first()[0] == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_keys_are_chosen_by_their_share(spark, skewed):
+    assert [r.key for r in lk.hot(skewed, ["key"], 5).collect()] == ["hot"]
+    # Many equally heavy keys are all hot, none is left out by a fixed number.
+    even = spark.range(45_000).select((F.col("id") % 1500).alias("key"))
+    assert lk.hot(even, ["key"], 1501).count() == 1500
+    assert lk.hot(even, ["key"], 1499).count() == 0
+    assert lk.hot(even.limit(0), ["key"], 10).count() == 0
+
+
+def test_bytes_are_bounded_too(spark):
+    wide = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("v"))
+    assert lk.pulled(wide, 100, 5_000) is None
