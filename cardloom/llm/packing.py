@@ -14,6 +14,7 @@ long as the powers of two its length is the sum of, so nothing is padded.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -35,44 +36,197 @@ K1, B = 1.2, 0.75
 KEY_BYTES = 5
 
 
-def _tokenized(tokenizer: str, end_id: int):
-    """``tokenizer`` drops white space, so the ids of a text are those of its
-    words one after another; each distinct word of a slice is encoded once."""
+class _Coder:
+    """Token ids of words, each distinct word encoded once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``tokenizer`` ignores case, drops white space and never joins characters over
+    it, so the ids of a text are those of its words in turn. It also cuts between
+    letters and anything else, so a word of letters is one piece, whose last id alone
+    carries the end-of-word mark; many of them are encoded in one call and told
+    apart by that mark. Other words are encoded between two special tokens.
+    """
+
+    # Distinct words remembered; then it begins anew, with the same results.
+    MOST = 1_000_000
+    AT_ONCE = 500
+
+    def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        self.whole = Tokenizer.from_str(tokenizer)
+        model = json.loads(tokenizer)["model"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        # The words that come here are new ones: a cache of its own would not help.
+        self.letters = Tokenizer(
+            models.BPE(
+                vocab=model["vocab"],
+                merges=merges,
+                cache_capacity=0,
+                end_of_word_suffix=model["end_of_word_suffix"],
+            )
+        )
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.CharDelimiterSplit(" "),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
+        vocabulary = self.whole.get_vocab()
+        self.size = max(vocabulary.values()) + 1
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        special = json.loads(tokenizer)["added_tokens"]
+        self.mark = special[-1]["content"] if special else None
+        self.mark_id = special[-1]["id"] if special else None
+        self.specials = tuple(t["content"] for t in special)
+        self.forget()
+
+    def forget(self) -> None:
+        self.names = np.zeros(0, words.U64)  # hashes, sorted, and the slot of each
+        self.slot = np.zeros(0, np.int64)
+        self.begin = np.zeros(1, np.int64)  # of slot k; the last one is the end of all
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encoded(self, coder, texts: list[str]) -> list[np.ndarray]:
+        found = coder.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _of_letters(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Ids and counts of words of lower-case letters."""
+        ids = []
+        for a in range(0, len(starts), self.AT_ONCE):
+            size = ends[a : a + self.AT_ONCE] - starts[a : a + self.AT_ONCE] + 1
+            joined = low[np.minimum(_runs(starts[a : a + self.AT_ONCE], size), len(low) - 1)]
+            joined[np.cumsum(size) - 1] = 32
+            ids.append(joined.tobytes().decode())
+        ids = np.concatenate([np.zeros(0, np.uint32), *self._encoded(self.letters, ids)])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(starts):
+            raise ValueError("a word of letters is not one piece")
+        return ids, np.diff(last, prepend=-1)
+
+    def _of_others(self, chunks: list[str]):
+        safe = [not self.mark or any(x in c for x in self.specials) for c in chunks]
+        count = np.zeros(len(chunks), np.int64)
+        each: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(chunks)
+        mixed = [k for k, s in enumerate(safe) if not s]
+        self.whole.encode_special_tokens = False
+        for a in range(0, len(mixed), self.AT_ONCE):
+            part = mixed[a : a + self.AT_ONCE]
+            ids = self._encoded(self.whole, [self.mark.join([*(chunks[k] for k in part), ""])])[0]
+            for k, x in zip(part, np.split(ids, np.flatnonzero(ids == self.mark_id) + 1)):
+                each[k] = x[:-1]
+        self.whole.encode_special_tokens = True
+        for k, x in zip(
+            np.flatnonzero(safe), self._encoded(self.whole, [c for c, s in zip(chunks, safe) if s])
+        ):
+            each[k] = x
+        count[:] = [len(x) for x in each]
+        return np.concatenate([np.zeros(0, np.uint32), *each]), count
+
+    def slots(
+        self, hashed: np.ndarray, low: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> np.ndarray:
+        """The slot of each of the distinct words, whose hashes are sorted."""
+        if len(self.names) + len(hashed) > self.MOST:
+            self.forget()
+        at = np.searchsorted(self.names, hashed)
+        known = np.zeros(len(hashed), bool)
+        if len(self.names):
+            known = self.names[np.minimum(at, len(self.names) - 1)] == hashed
+        out = np.empty(len(hashed), np.int64)
+        out[known] = self.slot[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            total = np.concatenate([[0], np.cumsum(~_is_letter(low))])
+            plain = total[ends[new]] == total[starts[new]]
+            letters, others = new[plain], new[~plain]
+            ids, count = self._of_letters(low, starts[letters], ends[letters])
+            data = low.tobytes()
+            more, many = self._of_others(
+                [data[a:b].decode() for a, b in zip(starts[others].tolist(), ends[others].tolist())]
+            )
+            first = len(self.begin) - 1
+            out[letters] = first + np.arange(len(letters))
+            out[others] = first + len(letters) + np.arange(len(others))
+            self.ids = np.concatenate([self.ids, ids, more])
+            count = np.concatenate([count, many])
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(count)])
+            self.names = np.insert(self.names, at[new], hashed[new])
+            self.slot = np.insert(self.slot, at[new], out[new])
+        return out
+
+
+def _folded(raw: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z and the capitals of two bytes that begin with C3 made small."""
+    low = words.LOWER[raw]
+    after = np.zeros(len(raw), bool)
+    after[1:] = raw[:-1] == 0xC3
+    low[after & (raw >= 0x80) & (raw <= 0x9E) & (raw != 0x97)] += 0x20
+    return low
+
+
+def _is_letter(low: np.ndarray) -> np.ndarray:
+    """Whether a byte belongs to a-z or to a small letter that begins with C3."""
+    lead = low == 0xC3
+    tail = np.zeros(len(low), bool)
+    tail[1:] = lead[:-1]
+    tail &= (low != 0x97) & (low != 0xB7)
+    lead[:-1] = tail[1:]
+    lead[-1:] = False
+    return _LETTER[low] | tail | lead
+
+
+def _runs(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """All places of the runs that begin there and have so many places."""
+    total = np.cumsum(many)
+    return np.repeat(begin - total + many, many) + np.arange(total[-1] if len(total) else 0)
+
+
+_coders: dict[int, _Coder] = {}
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+# A full stop or comma after ASCII letters is a word of its own.
+_POINTS = np.zeros(256, bool)
+_POINTS[[ord("."), ord(",")]] = True
+
+
+def _cut(low: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, points cut off, and the texts' bounds among them."""
+    starts, ends = words.spans(low, bounds)
+    point = _POINTS[low[ends - 1]] & (ends - starts > 1)
+    point[point] = _LETTER[low[ends[point] - 2]]
+    order = np.cumsum(1 + point)
+    both = np.empty((2, order[-1] if len(order) else 0), np.int64)
+    both[0, order - 1], both[1, order - 1] = starts, ends
+    both[0, order[point] - 1] = ends[point] - 1
+    both[0, order[point] - 2], both[1, order[point] - 2] = starts[point], ends[point] - 1
+    return both[0], both[1], np.searchsorted(both[0], bounds)
+
 
-        coder = Tokenizer.from_str(tokenizer)
-        coder.encode_special_tokens = True
-        encode = getattr(coder, "encode_batch_fast", coder.encode_batch)
+def _tokenized(tokenizer: str, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = hash(tokenizer)
+        coder = _coders.get(name) or _coders.setdefault(name, _Coder(tokenizer))
         for batch in batches:
             ids, size, key = [], [], []
-            for _, raw, bounds in words.slices(batch.column("text")):
-                starts, ends = words.spans(raw, bounds)
-                at = np.searchsorted(starts, bounds)
-                hashed = words.hashes(words.LOWER[raw], starts, ends)
-                _, first, which = np.unique(hashed, return_index=True, return_inverse=True)
-                data = raw.tobytes()
-                found = encode(
-                    [data[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist())],
-                    add_special_tokens=False,
-                )
-                found = [e.ids for e in found]
-                count = np.array([len(x) for x in found], np.int64)
-                flat = np.array([i for x in found for i in x], np.uint32)
-                begin = np.cumsum(count) - count
-                many = count[which]
-                total = np.cumsum(many)
-                place = np.repeat(begin[which] - total + many, many) + np.arange(many.sum())
-                out = flat[place]
-                cuts = np.concatenate([[0], total])[at]
+            for _, raw, bounds in words.slices(batch.column("text"), 2 * words.CHUNK):
+                low = _folded(raw)
+                starts, ends, at = _cut(low, bounds)
+                hashed = words.hashes(low, starts, ends)
+                names, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+                slot = coder.slots(names, low, starts[first], ends[first])[which]
+                begin, many = coder.begin[slot], coder.begin[slot + 1] - coder.begin[slot]
+                out = coder.ids[_runs(begin, many)]
+                cuts = np.concatenate([[0], np.cumsum(many)])[at]
                 # A document has its end id, so none is empty.
-                out = np.insert(out, cuts[1:], np.uint32(end_id))
+                out = np.insert(out, cuts[1:], np.uint32(end_id)).astype(coder.kind)
                 cuts = cuts + np.arange(len(cuts))
                 long = np.where(ends - starts > KEY_BYTES, hashed, hashed | words.U64(1 << 63))
                 for a, b, w, v in zip(cuts[:-1], cuts[1:], at[:-1], at[1:]):
-                    ids.append(out[a:b].astype("<u4").tobytes())
+                    ids.append(out[a:b].tobytes())
                     size.append(int(b - a))
                     key.append(int(long[w:v].min() >> words.U64(1)) if v > w else 0)
             yield pa.RecordBatch.from_arrays(
@@ -118,8 +272,7 @@ class _Shard:
         """All documents, the highest BM25 score for the seed's terms first."""
         terms = self.terms[self.bounds[seed] : self.bounds[seed + 1]]
         begin, many = self.posts[terms], self.posts[terms + 1] - self.posts[terms]
-        total = np.cumsum(many)
-        place = np.repeat(begin - total + many, many) + np.arange(many.sum())
+        place = _runs(begin, many)
         score = np.bincount(self.doc[place], self.weight[place], self.n)
         return np.argsort(-score, kind="stable")
 
@@ -186,7 +339,7 @@ class _Packer:
                     self.window += 1
 
 
-def _packed(window: int, end_id: int):
+def _packed(window: int, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
         packer = _Packer(window, end_id)
@@ -219,7 +372,7 @@ def _packed(window: int, end_id: int):
         held = 0
         for batch in batches:
             for name, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                ids = np.frombuffer(ids.as_buffer(), "<u4")
+                ids = np.frombuffer(ids.as_buffer(), kind)
                 names.append(name)
                 sizes.append(len(ids))
                 shard.append(ids)
@@ -271,7 +424,7 @@ def pack(
         .sortWithinPartitions("key", "doc_id", "doc_tokens", "ids")
         .select("doc_id", "ids")
         .mapInArrow(
-            _packed(window, end_id),
+            _packed(window, end_id, _Coder(tokenizer).kind),
             "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
             "offset long, ids binary",
         )
