@@ -7,7 +7,7 @@ a lost executor or a failed stage costs that stage only.
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,9 +57,10 @@ class Settings:
     forest: Mapping[str, object] = field(default_factory=dict)
 
 
-def _stage(df: DataFrame, s: Settings, name: str) -> DataFrame:
-    """A named stage. A run into the same folder goes on where the last one ended."""
-    return resumed(df, f"{s.out}/{name}")
+def _stage(make: Callable[[], DataFrame], s: Settings, name: str) -> DataFrame:
+    """A named stage. A run into the same folder goes on where the last one ended;
+    what is finished is not made again."""
+    return resumed(SparkSession.active(), make, f"{s.out}/{name}")
 
 
 def _job(run):
@@ -82,7 +83,7 @@ def clean_up(spark: SparkSession, s: Settings) -> None:
 def by_card(log: DataFrame, s: Settings, name: str) -> DataFrame:
     """The log as parquet, card by card: parsed once, and every per-card
     aggregate over it combines on the map side."""
-    return _stage(clustered(log, "card_id"), s, name)
+    return _stage(lambda: clustered(log, "card_id"), s, name)
 
 
 @_job
@@ -92,65 +93,70 @@ def build_features(
     """Three growing feature tables, one row per card: 'base', 'merchants' (adds
     the merchants' profiles) and 'amounts' (adds quarters and amounts). Each part
     is a stage of its own: its plan stays small, and a failure repeats only it."""
-    cards = _stage(card_ops.card_table(train, test, s.as_of), s, "cards")
+    cards = _stage(lambda: card_ops.card_table(train, test, s.as_of), s, "cards")
     hist, new = by_card(hist, s, "hist"), by_card(new, s, "new")
 
-    def table(name: str, df: DataFrame) -> DataFrame:
-        return _stage(df, s, f"part-{name}")
+    def table(name: str, make: Callable[..., DataFrame], *args) -> DataFrame:
+        return _stage(lambda: make(*args), s, f"part-{name}")
 
     profile = assemble.assemble_features(
         cards,
         [
-            table("hist", profiles.hist_card_profile(hist, s.as_of, s.holidays)),
-            table("new", profiles.new_card_profile(new, s.as_of, s.new_holidays)),
+            table("hist", profiles.hist_card_profile, hist, s.as_of, s.holidays),
+            table("new", profiles.new_card_profile, new, s.as_of, s.new_holidays),
         ],
     )
     profile = assemble.to_epoch_seconds(assemble.first_last_buy(profile))
     parts = [
-        table("hist-encoding", encode.oof_target_encode(hist, cards)),
-        table("new-encoding", encode.oof_target_encode(new, cards, "new_target_encoding_")),
-        table("date-encoding", encode.date_target_encode(cards, hist)),
-        *[table(f"lag{k}", profiles.lag_profile(hist, k, s.as_of, s.holidays)) for k in LAG_FROM],
-        table("monthly", lags.monthly_change(hist, new)),
-        table("embedding", embed_2d(cards, feature_names(cards))),
+        table("hist-encoding", encode.oof_target_encode, hist, cards),
+        table("new-encoding", encode.oof_target_encode, new, cards, "new_target_encoding_"),
+        table("date-encoding", encode.date_target_encode, cards, hist),
+        *[table(f"lag{k}", profiles.lag_profile, hist, k, s.as_of, s.holidays) for k in LAG_FROM],
+        table("monthly", lags.monthly_change, hist, new),
+        table("embedding", embed_2d, cards, feature_names(cards)),
     ]
-    base = _stage(assemble.assemble_features(assemble.hist_new_combine(profile), parts), s, "base")
+    base = _stage(
+        lambda: assemble.assemble_features(assemble.hist_new_combine(profile), parts), s, "base"
+    )
 
     sides = {
-        "new": merchants.new_merchant_profile(new, s.as_of, s.holidays),
-        "hist": merchants.hist_merchant_profile(hist, s.as_of, s.holidays),
+        "new": table("new-merchants", merchants.new_merchant_profile, new, s.as_of, s.holidays),
+        "hist": table("hist-merchants", merchants.hist_merchant_profile, hist, s.as_of, s.holidays),
     }
-    sides = {name: table(f"{name}-merchants", df) for name, df in sides.items()}
     path = f"{s.out}/merchant-profiles"
     if not finished(cards.sparkSession, path):
         merchant_store(merchants.merchant_combined(sides["new"], sides["hist"]), path)
-    visited = merchants.card_merchant_profile(new, read_merchants(cards.sparkSession, path))
+    stored = read_merchants(cards.sparkSession, path)
+    visited = table("visited", merchants.card_merchant_profile, new, stored)
     with_merchants = _stage(
-        assemble.assemble_features(base, [table("visited", visited)]), s, "merchants"
+        lambda: assemble.assemble_features(base, [visited]), s, "merchants"
     )
 
-    parts = [
-        table("quarters", profiles.quarter_profile(hist, s.quarter_starts)),
-        table("new-amounts", profiles.new_amount_profile(new, s.as_of)),
+    more = [
+        table("quarters", profiles.quarter_profile, hist, s.quarter_starts),
+        table("new-amounts", profiles.new_amount_profile, new, s.as_of),
         *[
-            table(f"amounts{lo}{hi}", profiles.hist_amount_profile(hist, lo, hi, s.as_of))
+            table(f"amounts{lo}{hi}", profiles.hist_amount_profile, hist, lo, hi, s.as_of)
             for lo, hi in AMOUNT_RANGES
         ],
     ]
-    amounts = _stage(assemble.assemble_features(with_merchants, parts), s, "amounts")
+    amounts = _stage(lambda: assemble.assemble_features(with_merchants, more), s, "amounts")
     return {"base": base, "merchants": with_merchants, "amounts": amounts}
 
 
 @_job
 def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
     """card_id, outliers, target and the best features."""
-    folds = card_folds(features, s.folds, SELECTION_SEED).select("card_id", "fold")
-    chosen = select_by_importance(
-        features.join(folds, "card_id"),
-        s.keep,
-        estimator=oof.gbt(**(oof.BOOSTED["lgb2"] | dict(s.boosting))),
-    )
-    return _stage(chosen, s, name)
+
+    def make() -> DataFrame:
+        folds = card_folds(features, s.folds, SELECTION_SEED).select("card_id", "fold")
+        return select_by_importance(
+            features.join(folds, "card_id"),
+            s.keep,
+            estimator=oof.gbt(**(oof.BOOSTED["lgb2"] | dict(s.boosting))),
+        )
+
+    return _stage(make, s, name)
 
 
 @_job
@@ -159,16 +165,20 @@ def stack(
 ) -> DataFrame:
     """Level-1 predictions of one selected feature set. ``extra`` adds a second forest,
     on all rows, in the place of extra trees."""
-    features = feature_names(selected)
-    folds = card_folds(selected, s.folds, seed).select("card_id", "fold")
-    inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
-    data = oof.vectors(inputs, features)
-    learners = {m: oof.gbt(**(p | dict(s.boosting))) for m, p in oof.BOOSTED.items()}
-    learners["random"] = oof.forest(**s.forest)
-    if extra:
-        learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
-    learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
-    return _stage(oof.stack_level1(data, learners, s.folds), s, name)
+
+    def make() -> DataFrame:
+        features = feature_names(selected)
+        folds = card_folds(selected, s.folds, seed).select("card_id", "fold")
+        inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
+        data = oof.vectors(inputs, features)
+        learners = {m: oof.gbt(**(p | dict(s.boosting))) for m, p in oof.BOOSTED.items()}
+        learners["random"] = oof.forest(**s.forest)
+        if extra:
+            learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
+        learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
+        return oof.stack_level1(data, learners, s.folds)
+
+    return _stage(make, s, name)
 
 
 @_job
@@ -177,9 +187,9 @@ def blend_stacks(stacks: Sequence[DataFrame], s: Settings) -> DataFrame:
     original blend gives is divided between the two learners that remain."""
     total = blend.WEIGHTS["ridge"] + blend.WEIGHTS["lgb"]
     weights = {m: blend.WEIGHTS[m] / total for m in ("ridge", "lgb")}
-    stacked = _stage(blend.stack_features(stacks), s, "stacked")
+    stacked = _stage(lambda: blend.stack_features(stacks), s, "stacked")
     return _stage(
-        blend.level2(stacked, weights, k=s.folds, **dict(s.boosting)), s, "blended"
+        lambda: blend.level2(stacked, weights, k=s.folds, **dict(s.boosting)), s, "blended"
     )
 
 
@@ -205,10 +215,12 @@ def fast_scores(base: DataFrame, s: Settings) -> DataFrame:
     """The fast path: one boosted model on the selected base features. Its
     out-of-fold error by fold and over all is written beside the scores."""
     selected = select(base, s, "selected-fast")
-    predictions, scores = blend.score_single(
-        selected, feature_names(selected), s.folds, **dict(s.boosting)
+    features = feature_names(selected)
+    predictions = _stage(
+        lambda: blend.score_single(selected, features, s.folds, **dict(s.boosting))[0],
+        s,
+        "single-model-predictions",
     )
-    predictions = _stage(predictions, s, "single-model-predictions")
-    write_scores_csv(scores, f"{s.out}/single-model", "overwrite")
-    _stage(oof.fold_rmse(predictions), s, "single-model-rmse")
+    write_scores(predictions, f"{s.out}/single-model")
+    _stage(lambda: oof.fold_rmse(predictions), s, "single-model-rmse")
     return predictions

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -56,12 +56,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def resumed(df: DataFrame, path: str) -> DataFrame:
-    """The stage at ``path``: read if an earlier run finished it, else written. What an
-    interrupted run left there is overwritten."""
-    spark = df.sparkSession
+def resumed(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
+    """The stage at ``path``: read if an earlier run finished it, else made and
+    written. What an interrupted run left there is overwritten."""
     if not finished(spark, path):
-        stage_write(df, path, mode="overwrite")
+        stage_write(make(), path, mode="overwrite")
     return stage_read(spark, path)
 
 

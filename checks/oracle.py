@@ -1087,3 +1087,24 @@ ORACLES["repeat_average"] = over(
     MODEL_TABLE,
     *[c for r in range(3) for c in ridge_ctes(10835 + r, 1.0, f"r{r}_")],
 )
+
+# What SQL can state of trained results
+
+_F40 = fold_ctes(40, 6)
+_STATED = f"card_id, {dbl('target', 'target')}, {bigs(['fold'])}, 1::BIGINT AS predicted"
+ORACLES["oof_gbt_stated"] = over(f"SELECT {_STATED} FROM allfolds", *_F40)
+ORACLES["oof_forest_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS inside FROM allfolds", *_F40)
+ORACLES["score_single_stated"] = over(
+    "SELECT card_id, 1::BIGINT AS scored FROM cards WHERE target IS NULL"
+)
+ORACLES["feature_importance_stated"] = over(
+    f"""SELECT feature, 0::BIGINT AS fold, 1::BIGINT AS ok, {dbl('1', 'total')} FROM (VALUES ('feature_1'),
+    ('feature_2'), ('feature_3'), ('hist_rows'), ('hist_amount')) v(feature)"""
+)
+ORACLES["select_by_importance_stated"] = over(
+    f"SELECT card_id, {bigs(['outliers'])}, {dbl('target', 'target')}, 2::BIGINT AS features FROM flagged"
+)
+ORACLES["embed_2d_stated"] = over(
+    """SELECT count(*) AS n, count(*) AS n_right, 1::BIGINT AS centred0, 1::BIGINT AS centred1,
+    1::BIGINT AS uncorrelated, 1::BIGINT AS ordered FROM cards"""
+)

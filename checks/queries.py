@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -933,3 +933,68 @@ def _(s):
 @query("score_single")
 def _(s):
     return bl.score_single(s.model_table, INPUTS, **SMALL_TREES)[1]
+
+
+# What SQL can state of the trained results: which rows, folds and targets come
+# back, that every row has a finite value, and the bounds and sums values keep.
+
+
+def _stated_predictions(df: DataFrame) -> DataFrame:
+    known = F.coalesce(~F.isnan("pred") & (F.abs("pred") < scaling.INF), F.lit(False))
+    return df.select("card_id", "target", "fold", known.cast("int").alias("predicted"))
+
+
+@query("oof_gbt_stated")
+def _(s):
+    return _stated_predictions(oof.oof_gbt(s.folded(40), INPUTS, **SMALL_TREES))
+
+
+@query("oof_forest_stated")
+def _(s):
+    """A forest averages targets, so it stays between them."""
+    pred = oof.oof_forest(s.folded(40), INPUTS, numTrees=10, maxDepth=4)
+    low, high = s.train.agg(F.min("target"), F.max("target")).first()
+    inside = F.col("pred").between(low - 1e-9, high + 1e-9).cast("int")
+    stated = _stated_predictions(pred)
+    return stated.join(pred.select("card_id", inside.alias("inside")), "card_id")
+
+
+@query("score_single_stated")
+def _(s):
+    scores = bl.score_single(s.model_table, INPUTS, **SMALL_TREES)[1]
+    return scores.select("card_id", F.col("target").isNotNull().cast("int").alias("scored"))
+
+
+@query("feature_importance_stated")
+def _(s):
+    """Before the logarithm the shares of the gain are 0 to 1 and sum to one."""
+    data = oof.vectors(s.folded(120), INPUTS)
+    found = selection.feature_importance(data, INPUTS, oof.gbt(**SMALL_TREES), 0)
+    share = F.expm1("importance")
+    total = F.sum(share).over(Window.partitionBy("fold"))
+    return found.select("feature", "fold", share.between(0, 1).cast("int").alias("ok"), total.alias("total"))
+
+
+@query("select_by_importance_stated")
+def _(s):
+    df = cleaning.flag_outliers(s.folded(120))
+    out = selection.select_by_importance(df, (4, 3, 2), estimator=oof.gbt(**SMALL_TREES))
+    return out.select("card_id", "outliers", "target", F.lit(len(out.columns) - 3).alias("features"))
+
+
+@query("embed_2d_stated")
+def _(s):
+    """Components are centred and uncorrelated, the first varies more, and the
+    other two columns are their sum and product."""
+    df = scaling.embed_2d(s.card_table, columns.feature_names(s.card_table))
+    plus = F.abs(F.col("`umap+umap`") - F.col("umap0") - F.col("umap1")) < 1e-9
+    times = F.abs(F.col("`umap*umap`") - F.col("umap0") * F.col("umap1")) < 1e-9
+    close = lambda c: (F.abs(c) < 1e-6).cast("int")
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((plus & times).cast("int")).alias("n_right"),
+        close(F.avg("umap0")).alias("centred0"),
+        close(F.avg("umap1")).alias("centred1"),
+        close(F.corr("umap0", "umap1")).alias("uncorrelated"),
+        (F.var_samp("umap0") > F.var_samp("umap1")).cast("int").alias("ordered"),
+    )

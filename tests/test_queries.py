@@ -18,10 +18,11 @@ fill_defaults recode_category3 restore_amount parse_dates calendar_parts elapsed
 one_hot price_ratio holiday_proximity amount_interactions quarter_window_flags replace_infinite
 lookup_encode_hot_split stack_features hist_card_profile hist_amount_profile category_amount_stats
 last_observation_date transaction_prior lag_pivot monthly_change shuffle_in_class kfold_contiguous
-top_k_features oof_ridge minmax_scale fold_rmse
+top_k_features oof_ridge minmax_scale fold_rmse embed_2d_stated feature_importance_stated
 """.split()
 
-# No SQL: tree ensembles and principal components.
+# No SQL for the values of tree ensembles and principal components; what can be stated of
+# them is in the queries of the same name with _stated.
 ROWS_ONLY = {
     "embed_2d",
     "oof_gbt",

@@ -48,11 +48,11 @@ def test_distinct_counts_do_not_depend_on_the_column_name(spark):
 
 def test_a_job_goes_on_where_it_ended(spark, tmp_path):
     path = str(tmp_path / "stage")
-    first = staging.resumed(spark.range(5), path)
+    first = staging.resumed(spark, lambda: spark.range(5), path)
     assert first.count() == 5
-    assert staging.resumed(spark.range(9), path).count() == 5  # finished: read again
+    assert staging.resumed(spark, lambda: spark.range(9), path).count() == 5  # finished: read again
     (tmp_path / "stage" / "_SUCCESS").unlink()
-    assert staging.resumed(spark.range(9), path).count() == 9  # cut off: written anew
+    assert staging.resumed(spark, lambda: spark.range(9), path).count() == 9  # cut off: written anew
     with staging.stage_root(str(tmp_path / "work")):
         assert staging.staged(spark.range(3), "x").count() == 3
     assert list((tmp_path / "work").glob("cardloom/x-*"))
