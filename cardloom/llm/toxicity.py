@@ -30,12 +30,13 @@ MAX_TRAIN = 8_000
 ROUNDS = 200
 RATE = 0.15
 # What a feature must earn: so many documents' worth of slope is taken off its weight.
-PENALTY = 0.5
+PENALTY = 0.2
 # Only a feature whose documents are toxic more often than all are, by so many
 # standard deviations, gets a weight; it is never negative.
 MIN_SCORE = 2.5
-# The log-odds of a sentence without known features, before fitting.
-START = -6.0
+# The log-odds of a sentence without any weight. It is not fitted: clean documents would
+# pull it down and down, and the weights could not keep up.
+START = -10.5
 THRESHOLD = 0.3
 
 # Letters, digits and bytes of letters outside ASCII make words.
@@ -110,49 +111,90 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(toxic: np.ndarray, features: list[bytes], lengths: list[bytes]) -> Model:
+def _unpacked(batch: pa.RecordBatch):
+    """Of the documents of ``_gathered``: label, number of sentences, and for every
+    feature its document and its sentence (numbered through the batch)."""
+    toxic = batch.column("toxic").to_numpy()
+    lengths = [np.frombuffer(x, "<i4") for x in batch.column("lengths").to_pylist()]
+    feature = np.concatenate(
+        [np.zeros(0, np.int32), *(np.frombuffer(x, "<i4") for x in batch.column("features").to_pylist())]
+    )
+    per = np.concatenate([np.zeros(0, np.int32), *lengths])
+    count = np.array([len(x) for x in lengths], np.int64)
+    sentence = np.repeat(np.arange(len(per)), per)
+    return toxic, count, feature, np.repeat(np.arange(len(count)), count)[sentence], sentence
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per feature the documents that have it, and the toxic ones among them."""
+    seen, bad = np.zeros((2, 1 << FEATURE_BITS), np.int64)
+    for whole in batches:
+        for a in range(0, len(whole), 500):
+            toxic, _, feature, doc, _ = _unpacked(whole.slice(a, 500))
+            pair = np.unique(feature.astype(np.int64) << 32 | doc)
+            seen += np.bincount(pair >> 32, minlength=len(seen))
+            bad += np.bincount((pair >> 32)[toxic[pair & 0xFFFFFFFF] == 1], minlength=len(bad))
+    found = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found), pa.array(seen[found]), pa.array(bad[found])], ["feature", "seen", "bad"]
+    )
+
+
+def _found(known: np.ndarray):
+    """Per document its label, its sentences, and the features of ``known`` (sorted) with
+    their sentences."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, len(whole), 500):
+                toxic, count, feature, doc, sentence = _unpacked(whole.slice(a, 500))
+                hit = np.isin(feature, known)
+                cuts = np.searchsorted(doc[hit], np.arange(len(toxic) + 1)).astype(np.int32)
+                lists = lambda x: pa.ListArray.from_arrays(cuts, pa.array(x[hit].astype(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(toxic), pa.array(count), lists(feature), lists(sentence)],
+                    ["toxic", "n", "features", "sentences"],
+                )
+
+    return run
+
+
+def fit(
+    toxic: np.ndarray,
+    n: np.ndarray,
+    doc: np.ndarray,
+    sentence: np.ndarray,
+    feature: np.ndarray,
+) -> Model:
     """Weights that make the labels likely: full-batch Adam on the noisy-or
-    likelihood with a small penalty on weights."""
-    size = 1 << FEATURE_BITS
-    weights = np.zeros(size)
-    many = [np.frombuffer(x, "<i4") for x in lengths]
-    feature = np.concatenate([np.frombuffer(x, "<i4") for x in features] or [np.zeros(0, np.int32)])
-    per = np.concatenate(many) if many else np.zeros(0, np.int32)
-    if not toxic.any() or not len(per):
+    likelihood with a small penalty on weights. ``toxic`` and the number of
+    sentences ``n`` are per document, the others per feature found; a sentence
+    without any has the bias alone."""
+    weights = np.zeros(1 << FEATURE_BITS)
+    if not toxic.any() or not len(feature):
         return Model(weights, -30.0)
-    doc = np.repeat(np.arange(len(many)), [len(x) for x in many])
-    owner = np.repeat(doc, per)
-    pair = np.unique(feature.astype(np.int64) << 32 | owner)
-    seen = np.bincount(pair >> 32, minlength=size)
-    bad = np.bincount(pair >> 32, toxic[pair & 0xFFFFFFFF], size)
-    share = toxic.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        score = (bad - seen * share) / np.sqrt(seen * share * (1 - share))
-    known = (seen > 0) & (score >= MIN_SCORE)
-    sentence = np.repeat(np.arange(len(per)), per)[known[feature]]
-    feature = feature[known[feature]]
     names, feature = np.unique(feature, return_inverse=True)
-    state = np.zeros((3, len(names) + 1))  # values and Adam's two means; the bias is last
-    state[0, -1] = START
-    n = len(many)
+    pair, sentence = np.unique(doc << 32 | sentence, return_inverse=True)
+    owner = pair >> 32
+    rest = n - np.bincount(owner, minlength=len(n))
+    state = np.zeros((3, len(names)))  # weights and Adam's two means
+    clean = rest * np.logaddexp(0, START)
     for step in range(1, ROUNDS + 1):
-        w, b = state[0, :-1], state[0, -1]
-        odds = b + np.bincount(sentence, w[feature], len(per))
-        total = np.bincount(doc, np.logaddexp(0, odds), n)
+        odds = START + np.bincount(sentence, state[0][feature], len(owner))
+        total = np.bincount(owner, np.logaddexp(0, odds), len(n)) + clean
         # d/dz of -log P: p for a clean document; for a toxic one -p q / (1 - q),
         # where q is the probability that all its sentences are clean.
         pull = np.where(toxic == 1, -1 / np.expm1(np.maximum(total, 1e-12)), 1.0)
-        grad = pull[doc] / (1 + np.exp(-np.clip(odds, -40, 40)))
-        slope = np.append(np.bincount(feature, grad[sentence], len(names)), grad.sum()) / n
-        slope[:-1] += PENALTY / n
+        grad = pull[owner] / (1 + np.exp(-np.clip(odds, -40, 40)))
+        slope = (np.bincount(feature, grad[sentence], len(names)) + PENALTY) / len(n)
         state[1] = 0.9 * state[1] + 0.1 * slope
         state[2] = 0.99 * state[2] + 0.01 * slope**2
         state[0] -= RATE * (state[1] / (1 - 0.9**step)) / (
             np.sqrt(state[2] / (1 - 0.99**step)) + 1e-6
         )
-        state[0, :-1] = np.maximum(state[0, :-1], 0)
-    weights[names] = state[0, :-1]
-    return Model(weights, float(state[0, -1]))
+        state[0] = np.maximum(state[0], 0)
+    weights[names] = state[0]
+    return Model(weights, START)
 
 
 def train(
@@ -188,11 +230,38 @@ def train(
         .join(F.broadcast(chosen), "id")
         .select("toxic", "text")
     )
-    found = staged(
+    gathered = staged(
         rows.mapInArrow(_gathered, "toxic int, features binary, lengths binary"), "training"
+    )
+    size = gathered.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.expr("cast(toxic = 1 as int)")).alias("bad")
+    ).first()
+    if not size["bad"] or size["bad"] == size["n"]:
+        return fit(np.array([size["bad"] or 0]), *np.zeros((4, 0), np.int64))
+    share = size["bad"] / size["n"]
+    # At most 2^18 numbers, whatever is trained on; then only what these features hit.
+    known = (
+        gathered.mapInArrow(_occurrences, "feature long, seen long, bad long")
+        .groupBy("feature")
+        .agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+        .where(f"(bad - seen * {share}D) / sqrt(seen * {share * (1 - share)}D) >= {MIN_SCORE}D")
+        .select("feature")
+        .toArrow()["feature"]
+        .to_numpy()
+    )
+    found = gathered.mapInArrow(
+        _found(np.sort(known)),
+        "toxic int, n long, features array<long>, sentences array<long>",
     ).toArrow()
+    features = found["features"].combine_chunks()
+    sentences = found["sentences"].combine_chunks()
+    many = np.diff(features.offsets.to_numpy()) if len(features) else np.zeros(0, np.int64)
     return fit(
-        found["toxic"].to_numpy(), found["features"].to_pylist(), found["lengths"].to_pylist()
+        found["toxic"].to_numpy(),
+        found["n"].to_numpy(),
+        np.repeat(np.arange(len(many)), many),
+        sentences.flatten().to_numpy(),
+        features.flatten().to_numpy(),
     )
 
 
