@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 Q = 8
-WINDOW = 80
-STEP = 40
+WINDOW = 60
+STEP = 20
 RATE = 0.08
 # A shorter item says too little: it would be found in clean text by chance.
 MIN_CHARS = 24
