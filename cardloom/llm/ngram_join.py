@@ -150,7 +150,8 @@ def _sets(docs: DataFrame, open_: DataFrame, n: int) -> DataFrame:
     classes have, rarest first, as sortable numbers."""
     wanted = open_.select("key", F.col("one").alias("want"))
     grams = staged(
-        docs.join(wanted, "key").select("want", "text").mapInArrow(
+        # The wanted keys grow with the corpus, so they are never broadcast.
+        docs.join(wanted.hint("merge"), "key").select("want", "text").mapInArrow(
             _grams(n), "one long, gram long"
         ),
         "open_grams",
