@@ -11,7 +11,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cardloom.operators.cleaning import nan_pred_to_zero
 from cardloom.operators.encode import TEST_FOLD
@@ -158,4 +157,4 @@ def fold_rmse(df: DataFrame, y: str = "target", p: str = "pred") -> DataFrame:
         .groupBy("fold")
         .agg(F.sqrt(F.avg(F.pow(F.col(y) - F.col(p), F.lit(2)))).alias("rmse"))
     )
-    return per_fold.withColumn("mean_rmse", F.avg("rmse").over(Window.partitionBy(F.lit(0))))
+    return per_fold.withColumn("mean_rmse", per_fold.agg(F.avg("rmse")).scalar())

@@ -67,11 +67,12 @@ def rowwise_stats(df: DataFrame) -> DataFrame:
 def one_hot(
     df: DataFrame,
     columns: Sequence[str],
+    max_values: int,
     null_as_category: bool = True,
-    max_values: int = 1_000,
 ) -> DataFrame:
     """One 0/1 column per value of each column, in value order, and one for NULL
-    when asked. The values become columns, so their number is checked."""
+    when asked. The values become columns, so the caller says how many a column
+    may have; more are an error."""
     for c in columns:
         found = (
             df.filter(F.col(c).isNotNull()).select(c).distinct().limit(max_values + 1).collect()

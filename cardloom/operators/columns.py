@@ -24,8 +24,6 @@ NOT_FEATURES = (
     "new_purchase_date_max",
     "new_purchase_date_min",
     "new_card_id_size",
-    "OOF_PRED",
-    "month_0",
 )
 
 

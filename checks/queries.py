@@ -337,7 +337,7 @@ def _(s):
 
 @query("one_hot")
 def _(s):
-    return cards.one_hot(s.hist.select(*ROW, "category_3", "category_1"), ["category_3", "category_1"])
+    return cards.one_hot(s.hist.select(*ROW, "category_3", "category_1"), ["category_3", "category_1"], max_values=100)
 
 
 @query("price_ratio")
