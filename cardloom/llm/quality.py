@@ -237,8 +237,10 @@ def judge(
 
 def keep_good(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """The rows that ``judge`` keeps, with the columns of ``docs``, whatever
-    their names. The texts are read twice: to fit the model and to apply it."""
+    their names. The rows are staged with their counts: counting costs far more
+    than writing and reading them again."""
     features, names = with_features(docs, text_col)
+    features = staged(features, "counted_documents")
     model = fit(features, names, rounds)
     good = posterior(model, votes(names)) >= KEEP
     return features.where(~failed(names) & good).select(*[F.col(f"`{c}`") for c in docs.columns])
