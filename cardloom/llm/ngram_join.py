@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from cardloom.llm import words
 from cardloom.llm.common import fresh, staged
 from cardloom.llm.components import components
+from cardloom.sources.staging import remove, stage_path
 
 # Step 2 looks at the n-grams in this fraction of the hash space. A smaller one
 # moves fewer rows and leaves more classes to step 3; no value changes the result.
@@ -149,12 +150,15 @@ def _sets(docs: DataFrame, open_: DataFrame, n: int) -> DataFrame:
     """``one, n, grams``: of every open class the n-grams that at least two open
     classes have, rarest first, as sortable numbers."""
     wanted = open_.select("key", F.col("one").alias("want"))
+    spark = docs.sparkSession
+    path = stage_path(spark, "open_grams")
     grams = staged(
         # The wanted keys grow with the corpus, so they are never broadcast.
         docs.join(wanted.hint("merge"), "key").select("want", "text").mapInArrow(
             _grams(n), "one long, gram long"
         ),
         "open_grams",
+        path,
     )
     often = staged(
         grams.groupBy("gram")
@@ -178,7 +182,9 @@ def _sets(docs: DataFrame, open_: DataFrame, n: int) -> DataFrame:
         .groupBy("one")
         .agg(F.sort_array(F.collect_set("rank")).alias("grams"))
     )
-    return staged(open_.join(shared, "one").select("one", "n", "grams"), "open_sets")
+    sets = staged(open_.join(shared, "one").select("one", "n", "grams"), "open_sets")
+    remove(spark, path)  # the largest stage; nothing reads it any more
+    return sets
 
 
 def _open_roots(sets: DataFrame, percent: int) -> DataFrame:
