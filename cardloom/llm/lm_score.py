@@ -5,11 +5,14 @@ embedding of the left word and one of the right word are added, passed through
 tanh and turned into probabilities of all classes. The score of a document is the sum
 of the log-probabilities of its tokens.
 
-A token is a word's class: the most frequent words of the corpus have their own,
-all others share ``BUCKETS`` by hash. With a window of one word to either side, what the
-corpus says about the network is the table of counts of (left, right, token).
-All documents are counted; full-batch training then runs over that table, which
-stays distributed: a task returns the gradient of its part.
+The network predicts a word's class: the most frequent words of the corpus have their
+own, all others share ``BUCKETS`` by hash. A word that shares its class is scored as
+p(class | context) * p(word | class); the second factor comes from the counts of all
+words in all documents, a table that grows with the corpus and is never collected.
+With a window of one word to either side, what the corpus says about the network is
+the table of counts of (left, right, token). All documents are counted; full-batch
+training then runs over that table, which stays distributed: a task returns the
+gradient of its part. Training ends when the likelihood levels off.
 """
 
 from __future__ import annotations
@@ -28,8 +31,12 @@ from cardloom.llm.common import staged
 CLASSES = 256
 BUCKETS = 64
 WIDTH = 16
-ROUNDS = 12
 RATE = 0.1
+# The likelihood has levelled off when ``LOOK`` steps together raise a token's mean
+# log-likelihood by less than ``LEVEL``, or when steps of a ``LEAST``-th rate still lower it.
+LOOK = 4
+LEVEL = 2e-3
+LEAST = 1 / 128
 # Beside the classes, what stands before the first and after the last token.
 EDGE = CLASSES
 
@@ -81,14 +88,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """The most frequent words of all documents (the smaller hash first among
-    equals): ``CLASSES - BUCKETS`` of them are fetched."""
-    rows = (
+def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word, n``: every word (its hash) of all documents, with its number."""
+    return staged(
         docs.select(F.col(f"`{text_col}`").alias("text"))
         .mapInArrow(_word_counts, "word long, n long")
         .groupBy("word")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "lexicon",
+    )
+
+
+def vocabulary(
+    docs: DataFrame, text_col: str = "text", known: DataFrame | None = None
+) -> Vocabulary:
+    """The most frequent words of all documents (the smaller hash first among
+    equals): ``CLASSES - BUCKETS`` of them are fetched. ``known`` is the lexicon of
+    ``docs``, where there is one."""
+    rows = (
+        (lexicon(docs, text_col) if known is None else known)
         .orderBy(F.desc("n"), "word")
         .limit(CLASSES - BUCKETS)
         .collect()
@@ -98,16 +116,29 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     return Vocabulary(hashed[order], np.arange(len(rows))[order])
 
 
-def _places(vocab: Vocabulary, raw: np.ndarray, bounds: np.ndarray):
-    """Left, right and own class of every token, and the texts' bounds among them."""
-    hashed, at = words.word_hashes(raw, bounds, lower=True)
+# The bucket of a word without a class of its own, as in ``Vocabulary.classes``.
+_BUCKET = f"cast(shiftrightunsigned(word, 20) % {BUCKETS} as int)"
+
+
+def bucket_sizes(known: DataFrame, vocab: Vocabulary) -> list[int]:
+    """Tokens of all words that share each bucket."""
+    own = [int(h) for h in vocab.hashes.view(np.int64)]
+    rows = known.where(~F.col("word").isin(own)) if own else known
+    out = [0] * BUCKETS
+    for r in rows.groupBy(F.expr(_BUCKET).alias("b")).agg(F.sum("n").alias("n")).collect():
+        out[r["b"]] = r["n"]
+    return out
+
+
+def _around(vocab: Vocabulary, hashed: np.ndarray, at: np.ndarray):
+    """Left, right and own class of every token of texts with bounds ``at``."""
     token = vocab.classes(hashed)
     left = np.concatenate([[EDGE], token])[: len(token)]
     right = np.concatenate([token[1:], [EDGE]])[: len(token)]
     left[at[:-1][at[:-1] < len(token)]] = EDGE
     last = at[1:][at[1:] > 0] - 1
     right[last] = EDGE
-    return left, right, token, at
+    return left, right, token
 
 
 def _contexts(vocab: Vocabulary):
@@ -117,7 +148,7 @@ def _contexts(vocab: Vocabulary):
         total = np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int32)
         for batch in batches:
             for _, raw, bounds in words.slices(batch.column("text")):
-                left, right, token, _ = _places(vocab, raw, bounds)
+                left, right, token = _around(vocab, *words.word_hashes(raw, bounds, lower=True))
                 place, n = np.unique(
                     (left * (CLASSES + 1) + right) * CLASSES + token, return_counts=True
                 )
@@ -193,9 +224,12 @@ def _gradient(net: Network):
     return run
 
 
-def train(table: DataFrame, rounds: int = ROUNDS, seed: int = 7) -> tuple[Network, list[float]]:
-    """The network after ``rounds`` Adam steps over all counts, and the mean
-    log-likelihood of a token before each step."""
+def train(
+    table: DataFrame, rounds: int | None = None, seed: int = 7
+) -> tuple[Network, list[float]]:
+    """The network after Adam steps over all counts until the likelihood levels off, or
+    ``rounds`` times, and the mean log-likelihood of a token before each step that was
+    kept. A step that lowers it is taken back and tried at half the rate."""
     rng = np.random.default_rng(seed)
     small = lambda *shape: rng.normal(0, 0.3, shape)
     unigram = np.ones(CLASSES)
@@ -212,79 +246,154 @@ def train(table: DataFrame, rounds: int = ROUNDS, seed: int = 7) -> tuple[Networ
         small(WIDTH, CLASSES) * 0.1,
         np.log(unigram / unigram.sum()),
     )
-    mean = [np.zeros(p.shape) for p in net.parts()]
-    square = [np.zeros(p.shape) for p in net.parts()]
-    history = []
-    for step in range(1, rounds + 1):
-        seen, gain = 0.0, 0.0
-        slope = np.zeros(sum(p.size for p in net.parts()))
+    sizes = [p.size for p in net.parts()]
+    flat = np.concatenate([p.ravel() for p in net.parts()])
+    mean, square = np.zeros((2, len(flat)))
+    history: list[float] = []
+    kept, push, rate, tried = flat, np.zeros(len(flat)), RATE, 0
+    while rounds is None or tried < rounds:
+        tried += 1
+        seen, gain, slope = 0.0, 0.0, np.zeros(len(flat))
         for r in table.mapInArrow(_gradient(net), "seen double, gain double, slope binary").collect():
             seen, gain = seen + r["seen"], gain + r["gain"]
             slope += np.frombuffer(r["slope"])
         if not seen:
             break
-        history.append(gain / seen)
-        at = 0
-        for part, m, v in zip(net.parts(), mean, square):
-            g = slope[at : at + part.size].reshape(part.shape) / seen
-            at += part.size
-            m += 0.1 * (g - m)
-            v += 0.01 * (g**2 - v)
-            part += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        if history and gain / seen <= history[-1]:
+            rate /= 2
+            if rate < RATE * LEAST:
+                _set(net, kept, sizes)
+                break
+        else:
+            history.append(gain / seen)
+            kept = flat
+            if rounds is None and len(history) > LOOK and history[-1] - history[-1 - LOOK] < LEVEL:
+                break
+            mean += 0.1 * (slope / seen - mean)
+            square += 0.01 * ((slope / seen) ** 2 - square)
+            step = len(history)
+            push = (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        flat = kept + rate * push
+        _set(net, flat, sizes)
     return net, history
 
 
+def _set(net: Network, flat: np.ndarray, sizes: list[int]) -> None:
+    for part, new in zip(net.parts(), np.split(flat, np.cumsum(sizes)[:-1])):
+        part[...] = new.reshape(part.shape)
+
+
 def _scored(vocab: Vocabulary, net: Network):
+    """One row per text with its number of tokens and the score of their classes, and one
+    for each of its words without a class of its own, with ``many`` its number in the
+    text. The former have a made-up ``word`` that deals them out evenly."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log = net.table()
         for batch in batches:
-            size, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for _, raw, bounds in words.slices(batch.column("text")):
-                left, right, token, at = _places(vocab, raw, bounds)
+            keys = batch.column("row").to_numpy()
+            for first, raw, bounds in words.slices(batch.column("text")):
+                hashed, at = words.word_hashes(raw, bounds, lower=True)
+                left, right, token = _around(vocab, hashed, at)
                 each = log[(left * (CLASSES + 1) + right) * CLASSES + token]
-                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(at))
-                size.append(np.diff(at))
-                score.append(np.bincount(owner, each, len(bounds) - 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.concatenate(size)),
-                    pa.array(np.concatenate(score)),
-                ],
-                ["doc_id", "n_tokens", "log_likelihood"],
-            )
+                n = len(bounds) - 1
+                owner = np.repeat(np.arange(n), np.diff(at))
+                row = keys[first : first + n]
+                yield _rows(
+                    row,
+                    words.mix(row.view(np.uint64)),
+                    np.zeros(n, np.int64),
+                    batch.column("doc_id").slice(first, n),
+                    np.diff(at),
+                    np.bincount(owner, each, n),
+                )
+                rare = token >= CLASSES - BUCKETS
+                order = np.lexsort((hashed[rare], owner[rare]))
+                owner, hashed = owner[rare][order], hashed[rare][order]
+                new = np.ones(len(owner), bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (hashed[1:] != hashed[:-1])
+                start = np.flatnonzero(new)
+                many = np.diff(np.append(start, len(owner)))
+                for a in range(0, len(start), 1 << 17):
+                    part = start[a : a + (1 << 17)]
+                    k = len(part)
+                    yield _rows(
+                        row[owner[part]],
+                        hashed[part],
+                        many[a : a + k],
+                        pa.nulls(k, pa.int64()),
+                        np.zeros(k, np.int64),
+                        np.zeros(k),
+                    )
 
     return run
 
 
+def _rows(row, word, many, doc_id, n_tokens, score) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(row),
+            pa.array(word.view(np.int64)),
+            pa.array(many),
+            doc_id,
+            pa.array(n_tokens),
+            pa.array(score.astype(np.float64)),
+        ],
+        ["row", "word", "many", "doc_id", "n_tokens", "score"],
+    )
+
+
 def score(
     docs: DataFrame,
     vocab: Vocabulary,
     net: Network,
     id_col: str = "doc_id",
     text_col: str = "text",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, mean_log_likelihood`` for every row.
 
-    Null, empty and blank texts have 0 tokens, log-likelihood 0 and a null mean.
-    Null ids and rows that repeat are kept; other columns are not read.
+    ``known`` is the lexicon; without one, only the classes of the words are scored. A
+    word outside the lexicon counts as seen once more in its bucket. Null, empty and
+    blank texts have 0 tokens, log-likelihood 0 and a null mean. Null ids and rows
+    that repeat are kept; other columns are not read.
     """
-    return (
-        docs.select(
-            F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
-        )
-        .mapInArrow(_scored(vocab, net), "doc_id long, n_tokens long, log_likelihood double")
-        .withColumn(
-            "mean_log_likelihood",
-            F.expr("case when n_tokens > 0 then log_likelihood / n_tokens end"),
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    ).mapInArrow(
+        _scored(vocab, net),
+        "row long, word long, many long, doc_id long, n_tokens long, score double",
+    )
+    if known is None:
+        rows = rows.where("many = 0").withColumn("log_likelihood", F.col("score"))
+    else:
+        # One more than was seen: the share of all words that were not.
+        logs = F.array(*(F.lit(float(np.log(n + 1))) for n in bucket_sizes(known, vocab)))
+        word = F.log(F.coalesce("n", F.lit(1)).cast("double")) - logs[F.expr(_BUCKET)]
+        rows = (
+            # The same plan at every size.
+            rows.join(known.hint("merge"), "word", "left")
+            .withColumn("word_score", F.when(F.col("many") > 0, F.col("many") * word).otherwise(0.0))
+            .groupBy("row")
+            .agg(
+                F.max("doc_id").alias("doc_id"),
+                F.sum("n_tokens").alias("n_tokens"),
+                F.sum(F.col("score") + F.col("word_score")).alias("log_likelihood"),
+            )
         )
+    return rows.select("doc_id", "n_tokens", "log_likelihood").withColumn(
+        "mean_log_likelihood",
+        F.expr("case when n_tokens > 0 then log_likelihood / n_tokens end"),
     )
 
 
 def pseudo_likelihood(
-    docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, rounds: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Train on ``docs`` and score them. An empty table gives an empty result."""
-    vocab = vocabulary(docs, text_col)
+    known = lexicon(docs, text_col)
+    vocab = vocabulary(docs, text_col, known)
     net, _ = train(counts(docs, vocab, text_col), rounds)
-    return score(docs, vocab, net, id_col, text_col)
+    return score(docs, vocab, net, id_col, text_col, known)

@@ -129,3 +129,32 @@ def test_pseudo_likelihood_of_odd_documents(spark, odd_documents):
 
 def test_pseudo_likelihood_query(spark, sample):
     assert op7_pseudo_likelihood(spark, sample).count() == 200
+
+
+def test_a_word_counts_as_itself_not_as_its_bucket(spark, sample):
+    docs = spark.read.parquet(f"{sample}/documents.parquet").select("doc_id", "text")
+    known = lm_score.lexicon(docs)
+    vocab = lm_score.vocabulary(docs, known=known)
+    counted = lm_score.counts(docs, vocab)
+    net, history = lm_score.train(counted)
+    assert len(history) > 12
+    assert history[-1] - history[-1 - lm_score.LOOK] < lm_score.LEVEL
+    # Two words of one bucket and one nobody has seen, in the same place of the same text.
+    rows = [r for r in known.collect() if r.word not in set(vocab.hashes.view(np.int64).tolist())]
+    size, seen = {}, {}
+    for r in rows:
+        b = (r.word % 2**64 >> 20) % lm_score.BUCKETS
+        size[b] = size.get(b, 0) + r.n
+        seen[r.word] = r.n
+    of = lambda w: words.word_hashes(*words.buffer(pa.array([w])), lower=True)[0].view(np.int64)[0]
+    texts = sorted({w for r in docs.collect() for w in r.text.lower().split() if w.isascii()})
+    texts = [w for w in texts if of(w) in seen][:400] + [f"zzqx{i}" for i in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {r.doc_id: r for r in lm_score.score(frame, vocab, net, known=known).collect()}
+    plain = {r.doc_id: r for r in lm_score.score(frame, vocab, net).collect()}
+    assert len(whole) == len(texts)
+    for i, w in enumerate(texts):
+        b = (int(of(w)) % 2**64 >> 20) % lm_score.BUCKETS
+        want = np.log(seen.get(of(w), 1) / (size[b] + 1))
+        assert whole[i].log_likelihood - plain[i].log_likelihood == pytest.approx(want)
+    assert len({round(r.log_likelihood, 9) for r in whole.values()}) > lm_score.BUCKETS
