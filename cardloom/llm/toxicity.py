@@ -5,7 +5,9 @@ A sentence's probability is a logistic function of hashed features: its words an
 their first four, five and six bytes, so that inflected forms share what they
 begin with. A document is toxic unless every sentence is clean (noisy-or):
 ``1 - prod(1 - p)``. The weights are fitted through that formula from document
-labels; the sentences that carry the score can then be named.
+labels; the sentences that carry the score can then be named. What a sentence
+without any weight has in fitting is taken off when documents are scored, so such
+sentences add nothing, however many there are.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ PENALTY = 0.2
 # Only a feature whose documents are toxic more often than all are, by so many
 # standard deviations, gets a weight; it is never negative.
 MIN_SCORE = 2.5
-# The log-odds of a sentence without any weight. It is not fitted: clean documents would
-# pull it down and down, and the weights could not keep up.
+# The log-odds in fitting of a sentence without any weight; scores are without it. It is
+# not fitted: clean documents would pull it down and down, and the weights could not keep up.
 START = -10.5
 THRESHOLD = 0.3
 
@@ -74,12 +76,19 @@ def _features(raw: np.ndarray, bounds: np.ndarray):
 
 
 def _sentences(raw: np.ndarray, bounds: np.ndarray, model: Model):
-    """Log-odds, document, begin and end of every sentence."""
+    """Log-odds, document, begin and end of every sentence. Its probability of being
+    clean is that of the model over that of a sentence without any weight, so that
+    the latter has log-odds of minus infinity."""
     feature, sentence, doc, begin, end = _features(raw, bounds)
     # A feature counts once in a sentence, in fitting and here; few have a weight.
     hit = model.weights[feature] != 0
     pair = np.unique(sentence[hit] << 32 | feature[hit])
-    odds = model.bias + np.bincount(pair >> 32, model.weights[pair & 0xFFFFFFFF], len(doc))
+    weight = np.bincount(pair >> 32, model.weights[pair & 0xFFFFFFFF], len(doc))
+    # (1 + exp(bias + weight)) / (1 + exp(bias)) - 1 are the odds, without overflow.
+    odds = np.full(len(doc), -np.inf)
+    some = weight > 0
+    odds[some] = weight[some] + np.log(-np.expm1(-weight[some]))
+    odds += model.bias - np.logaddexp(0, model.bias)
     return odds, doc, begin, end
 
 

@@ -158,3 +158,15 @@ def test_a_word_counts_as_itself_not_as_its_bucket(spark, sample):
         want = np.log(seen.get(of(w), 1) / (size[b] + 1))
         assert whole[i].log_likelihood - plain[i].log_likelihood == pytest.approx(want)
     assert len({round(r.log_likelihood, 9) for r in whole.values()}) > lm_score.BUCKETS
+
+
+def test_length_alone_is_not_toxic(spark, model):
+    texts = ["so.\n" * 50_000, "so. " * 50_000 + "You are an idiot and a clown.", "You are an idiot and a clown."]
+    raw, bounds = words.buffer(pa.array(texts))
+    odds, doc, _, _ = toxicity._sentences(raw, bounds, model)
+    got = toxicity._noisy_or(odds, doc, len(texts))
+    assert len(doc) > 100_000
+    assert got[0] == 0
+    assert got[1] == pytest.approx(got[2]) and got[2] > toxicity.THRESHOLD
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in toxicity.reject_toxic(frame, model).collect()] == [0]
