@@ -2,16 +2,18 @@
 few edits?
 
 Texts are compared as code points, lower-cased one by one, with every run of
-white space as one space. Each item is cut into windows of ``WINDOW`` characters,
-one every ``STEP`` and one at its end. A window of m characters occurs where a
-part of the text can be made from it with at most e = RATE * m insertions,
-deletions and substitutions.
+white space as one space. A leak is a passage of ``WINDOW`` characters of an item, or a
+whole item that is shorter. Every such passage is a window, one at each place of the
+item (``STEP`` is 1), so none is missed for where it begins. A window of m characters
+occurs where a part of the text can be made from it with at most e = RATE * m
+insertions, deletions and substitutions.
 
 The q-gram lemma finds these places: such a part has at least
 ``m + 1 - q (e + 1)`` q-grams of the window, and their diagonals (place in the text
 less place in the window) differ by e at most. So they meet in one of the bands
 of 2 (e + 1) diagonals that begin every e + 1. Bands with enough q-grams are
-aligned, within their diagonals only.
+aligned, within their diagonals only. An index holds an item's characters and
+q-grams once; its windows are numbered one after another and made where they are met.
 """
 
 from __future__ import annotations
@@ -27,15 +29,18 @@ from pyspark.sql.functions import arrow_udf
 
 Q = 8
 WINDOW = 60
-STEP = 20
+STEP = 1
 RATE = 0.08
 # A shorter item says too little: it would be found in clean text by chance.
 MIN_CHARS = 24
 # Benchmarks are searched in blocks of about so many characters, one index each,
 # so that what is sent to the executors does not grow with the benchmark.
 BLOCK_CHARS = 4_000_000
-# Characters of documents looked at together.
+# Characters of documents looked at together; pairs of a q-gram and a window, and windows
+# to be aligned, likewise.
 SLICE = 1 << 21
+PAIRS = 1 << 21
+ALIGNED = 1 << 14
 
 _LOWER = np.array(
     [ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(map(chr, range(0x10000)))],
@@ -74,57 +79,68 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    item: np.ndarray  # of each window: its item, its place in the folded item, m, e
-    start: np.ndarray
+    item: np.ndarray  # of each item: its id, its place in codes, its first window, m, e
+    base: np.ndarray
+    first: np.ndarray
     size: np.ndarray
     edits: np.ndarray
-    codes: np.ndarray  # windows x WINDOW
+    codes: np.ndarray  # all items one after another, and room for a window
     keys: np.ndarray  # distinct q-grams, sorted, with the bounds of their postings
     bounds: np.ndarray
-    window: np.ndarray  # of each posting
-    offset: np.ndarray
+    owner: np.ndarray  # of each posting: its item, and its place in the item
+    place: np.ndarray
+    windows: np.ndarray  # of each item: how many
 
     @property
     def floor(self) -> np.ndarray:
         return self.size + 1 - Q * (self.edits + 1)
 
+    def items(self, window: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.first, window, "right") - 1
+
+    def starts(self, window: np.ndarray) -> np.ndarray:
+        return window - self.first[self.items(window)]
+
 
 def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
     """None where no item is long enough."""
-    ids, starts, sizes, codes = [], [], [], []
+    ids, codes = [], []
     for item, text in items:
         folded, _ = _folded((text or "").strip())
-        if len(folded) < MIN_CHARS:
-            continue
-        m = min(WINDOW, len(folded))
-        for s in sorted({*range(0, len(folded) - m + 1, STEP), len(folded) - m}):
+        if len(folded) >= MIN_CHARS:
             ids.append(item)
-            starts.append(s)
-            sizes.append(m)
-            codes.append(np.pad(folded[s : s + m], (0, WINDOW - m)))
+            codes.append(folded)
     if not ids:
         return None
-    size = np.array(sizes)
-    table = np.stack(codes)
-    grams = [_grams(c[:m]) for c, m in zip(table, size)]
+    length = np.array([len(c) for c in codes])
+    size = np.minimum(WINDOW, length)
+    windows = length - size + 1
+    grams = [_grams(c) for c in codes]
     flat = np.concatenate(grams)
-    window = np.repeat(np.arange(len(size)), [len(g) for g in grams])
-    offset = np.concatenate([np.arange(len(g)) for g in grams])
+    owner = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
+    place = np.concatenate([np.arange(len(g)) for g in grams])
     order = np.argsort(flat, kind="stable")
     keys, first = np.unique(flat[order], return_index=True)
     return Index(
         np.array(ids, object),
-        np.array(starts),
+        np.cumsum(length) - length,
+        np.cumsum(windows) - windows,
         size,
         np.floor(RATE * size + 1e-9).astype(np.int64),
-        table,
+        np.concatenate([*codes, np.zeros(WINDOW, np.uint32)]),
         keys,
         np.append(first, len(flat)),
-        window[order],
-        offset[order],
+        owner[order],
+        place[order],
+        windows,
     )
 
 
+def _runs(low: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """low, low + 1, ... of each, ``many`` numbers."""
+    return np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
 class Searcher:
     """Finds the windows of an index in texts."""
 
@@ -165,16 +181,38 @@ class Searcher:
         key = np.minimum(np.searchsorted(ix.keys, grams), len(ix.keys) - 1)
         same = ix.keys[key] == grams
         at, key = at[same], key[same]
+        # All q-grams of a band lie within ``span`` places; parts of the text overlap by as many.
+        span = self.reach + 2 * self.stride
+        pairs = np.cumsum((ix.bounds[key + 1] - ix.bounds[key]) * WINDOW)
+        windows, lows, a = [none], [none], 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(pairs, (pairs[a - 1] if a else 0) + PAIRS, "right")))
+            to = int(np.searchsorted(at, at[b - 1] + span, "right"))
+            window, low = self._counted(at[a:to], key[a:to], len(codes))
+            windows.append(window)
+            lows.append(low)
+            a = b
+        found = np.unique(np.stack([np.concatenate(windows), np.concatenate(lows)]), axis=1)
+        return found[0], found[1]
+
+    def _counted(self, at: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        ix = self.index
         many = ix.bounds[key + 1] - ix.bounds[key]
-        post = np.repeat(ix.bounds[key] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        window = ix.window[post]
+        post = _runs(ix.bounds[key], many)
+        at, owner, place = np.repeat(at, many), ix.owner[post], ix.place[post]
+        # The windows of the item that hold the q-gram begin from low to high.
+        low = np.maximum(place - (ix.size[owner] - Q), 0)
+        many = np.minimum(place, ix.windows[owner] - 1) - low + 1
+        start = _runs(low, many)
+        window = np.repeat(ix.first[owner], many) + start
         # Diagonals are counted from -WINDOW, and a band begins one stride lower.
-        band = (np.repeat(at, many) - ix.offset[post] + WINDOW) // self.stride + 1
-        wide = (len(codes) + WINDOW) // self.stride + 3
+        diagonal = np.repeat(at - place, many) + start
+        band = (diagonal + WINDOW) // self.stride + 1
+        wide = (n + WINDOW) // self.stride + 3
         key = np.concatenate([window * wide + band, window * wide + band - 1])
         key, count = np.unique(key, return_counts=True)
         window, band = key // wide, key % wide
-        good = count >= ix.floor[window]
+        good = count >= ix.floor[ix.items(window)]
         return window[good], (band[good] - 1) * self.stride - WINDOW
 
     def align(
@@ -188,7 +226,9 @@ class Searcher:
         column = np.arange(width) * big
         now = np.broadcast_to(np.arange(width), (len(window), width)).astype(np.int64).copy()
         best = np.full((len(window), 2), np.iinfo(np.int64).max)
-        pattern, size = self.index.codes[window], self.index.size[window]
+        item = self.index.items(window)
+        size, begin = self.index.size[item], self.index.base[item] + self.index.starts(window)
+        pattern = self.index.codes[begin[:, None] + np.arange(int(size.max()))]
         for i in range(1, int(size.max()) + 1):
             place = base[:, None] + np.arange(width) + i - 1
             inside = (place >= 0) & (place < len(codes))
@@ -218,8 +258,16 @@ class Searcher:
             codes, place = _folded(("\0" * gap).join(part))
             window, low = self.bands(codes)
             if len(window):
-                edits, begin, end = self.align(codes, window, low)
-                good = edits <= self.index.edits[window]
+                edits, begin, end = map(
+                    np.concatenate,
+                    zip(
+                        *(
+                            self.align(codes, window[k : k + ALIGNED], low[k : k + ALIGNED])
+                            for k in range(0, len(window), ALIGNED)
+                        )
+                    ),
+                )
+                good = edits <= self.index.edits[self.index.items(window)]
                 window, edits, begin, end = window[good], edits[good], begin[good], end[good]
                 starts = np.cumsum([0, *(len(t) + gap for t in part)])
                 first, last = place[begin], place[end - 1] + 1
@@ -293,11 +341,12 @@ def _finder(index: Index):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             found = list(searcher.search(texts))
             text, window, begin, end, edits = zip(*found) if found else ([],) * 5
+            window = np.array(window, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array(text, pa.int64())),
-                    pa.array([index.item[w] for w in window], pa.int64()),
-                    pa.array([int(index.start[w]) for w in window], pa.int64()),
+                    pa.array(index.item[index.items(window)].tolist(), pa.int64()),
+                    pa.array(index.starts(window)),
                     pa.array(begin, pa.int64()),
                     pa.array(end, pa.int64()),
                     pa.array(edits, pa.int64()),

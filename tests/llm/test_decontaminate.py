@@ -113,3 +113,24 @@ def test_empty_tables(spark, case):
     assert d.decontaminate(docs, bench.limit(0)).count() == len(case[0])
     nulls = spark.createDataFrame([(1, None)], "item_id long, text string")
     assert d.leaks(docs, nulls).collect() == []
+
+
+def test_every_passage_of_a_window_is_found_wherever_it_begins(spark, monkeypatch):
+    rng = random.Random(3)
+    item = "".join(rng.choices("abcdefghijklmnop ", k=200)).replace("  ", " x").strip()
+    part = lambda k: "QZ" * 40 + item[k : k + d.WINDOW] + "ZQ" * 40
+    places = [k for k in range(len(item) - d.WINDOW + 1) if " " not in (item[k], item[k + d.WINDOW - 1])]
+    docs = [(k, part(k)) for k in places] + [(1000, " ".join([item] * 3)), (1001, "QZ" * 90)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = {(r.doc_id, r.item_start): r.edits for r in d.leaks(frame, bench).collect()}
+    assert all(found[k, k] == 0 for k in places)
+    assert sum(k[0] == 1000 for k in found) == len(item) - d.WINDOW + 1
+    assert [r.doc_id for r in d.decontaminate(frame, bench).collect()] == [1001]
+    # Small parts give what one large part does.
+    searcher = d.Searcher(d.build_index([(1, item)]))
+    texts = [t for _, t in docs]
+    whole = list(searcher.search(texts))
+    monkeypatch.setattr(d, "PAIRS", 100)
+    monkeypatch.setattr(d, "ALIGNED", 7)
+    assert list(searcher.search(texts)) == whole
