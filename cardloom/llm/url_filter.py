@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from cardloom.llm.common import ascii_lower, staged
 
-#: Suffixes of more than one label under which names are registered.
+#: Suffixes of more than one label under which names are registered: a few of thousands;
+#: callers with other hosts give a list of their own, say a public suffix file's lines.
 LONG_SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 # The bound lies so many standard deviations below the posterior mean.
 BOUND = 1.645
@@ -40,20 +41,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _by_size(long: Sequence[str]) -> list[tuple[int, list[str]]]:
+    """Suffixes by their number of labels, the most labels first."""
+    sizes: dict[int, set[str]] = {}
+    for name in long:
+        name = name.lower().strip(".")
+        sizes.setdefault(name.count(".") + 1, set()).add(name)
+    return [(k, sorted(sizes[k])) for k in sorted(sizes, reverse=True) if k > 1]
+
+
 def suffix_of(host: Column, long: Sequence[str] = LONG_SUFFIXES) -> Column:
-    """The last label, or a longer suffix of ``long``."""
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*long), two).otherwise(F.substring_index(host, ".", -1))
+    """The last label, or the longest suffix of ``long``."""
+    tail = lambda k: F.substring_index(host, ".", -k)
+    fits = [F.when(tail(k).isin(*names), tail(k)) for k, names in _by_size(long)]
+    return F.coalesce(*fits, tail(1))
 
 
 def domain_of(host: Column, long: Sequence[str] = LONG_SUFFIXES) -> Column:
     """The suffix and one label before it; a host of digits and dots is its own."""
-    two = F.substring_index(host, ".", -2)
-    return (
-        F.when(host.rlike(r"^[0-9.:]+$"), host)
-        .when(two.isin(*long), F.substring_index(host, ".", -3))
-        .otherwise(two)
-    )
+    tail = lambda k: F.substring_index(host, ".", -k)
+    fits = [F.when(tail(k).isin(*names), tail(k + 1)) for k, names in _by_size(long)]
+    return F.coalesce(F.when(host.rlike(r"^[0-9.:]+$"), host), *fits, tail(2))
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -117,20 +125,23 @@ def _level(units: DataFrame, parents: DataFrame | None, key: str, parent: str |
     )
 
 
-def reputation(labelled: DataFrame, hosts: DataFrame) -> DataFrame:
+def reputation(
+    labelled: DataFrame, hosts: DataFrame, long: Sequence[str] = LONG_SUFFIXES
+) -> DataFrame:
     """``host, mean, weight, lower`` for every row of ``hosts(host)``.
 
     ``labelled(host, bad)`` has one row per labelled page. A host without
     labelled pages has its parents' mean and their weight limited to the prior's.
     Rows with a null ``bad`` or host are not counted; without any label
-    nothing is known and every share is one half with weight 1.
+    nothing is known and every share is one half with weight 1. ``long`` lists the
+    suffixes of more than one label.
     """
     counted = staged(
         labelled.dropna()
         .groupBy("host")
         .agg(F.sum("bad").cast("double").alias("bad"), F.count(F.lit(1)).cast("double").alias("pages"))
-        .withColumn("domain", domain_of(F.col("host")))
-        .withColumn("suffix", suffix_of(F.col("host"))),
+        .withColumn("domain", domain_of(F.col("host"), long))
+        .withColumn("suffix", suffix_of(F.col("host"), long)),
         "host_counts",
     )
     sums = lambda *keys: counted.groupBy(*keys).agg(
@@ -145,8 +156,8 @@ def reputation(labelled: DataFrame, hosts: DataFrame) -> DataFrame:
         F.col("weight").alias(f"{name}_weight"),
     )
     out = (
-        hosts.withColumn("domain", domain_of(F.col("host")))
-        .withColumn("suffix", suffix_of(F.col("host")))
+        hosts.withColumn("domain", domain_of(F.col("host"), long))
+        .withColumn("suffix", suffix_of(F.col("host"), long))
         .join(known, "host", "left")
         .join(named(domains, "domain"), "domain", "left")
         .join(named(suffixes, "suffix"), "suffix", "left")
@@ -174,11 +185,12 @@ def judge(
     max_bad: float = MAX_BAD,
     id_col: str = "page_id",
     url_col: str = "url",
+    long: Sequence[str] = LONG_SUFFIXES,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, lower`` for every row of ``pages``.
 
     The verdict is the rule's, else ``block`` where the lower bound of the host's
-    share of bad pages is above ``max_bad``. ``labelled(host, bad)`` as in
+    share of bad pages is above ``max_bad``. ``labelled(host, bad)`` and ``long`` as in
     ``reputation``. A url that is null or has no ``://`` has an empty host and
     path and is judged like a host of that name. Null ids and rows that
     repeat are kept, other columns not read. A host with very many pages meets
@@ -188,7 +200,7 @@ def judge(
     rows = pages.select(
         F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path")
     )
-    known = staged(reputation(labelled, rows.select("host").distinct()), "reputation")
+    known = staged(reputation(labelled, rows.select("host").distinct(), long), "reputation")
     return (
         rows.join(known, "host")
         .withColumn("found", rule_of(F.col("host"), F.col("path"), rules))

@@ -185,3 +185,27 @@ def test_one_rule_that_misfires_is_outvoted(spark):
     model = quality.learn(votes)
     p = votes.select(quality.posterior(model, [F.col(c) for c in names]).alias("p")).collect()
     assert p[0].p > 0.9 and p[1].p < 0.2 and p[2].p < 0.2
+
+
+def test_suffixes_of_the_caller(spark):
+    hosts = ["a.bad.co.nz", "new.co.nz", "x.y.city.kobe.jp", "shop.uk", "b.c.co.uk", "10.0.0.1"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    long = ("Co.nz", "co.uk", "city.kobe.jp")
+    got = frame.select(
+        url_filter.domain_of(F.col("host"), long), url_filter.suffix_of(F.col("host"), long)
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("bad.co.nz", "co.nz"),
+        ("new.co.nz", "co.nz"),
+        ("y.city.kobe.jp", "city.kobe.jp"),
+        ("shop.uk", "uk"),
+        ("c.co.uk", "co.uk"),
+        ("10.0.0.1", "1"),
+    ]
+    labelled = [("a.bad.co.nz", 1)] * 300 + [(f"h{i}.co.nz", 0) for i in range(20) for _ in range(30)]
+    labelled = spark.createDataFrame(labelled, "host string, bad int")
+    pages = spark.createDataFrame([(1, "http://b.bad.co.nz/"), (2, "http://c.h3.co.nz/")], "page_id long, url string")
+    lower = lambda **k: {r.page_id: r.lower for r in url_filter.judge(pages, labelled, **k).collect()}
+    alike, apart = lower(), lower(long=long)
+    assert alike[1] == alike[2]
+    assert apart[1] > apart[2]
