@@ -210,10 +210,46 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 FROM bits JOIN m USING (payload_digest)
 """
 
+_NEAREST = """
+near{k} AS MATERIALIZED (
+  SELECT r, p, v, e, d FROM (
+    SELECT r, x.p, x.v, b.e, list_sum([(x.v[i] - b.v[i]) * (x.v[i] - b.v[i]) for i in range(1, len(b.v) + 1)])::BIGINT AS d
+    FROM x JOIN book{k} b USING (p))
+  QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1
+)"""
+_BOOK = """
+book{n} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN (
+    SELECT p, e, list(floor(s::DOUBLE / n)::BIGINT ORDER BY i) AS v FROM (
+      SELECT p, e, i, sum(v[i]) AS s, count(*) AS n FROM near{k}, unnest(range(1, len(v) + 1)) u(i) GROUP BY ALL)
+    GROUP BY ALL) m USING (p, e)
+)"""
+
+OP13 = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         [floor(256 * c::DOUBLE)::BIGINT for c in embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len([c for c in embedding if c IS NULL OR isnan(c) OR isinf(c)]) = 0
+), x AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS v FROM kept, range(16) t(p)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM x WHERE r <= 64
+), {_NEAREST.format(k=0)}, {_BOOK.format(k=0, n=1)}, {_NEAREST.format(k=1)}, {_BOOK.format(k=1, n=2)}, {_NEAREST.format(k=2)},
+digest AS (
+  SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, i, v[i] AS c FROM book2, unnest(range(1, len(v) + 1)) u(i))
+), coded AS (
+  SELECT r, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
 ORACLES = {
     "op1_url_reputation": OP1,
     "op3_ngram_join": OP3,
     "op4_perspectives": OP4,
     "op5_quality_rules": OP5,
     "op8_warc_revisits": OP8,
+    "op13_vector_codes": OP13,
 }

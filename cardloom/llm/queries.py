@@ -17,8 +17,10 @@ from cardloom.llm import (
     ngram_join,
     packing,
     quality,
+    token_alignment,
     toxicity,
     url_filter,
+    vector_codes,
     warc,
     wordpiece,
 )
@@ -125,6 +127,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def alignment_files() -> tuple[str, bytes]:
+    """A byte-level tokenizer's file and a sentencepiece model."""
+    return (
+        Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8"),
+        Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes(),
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(table(spark, sf_dir, "documents"), *alignment_files())
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -138,5 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_revisits,
         op9_packing,
         op10_toxicity,
+        op12_token_alignment,
+        op13_vector_codes,
     )
 }
