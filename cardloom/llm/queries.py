@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cardloom.llm import (
     chat,
     decontaminate,
+    html_wrapper,
     lm_score,
     ngram_join,
     packing,
@@ -127,6 +128,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.main_text(table(spark, sf_dir, "pages"))
+
+
 def alignment_files() -> tuple[str, bytes]:
     """A byte-level tokenizer's file and a sentencepiece model."""
     return (
@@ -156,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_revisits,
         op9_packing,
         op10_toxicity,
+        op11_main_text,
         op12_token_alignment,
         op13_vector_codes,
     )

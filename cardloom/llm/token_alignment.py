@@ -1,6 +1,7 @@
 """Token alignment: the tokens of two tokenizers over the same bytes, put side by side.
 
-Tasks encode whole texts with both tokenizers and turn token bytes into end offsets. All
+Tasks encode whole texts with both tokenizers, each chunk that recurs once, and turn token
+bytes into end offsets. All
 texts of a slice advance in lockstep: one state vector holds a pair of pointers for every
 text (a long text has one for each run of ``LANE`` bytes, so that it does not walk on alone).
 A step compares all pairs of ends at once, emits a link and a cut where they are equal,
@@ -31,11 +32,15 @@ from cardloom.llm import words
 from cardloom.llm.common import staged
 
 # Bytes of text encoded at once, of one state pair, and of a block.
-SLICE, LANE, BLOCK = 1 << 20, 1 << 10, 1 << 24
+SLICE, LANE, BLOCK = 1 << 20, 1 << 10, 1 << 23
 # Different links of a block in one row.
 CHUNK = 1 << 16
-# A longer text is encoded in parts, cut where both tokenizers always cut.
-SAFE_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+# Both tokenizers always cut before a single space, which goes with what follows.
+SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
+# Chunks between such cuts remembered; then it begins anew, with the same results.
+MOST = 300_000
+# Chunks encoded as one text.
+TOGETHER = 1_000
 SPACE_MARK = "▁"
 
 DOC = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -90,32 +95,84 @@ class _Coders:
         )
         # Without a piece that goes on over a space, a text may be cut before one.
         self.cuts = not any(SPACE_MARK in t.lstrip(SPACE_MARK) for t in names)
-
-    def _parts(self, text: str) -> list[str]:
-        out, at = [], 0
-        while self.cuts and len(text) - at > SLICE:
-            cut = SAFE_CUT.search(text, at + SLICE)
-            if not cut:
-                break
-            out.append(text[at : cut.start()])
-            at = cut.start() + 1
-        return [*out, text[at:]]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """A ids of a space and the text, and B ids of the text."""
-        parts, owner = [], []
-        for k, text in enumerate(texts):
-            mine = self._parts(text) if text else []
-            parts += mine
-            owner += [k] * len(mine)
-        ids_a = self.a.encode_batch_fast([f" {t}" for t in parts], add_special_tokens=False)
-        ids_b = self.b.encode(parts, num_threads=1)
-        a: list = [[] for _ in texts]
-        b: list = [[] for _ in texts]
-        for k, x, y in zip(owner, ids_a, ids_b):
-            a[k] += x.ids
-            b[k] += y
-        return [np.array(x, np.int64) for x in a], [np.array(x, np.int64) for x in b]
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}  # of each chunk met
+        self.size = 0
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]  # of all chunks in turn
+        self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.kept = np.zeros(0, bool)  # both sides give back the chunk's bytes
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode chunks, many of them as one text, told apart by their bytes. Where a side does not
+        give that text back, its chunks are encoded one by one."""
+        found: list[tuple[list, list]] = [([], []), ([], [])]  # ids and counts of both sides
+        kept = []
+        tables = self.a_bytes, self.b_bytes
+        # Only chunks without white space at their ends stay apart when joined by a space.
+        firm = [t for t in new if t == t.strip()]
+        loose = [t for t in new if t != t.strip()]
+        new = firm + loose
+        todo = [firm[k : k + TOGETHER] for k in range(0, len(firm), TOGETHER)] + [[t] for t in loose]
+        while todo:
+            part = todo.pop(0)
+            text = " ".join(part)
+            sides = (
+                self.a.encode(f" {text}", add_special_tokens=False).ids,
+                self.b.encode(text),
+            )
+            sides = [np.array(x, np.int64) for x in sides]
+            want = np.frombuffer(f" {text}".encode(), np.uint8)
+            ends = [np.cumsum(t.size[x]) for t, x in zip(tables, sides)]
+            good = all(
+                len(e) and e[-1] == len(want) and (t.joined(x) == want).all()
+                for t, x, e in zip(tables, sides, ends)
+            )
+            if not good and len(part) > 1:
+                step = max(1, len(part) // 8)
+                todo = [part[k : k + step] for k in range(0, len(part), step)] + todo
+                continue
+            kept += [good] * len(part)
+            cuts = np.cumsum([len(t.encode()) + 1 for t in part])
+            for (ids, count), x, e in zip(found, sides, ends):
+                ids.append(x)
+                at = np.searchsorted(e, cuts) + 1 if good else [len(x)]
+                count.append(np.diff(at, prepend=0))
+        for side, (ids, count) in enumerate(found):
+            self.ids[side] = np.concatenate([self.ids[side], *ids], dtype=np.int32)
+            last = self.ends[side][-1]
+            self.ends[side] = np.concatenate([self.ends[side], last + np.cumsum(np.concatenate(count))])
+        self.kept = np.concatenate([self.kept, np.array(kept, bool)])
+        self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
+        self.size += sum(map(len, new))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """A ids of a space and the text, B ids of the text, one text after the other, and
+        the number of each text's ids; none of a text that either side does not give
+        back byte by byte."""
+        if len(self.slot) > MOST or self.size > SLICE * 16:
+            self.forget()
+        chunks, count = [], []
+        for text in texts:
+            mine = SAFE_CUT.split(text) if self.cuts else [text]
+            mine = mine if text else []
+            chunks += mine
+            count.append(len(mine))
+        if new := [t for t in dict.fromkeys(chunks) if t not in self.slot]:
+            self._learn(new)
+        at = np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
+        of = np.repeat(np.arange(len(texts)), count)
+        good = np.ones(len(texts), bool)
+        good[of[~self.kept[at]]] = False
+        at, of = at[good[of]], of[good[of]]
+        out = []
+        for ids, ends in zip(self.ids, self.ends):
+            size = ends[at + 1] - ends[at]
+            shift = np.repeat(ends[at] - (np.cumsum(size) - size), size)
+            out.append(ids[shift + np.arange(len(shift))].astype(np.int64))
+            out.append(np.bincount(of, size, len(texts)).astype(np.int64))
+        return tuple(out)
 
 
 @lru_cache(maxsize=1)
@@ -167,58 +224,31 @@ def group_texts(
     ids[place_a], ids[place_b] = a, b
     mark[place_a] = np.where(ends_a, ord("|"), ord(","))
     mark[place_b] = np.where(ends_b, ord(";"), ord(","))
-    digits = np.ones(len(ids), np.int64)
-    power = 10
-    while len(ids) and power <= ids.max():
-        digits += ids >= power
-        power *= 10
-    end = np.cumsum(digits + 1)
-    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
-    out[end - 1] = mark
-    rest, at = ids.copy(), end - 2
-    left = np.arange(len(ids))
-    while len(left):
-        out[at[left]] = 48 + rest[left] % 10
-        rest[left] //= 10
-        at[left] -= 1
-        left = left[rest[left] > 0]
+    width = len(str(ids.max())) if len(ids) else 1
+    names = np.array([f"{i:>{width}}" for i in range(int(ids.max()) + 1 if len(ids) else 0)], f"S{width}")
+    letters = np.empty((len(ids), width + 1), np.uint8)
+    letters[:, :width] = names.view(np.uint8).reshape(-1, width)[ids]
+    letters[:, width] = mark
+    used = letters != ord(" ")
+    end = np.cumsum(used.sum(axis=1))
+    out = letters[used]
     return out, end[place_b[link_b]]
 
 
-def _sides(texts: list[str], coders: _Coders) -> tuple[list, list, np.ndarray]:
-    """Ids of both sides and the byte bounds of the texts; no ids where a side's bytes
-    are not those of a space and the text."""
-    a, b = coders.encode(texts)
-    bounds = [0]
-    for k, text in enumerate(texts):
-        want = np.frombuffer(f" {text}".encode(), np.uint8) if text else np.zeros(0, np.uint8)
-        for ids, table in ((a[k], coders.a_bytes), (b[k], coders.b_bytes)):
-            if table.size[ids].sum() != len(want) or not (table.joined(ids) == want).all():
-                a[k] = b[k] = np.zeros(0, np.int64)
-                want = want[:0]
-                break
-        bounds.append(bounds[-1] + len(want))
-    return a, b, np.array(bounds, np.int64)
-
-
 def align(texts: list[str], coders: _Coders) -> Iterator[tuple[int, int, np.ndarray, str]]:
     """For each text the numbers of A and B tokens, its links as ``a << 32 | b`` and the digest
     of its groups."""
-    a, b, bounds = _sides(texts, coders)
-    flat_a, flat_b = np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
-    link_a, link_b = lockstep(
-        np.cumsum(coders.a_bytes.size[flat_a]), np.cumsum(coders.b_bytes.size[flat_b]), bounds
-    )
-    text, ends = group_texts(flat_a, flat_b, link_a, link_b)
-    of = np.searchsorted(link_a, np.cumsum([0, *map(len, a)]))
-    pairs = (flat_a[link_a] << 32) | flat_b[link_b]
-    for k in range(len(texts)):
-        first, last = of[k], of[k + 1]
-        digest = ""
-        if last > first:
-            begin = ends[first - 1] if first else 0
-            digest = hashlib.sha256(text[begin : ends[last - 1] - 1]).hexdigest()
-        yield len(a[k]), len(b[k]), pairs[first:last], digest
+    a, n_a, b, n_b = coders.encode(texts)
+    end_a, end_b = np.cumsum(coders.a_bytes.size[a]), np.cumsum(coders.b_bytes.size[b])
+    last_a = np.concatenate([[0], np.cumsum(n_a)])
+    link_a, link_b = lockstep(end_a, end_b, np.concatenate([[0], end_a])[last_a])
+    text, ends = group_texts(a, b, link_a, link_b)
+    ends = np.concatenate([[0], ends])
+    of = np.searchsorted(link_a, last_a)
+    pairs = (a[link_a] << 32) | b[link_b]
+    for k, (first, last) in enumerate(zip(of[:-1], of[1:])):
+        digest = hashlib.sha256(text[ends[first] : ends[last] - 1]).hexdigest() if last > first else ""
+        yield int(n_a[k]), int(n_b[k]), pairs[first:last], digest
 
 
 def _first(byte_level: str, pieces: bytes):
@@ -230,9 +260,9 @@ def _first(byte_level: str, pieces: bytes):
         every = np.concatenate([np.zeros(0, np.int64), *[d[3] for d in docs]])
         pairs, which, times = np.unique(every, return_inverse=True, return_counts=True)
         order = np.argsort(-times, kind="stable")
-        place = np.empty(len(order), np.int32)
+        place = np.empty(len(order), "<u2" if len(order) <= 1 << 16 else "<u4")
         place[order] = np.arange(len(order))
-        links = np.split(place[which].astype("<i4"), np.cumsum([len(d[3]) for d in docs])[:-1])
+        links = np.split(place[which], np.cumsum([len(d[3]) for d in docs])[:-1])
         pairs, times = pairs[order], times[order]
         cuts = range(0, len(pairs), CHUNK)
         n, m = len(docs), len(cuts)
@@ -279,7 +309,10 @@ def _second(left: pa.Table, right: pa.Table) -> pa.Table:
     count, best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
     count[place] = right.column("count").to_numpy()
     best[place] = right.column("best").to_numpy()
-    links = [np.frombuffer(x, "<i4") for x in left.column("links").to_pylist()]
+    links = [
+        np.frombuffer(x, f"<u{len(x) // n}" if n else "<u4")
+        for x, n in zip(left.column("links").to_pylist(), left.column("n_links").to_pylist())
+    ]
     return (
         left.drop_columns(["block", "links"])
         .append_column("n_best", pa.array([int(best[x].sum()) for x in links], pa.int64()))

@@ -80,16 +80,28 @@ def test_odd_documents(spark, odd_documents, monkeypatch):
     assert [tuple(r) for r in none] == [(1, 0, 0, 0, 0, "", 0, 0)]
 
 
-def test_long_texts_are_cut_where_nothing_changes(monkeypatch):
+def test_texts_are_cut_where_nothing_changes():
+    """Chunks one by one, remembered or not, give the ids of the whole text."""
     coders = ta._Coders(*alignment_files())
     rng = random.Random(2)
-    text = " ".join("".join(rng.choices("abcd ,.\n'é1", k=rng.randint(1, 9))) for _ in range(4000))
-    whole = coders.encode([text])
+    parts = ["a", "b", "th", "9", "0", " ", " ", "  ", ".", ",", "\n", "'s", "'", "é", "ß", "漢", "\u00a0", "\t", "-"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 300))) for _ in range(500)]
     assert coders.cuts
-    monkeypatch.setattr(ta, "SLICE", 500)
-    assert len(coders._parts(text)) > 10
-    parts = coders.encode([text])
-    assert all((x[0] == y[0]).all() and len(x[0]) == len(y[0]) for x, y in zip(whole, parts))
+    for _ in range(2):
+        a, n_a, b, n_b = coders.encode(texts)
+        for k, text in enumerate(texts):
+            want_a = coders.a.encode(" " + text, add_special_tokens=False).ids if text else []
+            want_b = coders.b.encode(text)
+            got_a, got_b = a[n_a[:k].sum():n_a[:k + 1].sum()], b[n_b[:k].sum():n_b[:k + 1].sum()]
+            if text and len(got_a):
+                assert got_a.tolist() == want_a and got_b.tolist() == want_b
+            elif text:
+                in_b = b"".join(
+                    bytes([int(t[3:5], 16)]) if coders.b.is_byte(i) else t.replace("▁", " ").encode()
+                    for i, t in ((i, coders.b.id_to_piece(i)) for i in want_b)
+                )
+                assert in_b != (" " + text).encode()
+        coders.forget()
 
 
 @pytest.mark.parametrize("lane", [1, 3, 64, 1 << 20])
