@@ -8,12 +8,26 @@ from pyspark.sql import functions as F
 from cardloom.llm.common import staged
 
 
-def _state(links: DataFrame) -> tuple:
-    row = links.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"),
-    ).first()
-    return row["n"], row["s"]
+def _open(links: DataFrame) -> bool:
+    """Whether a node has two roots, or is a root and has one."""
+    roles = links.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("node"), F.col("b").alias("root")),
+                F.struct(F.col("b").alias("node"), F.lit(None).cast("long").alias("root")),
+            )
+        ).alias("x")
+    )
+    return not (
+        roles.groupBy("x.node")
+        .agg(
+            F.min("x.root").alias("low"),
+            F.max("x.root").alias("high"),
+            F.count_if(F.col("x.root").isNull()).alias("is_root"),
+        )
+        .where("low <> high or (low is not null and is_root > 0)")
+        .isEmpty()
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
     smallest node that can be reached.
 
     Every node hangs its larger neighbours, then itself and its smaller ones,
-    under the smallest node it knows, until nothing changes: about the
+    under the smallest node it knows, until all hang under a root: about the
     logarithm of the longest path many rounds. Each round groups before it
     shuffles, so that a node with very many links is one partial minimum per
     task, and is written down, so that a lost executor costs one round.
@@ -32,8 +46,7 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before, state = None, _state(now)
-    while state != before:
+    while _open(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
@@ -45,7 +58,6 @@ def components(links: DataFrame) -> DataFrame:
         now = staged(
             down.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "links"
         )
-        before, state = state, _state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

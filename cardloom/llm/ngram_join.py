@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardloom.llm import words
-from cardloom.llm.common import fresh, staged
+from cardloom.llm.common import WORD, fresh, staged
 from cardloom.llm.components import components
 from cardloom.sources.staging import remove, stage_path
 
@@ -57,12 +57,13 @@ def _signatures(n: int):
                 [
                     batch.column("doc_id"),
                     batch.column("key"),
+                    batch.column("hash"),
                     pa.array(np.array(size, np.int64)),
                     pa.array(np.array(one, np.uint64).view(np.int64)),
                     pa.array(np.array(two, np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(np.array(at, np.int32), flat.view(np.int64)),
                 ],
-                ["doc_id", "key", "n", "one", "two", "low"],
+                ["doc_id", "key", "hash", "n", "one", "two", "low"],
             )
 
     return run
@@ -273,19 +274,42 @@ def ngram_join(
     not null, or null. Other columns of ``docs`` are not read. An empty table
     gives an empty result. Ids are integers.
     """
+    rows, named = _grouped(docs, n, percent, id_col, text_col)
+    return (
+        rows.select("doc_id", "n", "one", "two")
+        .join(named, ["one", "two"], "left")
+        .select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.coalesce("first.doc_id", "doc_id").alias("component_id"),
+        )
+    )
+
+
+def _grouped(
+    docs: DataFrame, n: int, percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, key, hash, n, one, two`` of every row, and for every class ``one, two``
+    the ``first`` row of its component: smallest id, none last, then smallest hash of the text."""
     docs = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
-    ).withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+    ).withColumn("hash", F.xxhash64("text"))
+    docs = docs.withColumn("key", F.coalesce("doc_id", "hash"))
     rows = staged(
         docs.mapInArrow(
-            _signatures(n), "doc_id long, key long, n long, one long, two long, low array<long>"
+            _signatures(n),
+            "doc_id long, key long, hash long, n long, one long, two long, low array<long>",
         ),
         "shingle_sets",
     )
     classes = staged(
         rows.where("n > 0")
         .groupBy("one", "two")
-        .agg(F.max("n").alias("n"), F.min("doc_id").alias("least"), F.min("key").alias("key")),
+        .agg(
+            F.max("n").alias("n"),
+            F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "hash")).alias("first"),
+            F.min("key").alias("key"),
+        ),
         "classes",
     )
     alone = (
@@ -303,43 +327,40 @@ def ngram_join(
         "open_classes",
     )
     linked = classes.join(_open_roots(_sets(docs, open_, n), percent), "one")
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    least = linked.groupBy("root").agg(F.min("first").alias("component"))
     named = staged(
         classes.join(
             linked.join(least, "root").select("one", "two", "component"), ["one", "two"], "left"
-        ).select("one", "two", F.coalesce("component", "least").alias("component")),
+        ).select("one", "two", F.coalesce("component", "first").alias("first")),
         "named_classes",
     )
-    return (
-        rows.select("doc_id", "n", "one", "two")
-        .join(named, ["one", "two"], "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component", "doc_id").alias("component_id"),
-        )
-    )
+    return rows, named
 
 
 def one_of_each(
     docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all
-    their columns; of rows that repeat an id one stays. Rows without an id are
-    only dropped where they repeat another such row's text."""
-    found = ngram_join(docs, n, percent, id_col, text_col)
-    id_name, text_name = fresh(docs, "id_"), fresh(docs, "unnamed_")
+    """One row of ``docs`` of each component, with all its columns: that with the smallest
+    id, none last, then the smallest hash of its text; of equal rows any one. Ids need not be
+    unique: different texts of one id are rows of their own. Rows without a word link with
+    nothing and all stay."""
+    rows, named = _grouped(docs, n, percent, id_col, text_col)
+    id_name, hash_name = fresh(docs, "id_"), fresh(docs, "hash_")
     gone = (
-        found.where("component_id <> doc_id")
-        .select(F.col("doc_id").alias(id_name), F.lit(0).cast("long").alias(text_name))
+        rows.where("n > 0")
+        .join(named, ["one", "two"])
+        .where("not (doc_id <=> first.doc_id and hash = first.hash)")
+        .select(F.col("doc_id").alias(id_name), F.col("hash").alias(hash_name))
         .distinct()
     )
-    keyed = docs.withColumn(id_name, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0))).withColumn(
-        text_name,
-        F.when(F.col(f"`{id_col}`").isNull(), F.xxhash64(F.col(f"`{text_col}`"), F.lit(1))).otherwise(0),
-    )
-    return (
-        keyed.join(gone, [id_name, text_name], "left_anti")
-        .dropDuplicates([id_name, text_name])
-        .drop(id_name, text_name)
+    text = F.col(f"`{text_col}`")
+    blank = ~F.coalesce(text.rlike(WORD), F.lit(False))
+    keyed = docs.where(~blank).withColumn(id_name, F.col(f"`{id_col}`").cast("long"))
+    keyed = keyed.withColumn(hash_name, F.xxhash64(text))
+    same = keyed[id_name].eqNullSafe(gone[id_name]) & (keyed[hash_name] == gone[hash_name])
+    kept = (
+        keyed.join(gone, same, "left_anti")
+        .dropDuplicates([id_name, hash_name])
+        .drop(id_name, hash_name)
     )
+    return kept.unionByName(docs.where(blank))

@@ -36,6 +36,13 @@ K1, B = 1.2, 0.75
 KEY_BYTES = 5
 
 
+def _kind(tokenizer: str) -> str:
+    """How ids are stored, by the highest one of the tokenizer's file."""
+    file = json.loads(tokenizer)
+    ids = [*file["model"]["vocab"].values(), *(t["id"] for t in file["added_tokens"])]
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
+
+
 class _Coder:
     """Token ids of words, each distinct word encoded once.
 
@@ -74,7 +81,7 @@ class _Coder:
         )
         vocabulary = self.whole.get_vocab()
         self.size = max(vocabulary.values()) + 1
-        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.kind = _kind(tokenizer)
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         special = json.loads(tokenizer)["added_tokens"]
@@ -424,7 +431,7 @@ def pack(
         .sortWithinPartitions("key", "doc_id", "doc_tokens", "ids")
         .select("doc_id", "ids")
         .mapInArrow(
-            _packed(window, end_id, _Coder(tokenizer).kind),
+            _packed(window, end_id, _kind(tokenizer)),
             "doc_id long, start long, length long, doc_tokens long, sequence_id long, "
             "offset long, ids binary",
         )

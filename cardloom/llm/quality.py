@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -169,30 +170,28 @@ def posterior(model: dict, voted: list[Column]) -> Column:
 
 def learn(patterns: DataFrame, rounds: int = ROUNDS) -> dict:
     """The model after ``rounds`` of expectation-maximisation on ``patterns(v0,
-    v1, ..., n)``. Sums are smoothed by one document, so no chance becomes 0."""
-    voted = [F.col(f"v{k}") for k in range(len(RULES))]
+    v1, ..., n)``, one row per pattern, so at most ``3 ** rules`` rows come to the driver.
+    Sums are smoothed by one document, so no chance becomes 0."""
+    rules = range(len(RULES))
+    rows = [tuple(r) for r in patterns.select(*[f"v{k}" for k in rules], "n").collect()]
     model = first_model()
-    for _ in range(rounds):
-        p = posterior(model, voted)
-        sums = [F.sum(p * F.col("n")).alias("good"), F.sum("n").alias("all")]
-        for k, vote in enumerate(voted):
-            for v in (1, 0, -1):
-                here = F.when(vote == v, F.col("n")).otherwise(0)
-                sums += [F.sum(p * here).alias(f"g{k}{v}"), F.sum(here).alias(f"a{k}{v}")]
-        row = patterns.agg(*sums).first()
-        if not row["all"]:
-            break
-        good, bad = row["good"], row["all"] - row["good"]
+    every = sum(n for *_, n in rows)
+    for _ in range(rounds if every else 0):
+        good, yes, no = 0.0, [Counter() for _ in rules], [Counter() for _ in rules]
+        first = math.log(model["good"] / (1 - model["good"]))
+        for *voted, n in rows:
+            pairs = zip(voted, model["on_good"], model["on_bad"])
+            odds = first + sum(math.log(g[v] / b[v]) for v, g, b in pairs)
+            p = n / (1 + math.exp(-odds))
+            good += p
+            for k, v in enumerate(voted):
+                yes[k][v] += p
+                no[k][v] += n - p
+        bad = every - good
         model = {
-            "good": (good + 1) / (good + bad + 2),
-            "on_good": [
-                {v: (row[f"g{k}{v}"] + 1) / (good + 3) for v in (1, 0, -1)}
-                for k in range(len(RULES))
-            ],
-            "on_bad": [
-                {v: (row[f"a{k}{v}"] - row[f"g{k}{v}"] + 1) / (bad + 3) for v in (1, 0, -1)}
-                for k in range(len(RULES))
-            ],
+            "good": (good + 1) / (every + 2),
+            "on_good": [{v: (yes[k][v] + 1) / (good + 3) for v in (1, 0, -1)} for k in rules],
+            "on_bad": [{v: (no[k][v] + 1) / (bad + 3) for v in (1, 0, -1)} for k in rules],
         }
     return model
 

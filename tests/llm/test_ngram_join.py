@@ -85,6 +85,30 @@ def test_one_of_each(spark, odd_documents):
     assert ids == sorted([1, 2, 3, 4, 5, 7, 9, None, None], key=str)
 
 
+def test_one_of_each_by_row_not_by_id(spark):
+    """Ids that repeat or lack, and near copies among them: of every component of all
+    pairs exactly one row stays, and every row without a word."""
+    rng = random.Random(11)
+    docs = []
+    for _, text in corpus(6):
+        docs += [(rng.choice([None, *range(12)]), text)] * rng.choice([1, 1, 2])
+    docs += [(3, ""), (3, ""), (None, None), (None, " ")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    kept = [tuple(r) for r in one_of_each(frame, 4, 85).collect()]
+    blank = [d for d in docs if not (d[1] or "").strip()]
+    assert sorted((d for d in kept if not (d[1] or "").strip()), key=str) == sorted(blank, key=str)
+    texts = [t for _, t in docs if (t or "").strip()]
+    group = dict(zip(texts, (c for _, _, c in numbered(texts))))
+    got = [group[t] for _, t in kept if (t or "").strip()]
+    assert sorted(got) == sorted(set(group.values()))
+
+
+def numbered(texts):
+    """Components of texts by all pairs, with a number of their own."""
+    found = dict((i, (i, n, c)) for i, n, c in brute(list(enumerate(texts)), 4, 85))
+    return [found[i] for i in range(len(texts))]
+
+
 def test_empty_table(spark, odd_documents):
     assert ngram_join(odd_documents.limit(0)).collect() == []
     assert one_of_each(odd_documents.limit(0)).collect() == []
