@@ -8,12 +8,18 @@ item (``STEP`` is 1), so none is missed for where it begins. A window of m chara
 occurs where a part of the text can be made from it with at most e = RATE * m
 insertions, deletions and substitutions.
 
-The q-gram lemma finds these places: such a part has at least
-``m + 1 - q (e + 1)`` q-grams of the window, and their diagonals (place in the text
-less place in the window) differ by e at most. So they meet in one of the bands
-of 2 (e + 1) diagonals that begin every e + 1. Bands with enough q-grams are
+The q-gram lemma finds these places: e edits destroy at most ``q e`` of the window's c
+q-grams, so such a part has the q-grams of at least ``c - q e`` places, and their diagonals
+(place in the text less place in the item) differ by e at most. So they meet in one of the bands
+of 2 (e + 1) diagonals that begin every e + 1. Shared places are counted once per item and
+band; the windows with enough of them follow from sliding along the sorted places. Those are
 aligned, within their diagonals only. An index holds an item's characters and
 q-grams once; its windows are numbered one after another and made where they are met.
+
+A q-gram that repeats itself every four characters or less (a divider line, padding) is not
+counted. A window of which less than ``MIN_SHARE`` of the q-grams count says too little, as does
+an item of fewer than ``min_chars`` characters, and is not searched: it would be
+found in clean text. Items of fewer than ``EXACT`` characters must occur without an edit.
 """
 
 from __future__ import annotations
@@ -31,13 +37,16 @@ Q = 8
 WINDOW = 60
 STEP = 1
 RATE = 0.08
-# A shorter item says too little: it would be found in clean text by chance.
-MIN_CHARS = 24
+# Without a word of the caller, shorter items are not searched; Q characters at least.
+MIN_CHARS = 16
+EXACT = 24
+MIN_SHARE = 0.75
+PERIODS = 4
 # Benchmarks are searched in blocks of about so many characters, one index each,
 # so that what is sent to the executors does not grow with the benchmark.
 BLOCK_CHARS = 4_000_000
-# Characters of documents looked at together; pairs of a q-gram and a window, and windows
-# to be aligned, likewise.
+# Characters of documents looked at together; pairs of a place in a text and one in an item,
+# and windows to be aligned, likewise.
 SLICE = 1 << 21
 PAIRS = 1 << 21
 ALIGNED = 1 << 14
@@ -73,6 +82,15 @@ def _grams(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _telling(codes: np.ndarray) -> np.ndarray:
+    """Whether each q-gram does not repeat itself."""
+    out = np.ones(max(0, len(codes) - Q + 1), bool)
+    for k in range(1, PERIODS + 1):
+        same = np.concatenate([[0], np.cumsum(codes[k:] == codes[:-k])])
+        out &= same[Q - k :][: len(out)] - same[: len(out)] < Q - k
+    return out
+
+
 def _slot(grams: np.ndarray) -> np.ndarray:
     return (grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - _TABLE_BITS)
 
@@ -90,10 +108,8 @@ class Index:
     owner: np.ndarray  # of each posting: its item, and its place in the item
     place: np.ndarray
     windows: np.ndarray  # of each item: how many
-
-    @property
-    def floor(self) -> np.ndarray:
-        return self.size + 1 - Q * (self.edits + 1)
+    floor: np.ndarray  # of each window: places to be shared, more than it has where not searched
+    fewest: np.ndarray  # of each item: the least of them
 
     def items(self, window: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, window, "right") - 1
@@ -102,12 +118,14 @@ class Index:
         return window - self.first[self.items(window)]
 
 
-def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
+def build_index(
+    items: list[tuple[int | None, str | None]], min_chars: int = MIN_CHARS
+) -> Index | None:
     """None where no item is long enough."""
     ids, codes = [], []
     for item, text in items:
         folded, _ = _folded((text or "").strip())
-        if len(folded) >= MIN_CHARS:
+        if len(folded) >= max(Q, min_chars):
             ids.append(item)
             codes.append(folded)
     if not ids:
@@ -115,10 +133,21 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
     length = np.array([len(c) for c in codes])
     size = np.minimum(WINDOW, length)
     windows = length - size + 1
-    grams = [_grams(c) for c in codes]
-    flat = np.concatenate(grams)
-    owner = np.repeat(np.arange(len(ids)), [len(g) for g in grams])
-    place = np.concatenate([np.arange(len(g)) for g in grams])
+    edits = np.where(size < EXACT, 0, np.floor(RATE * size + 1e-9)).astype(np.int64)
+    floors, grams, owners, places = [], [], [], []
+    for k, c in enumerate(codes):
+        telling = _telling(c)
+        has = np.concatenate([[0], np.cumsum(telling)])
+        all_ = size[k] - Q + 1
+        count = has[all_:] - has[:-all_]
+        floor = count - Q * edits[k]
+        floors.append(np.where((count >= MIN_SHARE * all_) & (floor > 0), floor, WINDOW))
+        places.append(np.flatnonzero(telling))
+        grams.append(_grams(c)[telling])
+        owners.append(np.full(len(places[-1]), k))
+    if min(map(np.min, floors)) >= WINDOW:
+        return None
+    flat, owner, place = map(np.concatenate, (grams, owners, places))
     order = np.argsort(flat, kind="stable")
     keys, first = np.unique(flat[order], return_index=True)
     return Index(
@@ -126,13 +155,15 @@ def build_index(items: list[tuple[int | None, str | None]]) -> Index | None:
         np.cumsum(length) - length,
         np.cumsum(windows) - windows,
         size,
-        np.floor(RATE * size + 1e-9).astype(np.int64),
+        edits,
         np.concatenate([*codes, np.zeros(WINDOW, np.uint32)]),
         keys,
         np.append(first, len(flat)),
         owner[order],
         place[order],
         windows,
+        np.concatenate(floors),
+        np.array([f.min() for f in floors]),
     )
 
 
@@ -152,6 +183,10 @@ class Searcher:
         self.stride = self.most + 1
         self.fewest = int(index.floor.min())
         self.reach = int((index.size + index.edits).max()) - Q + 1
+        self.longest = int(index.windows.max() + index.size.max())
+        # Postings by q-gram and item, to look at some items only.
+        key = np.repeat(np.arange(len(index.keys)), np.diff(index.bounds))
+        self.by_item = key * len(index.item) + index.owner
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and q-grams that may be a window's, where enough of them lie
@@ -183,37 +218,66 @@ class Searcher:
         at, key = at[same], key[same]
         # All q-grams of a band lie within ``span`` places; parts of the text overlap by as many.
         span = self.reach + 2 * self.stride
-        pairs = np.cumsum((ix.bounds[key + 1] - ix.bounds[key]) * WINDOW)
+        pairs = np.concatenate([[0], np.cumsum(ix.bounds[key + 1] - ix.bounds[key])])
         windows, lows, a = [none], [none], 0
         while a < len(at):
-            b = max(a + 1, int(np.searchsorted(pairs, (pairs[a - 1] if a else 0) + PAIRS, "right")))
-            to = int(np.searchsorted(at, at[b - 1] + span, "right"))
-            window, low = self._counted(at[a:to], key[a:to], len(codes))
-            windows.append(window)
-            lows.append(low)
+            b = int(np.searchsorted(pairs, pairs[a] + PAIRS, "right")) - 1
+            b = max(b, int(np.searchsorted(at, at[a] + span, "right")))
+            to = int(np.searchsorted(at, at[min(b, len(at)) - 1] + span, "right"))
+            # Where that makes too many pairs, some of the items at a time.
+            todo = [(0, len(ix.item))]
+            while todo:
+                begin, end = todo.pop()
+                low = np.searchsorted(self.by_item, key[a:to] * len(ix.item) + begin)
+                many = np.searchsorted(self.by_item, key[a:to] * len(ix.item) + end) - low
+                if many.sum() > 4 * PAIRS and end - begin > 1:
+                    todo += [(begin, (begin + end) // 2), ((begin + end) // 2, end)]
+                elif many.sum():
+                    window, diagonal = self._counted(at[a:to], low, many, len(codes))
+                    windows.append(window)
+                    lows.append(diagonal)
             a = b
         found = np.unique(np.stack([np.concatenate(windows), np.concatenate(lows)]), axis=1)
         return found[0], found[1]
 
-    def _counted(self, at: np.ndarray, key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    def _counted(
+        self, at: np.ndarray, low: np.ndarray, many: np.ndarray, n: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Window and first diagonal where enough places are shared; of each place of the
+        text ``many`` postings from ``low`` on."""
         ix = self.index
-        many = ix.bounds[key + 1] - ix.bounds[key]
-        post = _runs(ix.bounds[key], many)
-        at, owner, place = np.repeat(at, many), ix.owner[post], ix.place[post]
-        # The windows of the item that hold the q-gram begin from low to high.
-        low = np.maximum(place - (ix.size[owner] - Q), 0)
-        many = np.minimum(place, ix.windows[owner] - 1) - low + 1
-        start = _runs(low, many)
-        window = np.repeat(ix.first[owner], many) + start
-        # Diagonals are counted from -WINDOW, and a band begins one stride lower.
-        diagonal = np.repeat(at - place, many) + start
-        band = (diagonal + WINDOW) // self.stride + 1
-        wide = (n + WINDOW) // self.stride + 3
-        key = np.concatenate([window * wide + band, window * wide + band - 1])
-        key, count = np.unique(key, return_counts=True)
-        window, band = key // wide, key % wide
-        good = count >= ix.floor[ix.items(window)]
-        return window[good], (band[good] - 1) * self.stride - WINDOW
+        post = _runs(low, many)
+        owner, place = ix.owner[post], ix.place[post]
+        # Diagonals are counted from -longest, and a band begins one stride lower.
+        band = (np.repeat(at, many) - place + self.longest) // self.stride + 1
+        wide = (n + self.longest) // self.stride + 3
+        group = owner * wide + band
+        shared = np.concatenate([group, group - 1]) * self.longest + np.concatenate([place, place])
+        shared = np.unique(shared)
+        group, place = shared // self.longest, shared % self.longest
+        owner = group // wide
+        # With the fewest places any window of the item needs, from the k-th shared one on: the
+        # windows that hold all of them begin from low to high.
+        last = np.arange(len(shared)) + ix.fewest[owner] - 1
+        inside = last < len(shared)
+        last = np.minimum(last, len(shared) - 1)
+        reach = ix.size[owner] - Q + 1
+        low = np.maximum(place[last] - reach + 1, 0)
+        high = np.minimum(place, ix.windows[owner] - 1)
+        good = inside & (group[last] == group) & (low <= high)
+        group, owner, low, high = group[good], owner[good], low[good], high[good]
+        if not len(group):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        same = np.concatenate([[False], group[1:] == group[:-1]])
+        low[1:] = np.where(same[1:], np.maximum(low[1:], high[:-1] + 1), low[1:])
+        many = np.maximum(high - low + 1, 0)
+        start, group, owner = _runs(low, many), np.repeat(group, many), np.repeat(owner, many)
+        first = np.searchsorted(shared, group * self.longest + start)
+        end = group * self.longest + np.minimum(start + ix.size[owner] - Q + 1, self.longest)
+        window = ix.first[owner] + start
+        good = np.searchsorted(shared, end) - first >= ix.floor[window]
+        band = group[good] % wide
+        return window[good], (band - 1) * self.stride - self.longest + start[good]
 
     def align(
         self, codes: np.ndarray, window: np.ndarray, low: np.ndarray
@@ -288,16 +352,18 @@ class Searcher:
             at = to
 
 
-def _indexes(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
+def _indexes(
+    benchmark: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_CHARS
+) -> Iterator[Index]:
     """One index for each block of the benchmark."""
     items = benchmark.select(
         F.col(f"`{id_col}`").alias("item"), F.col(f"`{text_col}`").alias("text")
-    ).where(f"length(text) >= {MIN_CHARS}")
+    ).where(f"length(text) >= {max(Q, min_chars)}")
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = -(-int(chars) // BLOCK_CHARS)
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == k)
-        index = build_index([(r["item"], r["text"]) for r in part.collect()])
+        index = build_index([(r["item"], r["text"]) for r in part.collect()], min_chars)
         if index is not None:
             yield index
 
@@ -309,6 +375,7 @@ def leaks(
     text_col: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """``doc_id, item_id, item_start, doc_start, doc_end, edits``: one row for
     every document row and window of an item that occurs in it; of several
@@ -316,7 +383,7 @@ def leaks(
 
     ``item_start`` counts characters of the folded item, ``doc_start`` and
     ``doc_end`` characters of the text. Null and empty texts contain nothing;
-    items of fewer than ``MIN_CHARS`` characters are not searched; rows and items
+    items of fewer than ``min_chars`` (at least 8) characters are not searched; rows and items
     that repeat are reported as often; null ids are kept. Other columns are not
     read. Empty tables give an empty result.
     """
@@ -327,7 +394,7 @@ def leaks(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
     )
     out = None
-    for index in _indexes(benchmark, item_id, item_text):
+    for index in _indexes(benchmark, item_id, item_text, min_chars):
         found = rows.mapInArrow(_finder(index), schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
@@ -371,12 +438,16 @@ def _flagger(index: Index):
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **columns: str
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    min_chars: int = MIN_CHARS,
+    **columns: str,
 ) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with all their
     columns. Cases as in ``leaks``."""
     for index in _indexes(
-        benchmark, columns.get("item_id", "item_id"), columns.get("item_text", "text")
+        benchmark, columns.get("item_id", "item_id"), columns.get("item_text", "text"), min_chars
     ):
         docs = docs.where(~_flagger(index)(F.col(f"`{text_col}`")))
     return docs

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -28,6 +29,10 @@ def edits_of_best_part(pattern, text):
     return int(row.min())
 
 
+def repeats(gram):
+    return any(gram[k:] == gram[:-k] for k in range(1, d.PERIODS + 1))
+
+
 def brute(docs, items):
     out = set()
     for item, text in items:
@@ -38,8 +43,13 @@ def brute(docs, items):
         starts = {*range(0, len(folded) - m + 1, d.STEP), len(folded) - m}
         for k, (name, whole) in enumerate(docs):
             for s in starts:
+                most = int(d.RATE * m + 1e-9) if m >= d.EXACT else 0
+                grams = [folded[k : k + d.Q] for k in range(s, s + m - d.Q + 1)]
+                told = sum(not repeats(g) for g in grams)
+                if told < d.MIN_SHARE * len(grams) or told <= d.Q * most:
+                    continue
                 e = edits_of_best_part(folded[s : s + m], fold(whole or ""))
-                if e <= int(d.RATE * m + 1e-9):
+                if e <= most:
                     out.add((name, item, s, e))
     return out
 
@@ -58,12 +68,16 @@ def case():
     syllables = ["the", "ing", "tion", "ou", "ea", "nd ", "st", " ", "er", "É", "漢"]
     say = lambda n: "".join(rng.choices(syllables, k=n))
     items = [(i, say(n)) for i, n in enumerate([40, 30, 70, 12, 3, 25])] + [(9, "  short  ")]
+    items += [(20, "What is two plus two?"), (21, say(10) + "-" * 30 + say(20)), (22, "=" * 80)]
     docs = [(0, None), (1, ""), (2, say(60))]
     for k in range(14):
         item = items[k % 4][1]
         part = item if k % 3 else item[: max(30, len(item) * 2 // 3)]
         docs.append((10 + k, say(25) + edited(rng, part, k) + say(15)))
     docs.append((50, items[0][1].upper().replace(" ", "\n \t")))
+    docs.append((60, say(5) + "what is  two plus TWO? " + say(5)))
+    docs.append((61, say(5) + "what is two plus tw0? " + say(5)))
+    docs.append((62, say(9) + items[8][1] + "=" * 100 + say(9)))
     docs.append((51, items[1][1][:40]))
     docs.append((52, items[1][1][40:]))
     return docs, items
@@ -105,6 +119,27 @@ def test_blocks_of_a_large_benchmark(spark, case, monkeypatch):
     assert got == brute(docs, items)
 
 
+def test_items_with_a_divider_line_stay_small():
+    """Two thousand items and a text share a line of dashes: one task stays below 1 GB,
+    and what is found is what each item alone gives."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(2, 8)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, f"{say(12)}\n{'-' * 80}\n{say(12)}") for i in range(2000)]
+    texts = [f"{say(40)}\n{'-' * 80}\n{say(40)}" for _ in range(20)]
+    texts += [say(20) + items[7][1] + say(20), say(20) + items[1500][1].replace("-", "=") + say(20)]
+    searcher = d.Searcher(d.build_index(items))
+    tracemalloc.start()
+    found = list(searcher.search(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+    assert {(t, int(searcher.index.items(np.array([w]))[0])) for t, w, *_ in found} == {(20, 7), (21, 1500)}
+    alone = d.Searcher(d.build_index([items[7]]))
+    first = searcher.index.first[7]
+    assert sorted(alone.search(texts)) == sorted((t, w - first, *x) for t, w, *x in found if t == 20)
+
+
 def test_empty_tables(spark, case):
     docs = spark.createDataFrame(case[0], "doc_id long, text string")
     bench = spark.createDataFrame(case[1], "item_id long, text string")
