@@ -69,14 +69,25 @@ AGGREGATES = {
     "size": "count(1)",
     "count": "count({c})",
     "nunique": "count(DISTINCT {c})",
-    # Distinct count of integers in 0..63 as one 64-bit mask: it merges like a
-    # sum, where count(DISTINCT) would expand and shuffle every row.
-    "small_nunique": "coalesce(cast(bit_count(bit_or(shiftleft(1L, cast({c} AS int)))) AS bigint), 0L)",
 }
 
 
+def checked_bits(column: str) -> str:
+    """SQL for the set of a group's values as one 64-bit mask: it merges like a sum, where
+    count(DISTINCT) would expand and shuffle every row. Only for whole numbers in 0..63; any
+    other value is an error, since its bit would be another's."""
+    c = f"`{column}`"
+    message = f"{column} has a value that is no whole number in 0..63; count it with nunique"
+    return (
+        f"bit_or(CASE WHEN {c} BETWEEN 0 AND 63 AND {c} = floor({c}) THEN shiftleft(1L, cast({c} AS int))"
+        f" WHEN {c} IS NOT NULL THEN raise_error('{message}') END)"
+    )
+
+
 def aggregate(stat: str, column: str, name: str) -> Column:
     """The statistic of the column under ``name``."""
+    if stat == "small_nunique":
+        return F.expr(f"coalesce(cast(bit_count({checked_bits(column)}) AS bigint), 0L) AS `{name}`")
     if stat not in AGGREGATES:
         raise ValueError(f"unknown statistic {stat!r} of {column}")
     return F.expr(AGGREGATES[stat].replace("{c}", f"`{column}`") + f" AS `{name}`")

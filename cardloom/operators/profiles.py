@@ -44,12 +44,14 @@ def agg_spec(df: DataFrame, key: str, spec: Mapping[str, Sequence[str]], prefix:
     aggregate with the rest, every row would be expanded once per counted
     column and carry all the other buffers through the shuffle. Both results
     are partitioned by the key, so joining them shuffles nothing. The statistic
-    ``small_nunique`` is a distinct count of integers that the caller knows to lie in
-    0..63, made with the others and named like ``nunique``.
+    ``small_nunique`` is a distinct count of whole numbers in 0..63, made with the others
+    and named like ``nunique``; a value outside is an error.
     """
     df = df.filter(F.col(key).isNotNull())
     names, plain, counted = [], [], []
     for column, stats in spec.items():
+        if {"nunique", "small_nunique"} <= set(stats):
+            raise ValueError(f"{column}: nunique and small_nunique are one statistic of one name")
         for stat in stats:
             name = f"{prefix}{column}_{stat.removeprefix('small_')}"
             names.append(name)

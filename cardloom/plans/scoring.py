@@ -21,6 +21,7 @@ from cardloom.operators import (
     assemble,
     calendar,
     cards as card_ops,
+    cuts,
     encode,
     lags,
     merchants,
@@ -28,8 +29,8 @@ from cardloom.operators import (
 )
 from cardloom.operators.columns import feature_names
 from cardloom.operators.folds import card_folds
-from cardloom.sources.readers import merchant_store, read_merchants, write_scores_csv
-from cardloom.sources.staging import finished, remove, resumed, stage_root
+from cardloom.sources.readers import by_merchant, write_scores_csv
+from cardloom.sources.staging import remove, resumed, stage_root
 
 LAG_FROM = (0, -2, -6)
 AMOUNT_RANGES = ((-7, -3), (-1, 100), (-3, 100), (-100, 100))
@@ -57,10 +58,23 @@ class Settings:
     forest: Mapping[str, object] = field(default_factory=dict)
 
 
-def _stage(make: Callable[[], DataFrame], s: Settings, name: str) -> DataFrame:
-    """A named stage. A run into the same folder goes on where the last one ended;
-    what is finished is not made again."""
-    return resumed(SparkSession.active(), make, f"{s.out}/{name}")
+def _stage(
+    make: Callable[..., DataFrame], s: Settings, name: str, *args: object, **settings: object
+) -> DataFrame:
+    """The named stage ``make(*args)``. A run into the same folder goes on where the last one
+    ended; what is finished is made again only if an input, among ``args`` or a list there, or
+    another argument or setting is a different one now."""
+    inputs, plain = [], dict(settings)
+    for k, arg in enumerate(args):
+        frames = arg if isinstance(arg, (list, tuple)) else [arg]
+        if frames and all(isinstance(f, DataFrame) for f in frames):
+            inputs += frames
+        else:
+            plain[f"argument {k}"] = arg
+    made_by = f"{make.__module__}.{make.__qualname__}"
+    return resumed(
+        SparkSession.active(), lambda: make(*args), f"{s.out}/{name}", made_by, plain, inputs
+    )
 
 
 def _job(run):
@@ -83,7 +97,7 @@ def clean_up(spark: SparkSession, s: Settings) -> None:
 def by_card(log: DataFrame, s: Settings, name: str) -> DataFrame:
     """The log as parquet, card by card: parsed once, and every per-card
     aggregate over it combines on the map side."""
-    return _stage(lambda: clustered(log, "card_id"), s, name)
+    return _stage(clustered, s, name, log, "card_id")
 
 
 @_job
@@ -93,11 +107,11 @@ def build_features(
     """Three growing feature tables, one row per card: 'base', 'merchants' (adds
     the merchants' profiles) and 'amounts' (adds quarters and amounts). Each part
     is a stage of its own: its plan stays small, and a failure repeats only it."""
-    cards = _stage(lambda: card_ops.card_table(train, test, s.as_of), s, "cards")
+    cards = _stage(card_ops.card_table, s, "cards", train, test, s.as_of)
     hist, new = by_card(hist, s, "hist"), by_card(new, s, "new")
 
     def table(name: str, make: Callable[..., DataFrame], *args) -> DataFrame:
-        return _stage(lambda: make(*args), s, f"part-{name}")
+        return _stage(make, s, f"part-{name}", *args)
 
     profile = assemble.assemble_features(
         cards,
@@ -107,40 +121,48 @@ def build_features(
         ],
     )
     profile = assemble.to_epoch_seconds(assemble.first_last_buy(profile))
+    # All month ranges from one pass over the log.
+    ranges = table(
+        "ranges",
+        cuts.lag_and_amount_profiles,
+        hist,
+        s.as_of,
+        s.holidays,
+        LAG_FROM,
+        AMOUNT_RANGES,
+    )
     parts = [
         table("hist-encoding", encode.oof_target_encode, hist, cards),
         table("new-encoding", encode.oof_target_encode, new, cards, "new_target_encoding_"),
         table("date-encoding", encode.date_target_encode, cards, hist),
-        *[table(f"lag{k}", profiles.lag_profile, hist, k, s.as_of, s.holidays) for k in LAG_FROM],
+        ranges.select("card_id", *[c for c in ranges.columns if c.startswith("hist_monthlag")]),
         table("monthly", lags.monthly_change, hist, new),
         table("embedding", embed_2d, cards, feature_names(cards)),
     ]
     base = _stage(
-        lambda: assemble.assemble_features(assemble.hist_new_combine(profile), parts), s, "base"
+        assemble.assemble_features, s, "base", assemble.hist_new_combine(profile), parts
     )
 
     sides = {
         "new": table("new-merchants", merchants.new_merchant_profile, new, s.as_of, s.holidays),
         "hist": table("hist-merchants", merchants.hist_merchant_profile, hist, s.as_of, s.holidays),
     }
-    path = f"{s.out}/merchant-profiles"
-    if not finished(cards.sparkSession, path):
-        merchant_store(merchants.merchant_combined(sides["new"], sides["hist"]), path)
-    stored = read_merchants(cards.sparkSession, path)
-    visited = table("visited", merchants.card_merchant_profile, new, stored)
-    with_merchants = _stage(
-        lambda: assemble.assemble_features(base, [visited]), s, "merchants"
+    stored = _stage(
+        lambda a, b: by_merchant(merchants.merchant_combined(a, b)),
+        s,
+        "merchant-profiles",
+        sides["new"],
+        sides["hist"],
     )
+    visited = table("visited", merchants.card_merchant_profile, new, stored)
+    with_merchants = _stage(assemble.assemble_features, s, "merchants", base, [visited])
 
     more = [
         table("quarters", profiles.quarter_profile, hist, s.quarter_starts),
         table("new-amounts", profiles.new_amount_profile, new, s.as_of),
-        *[
-            table(f"amounts{lo}{hi}", profiles.hist_amount_profile, hist, lo, hi, s.as_of)
-            for lo, hi in AMOUNT_RANGES
-        ],
+        ranges.select("card_id", *[c for c in ranges.columns if "_amount" in c and c.startswith("hist_month-")]),
     ]
-    amounts = _stage(lambda: assemble.assemble_features(with_merchants, more), s, "amounts")
+    amounts = _stage(assemble.assemble_features, s, "amounts", with_merchants, more)
     return {"base": base, "merchants": with_merchants, "amounts": amounts}
 
 
@@ -148,7 +170,7 @@ def build_features(
 def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
     """card_id, outliers, target and the best features."""
 
-    def make() -> DataFrame:
+    def make(features: DataFrame) -> DataFrame:
         folds = card_folds(features, s.folds, SELECTION_SEED).select("card_id", "fold")
         return select_by_importance(
             features.join(folds, "card_id"),
@@ -156,7 +178,7 @@ def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
             estimator=oof.gbt(**(oof.BOOSTED["lgb2"] | dict(s.boosting))),
         )
 
-    return _stage(make, s, name)
+    return _stage(make, s, name, features, keep=s.keep, folds=s.folds, boosting=dict(s.boosting))
 
 
 @_job
@@ -166,7 +188,7 @@ def stack(
     """Level-1 predictions of one selected feature set. ``extra`` adds a second forest,
     on all rows, in the place of extra trees."""
 
-    def make() -> DataFrame:
+    def make(selected: DataFrame) -> DataFrame:
         features = feature_names(selected)
         folds = card_folds(selected, s.folds, seed).select("card_id", "fold")
         inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
@@ -178,7 +200,17 @@ def stack(
         learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
         return oof.stack_level1(data, learners, s.folds)
 
-    return _stage(make, s, name)
+    return _stage(
+        make,
+        s,
+        name,
+        selected,
+        seed=seed,
+        extra=extra,
+        folds=s.folds,
+        boosting=dict(s.boosting),
+        forest=dict(s.forest),
+    )
 
 
 @_job
@@ -187,9 +219,15 @@ def blend_stacks(stacks: Sequence[DataFrame], s: Settings) -> DataFrame:
     original blend gives is divided between the two learners that remain."""
     total = blend.WEIGHTS["ridge"] + blend.WEIGHTS["lgb"]
     weights = {m: blend.WEIGHTS[m] / total for m in ("ridge", "lgb")}
-    stacked = _stage(lambda: blend.stack_features(stacks), s, "stacked")
+    stacked = _stage(blend.stack_features, s, "stacked", list(stacks))
     return _stage(
-        lambda: blend.level2(stacked, weights, k=s.folds, **dict(s.boosting)), s, "blended"
+        lambda table: blend.level2(table, weights, k=s.folds, **dict(s.boosting)),
+        s,
+        "blended",
+        stacked,
+        weights=weights,
+        folds=s.folds,
+        boosting=dict(s.boosting),
     )
 
 
@@ -217,10 +255,13 @@ def fast_scores(base: DataFrame, s: Settings) -> DataFrame:
     selected = select(base, s, "selected-fast")
     features = feature_names(selected)
     predictions = _stage(
-        lambda: blend.score_single(selected, features, s.folds, **dict(s.boosting))[0],
+        lambda table: blend.score_single(table, features, s.folds, **dict(s.boosting))[0],
         s,
         "single-model-predictions",
+        selected,
+        folds=s.folds,
+        boosting=dict(s.boosting),
     )
     write_scores(predictions, f"{s.out}/single-model")
-    _stage(lambda: oof.fold_rmse(predictions), s, "single-model-rmse")
+    _stage(oof.fold_rmse, s, "single-model-rmse", predictions)
     return predictions

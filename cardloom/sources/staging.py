@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _root: ContextVar[str | None] = ContextVar("stage_root", default=None)
 _fallback_dir: str | None = None
@@ -56,11 +60,123 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def resumed(spark: SparkSession, make: Callable[[], DataFrame], path: str) -> DataFrame:
-    """The stage at ``path``: read if an earlier run finished it, else made and
-    written. What an interrupted run left there is overwritten."""
-    if not finished(spark, path):
-        stage_write(make(), path, mode="overwrite")
+# What a stage was made of, beside it: its maker, the settings that went in, and the plan and
+# files of every input.
+
+
+def _roots(df: DataFrame) -> list[str] | None:
+    """The folders and files a frame reads; None where some of it comes from elsewhere."""
+    found: list[str] = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind in ("Range", "OneRowRelation"):
+            continue  # their plan says it all
+        if not kind.startswith("LogicalRelation") or not hasattr(leaf.relation(), "location"):
+            return None
+        try:
+            paths = leaf.relation().location().rootPaths()
+        except Exception:  # a relation without files
+            return None
+        found += [paths.apply(k).toString() for k in range(paths.size())]
+    return sorted(found)
+
+
+def _plan(df: DataFrame) -> str:
+    """The analyzed plan without the numbers that differ from run to run."""
+    spark = df.sparkSession
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 20))
+    try:
+        return df._jdf.queryExecution().analyzed().canonicalized().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def fingerprint(df: DataFrame) -> dict:
+    """What a frame is, without computing it: its plan, and number, total size and a
+    digest of path, size and time of the files it reads. They are listed by tasks; one
+    row of sums comes back. A frame that reads no files is told by its rows."""
+    spark = df.sparkSession
+    plan = hashlib.sha256(_plan(df).encode()).hexdigest()
+    roots = _roots(df)
+    if roots:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(roots)
+        what = ["path", "length", "modificationTime"]
+        size = F.sum("length")
+    elif roots is None:
+        listed, what, size = df, [f"`{c}`" for c in df.columns], F.lit(None).cast("long")
+    else:
+        return {"plan": plan}
+    row = listed.agg(
+        F.count(F.lit(1)).alias("n"),
+        size.alias("bytes"),
+        F.sum(F.xxhash64(*what).cast("decimal(38,0)")).alias("digest"),
+    ).first()
+    return {"plan": plan, "n": row["n"], "bytes": row["bytes"], "digest": str(row["digest"])}
+
+
+def manifest(name: str, settings: Mapping[str, object], inputs: Sequence[DataFrame]) -> dict:
+    return {
+        "name": name,
+        "settings": {k: repr(v) for k, v in sorted(settings.items())},
+        "inputs": [fingerprint(df) for df in inputs],
+    }
+
+
+def _manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}.manifest"
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    place, fs = _file_system(spark, _manifest_path(path))
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(text)
+    except (ValueError, Py4JJavaError):  # cut off while it was written: no record
+        return None
+    finally:
+        stream.close()
+
+
+def _write_manifest(spark: SparkSession, path: str, record: dict) -> None:
+    place, fs = _file_system(spark, _manifest_path(path))
+    stream = fs.create(place, True)
+    try:
+        stream.write(bytearray(json.dumps(record, sort_keys=True).encode()))
+    finally:
+        stream.close()
+
+
+def resumed(
+    spark: SparkSession,
+    make: Callable[[], DataFrame],
+    path: str,
+    name: str = "",
+    settings: Mapping[str, object] | None = None,
+    inputs: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """The stage at ``path``: read where an earlier run finished it from equal inputs and
+    settings, else made and written. What an interrupted run left there, or one with other
+    inputs, is overwritten. Stages that operators make meanwhile are deleted once it is there.
+
+    ``inputs`` are compared by plan and files: a file added, replaced or of another
+    size makes the stage anew, and so everything that reads it.
+    """
+    record = manifest(name, settings or {}, inputs)
+    if not finished(spark, path) or read_manifest(spark, path) != record:
+        place, fs = _file_system(spark, _manifest_path(path))
+        fs.delete(place, False)  # until the stage is whole it has no record
+        work = f"{path.rstrip('/')}.work"
+        with stage_root(work):
+            stage_write(make(), path, mode="overwrite")
+        _write_manifest(spark, path, record)
+        remove(spark, work)
     return stage_read(spark, path)
 
 

@@ -288,6 +288,21 @@ CARD_COLUMNS = (
 )
 ORACLES["read_cards"] = over(f"SELECT {CARD_COLUMNS} FROM cards")
 ORACLES["checkpoint_write_read"] = ORACLES["read_cards"]
+ORACLES["read_mixed_headers"] = ORACLES["read_cards"]
+_later = days("TIMESTAMP '2001-10-01'", "first_active_month")
+ORACLES["checkpoint_resumed"] = over(
+    " UNION ALL ".join(
+        f"SELECT '{step}' AS step, CAST({made} AS BIGINT) AS made, count(*) AS n_rows,"
+        f" CAST(sum({age}) AS BIGINT) AS days FROM cards WHERE {which}"
+        for step, made, age, which in (
+            ("1 first", 1, days(AS_OF, "first_active_month"), "true"),
+            ("2 equal", 1, days(AS_OF, "first_active_month"), "true"),
+            ("3 other day", 2, _later, "true"),
+            ("4 other cards", 3, _later, "target IS NOT NULL"),
+            ("5 equal", 3, _later, "target IS NOT NULL"),
+        )
+    )
+)
 ORACLES["read_transactions"] = over(
     f"""SELECT authorized_flag, {ROW}, {bigs(['city_id'])}, category_1, {bigs(['installments'])},
     category_3, {bigs(['merchant_category_id'])}, merchant_id, {bigs(['month_lag'])},
@@ -835,6 +850,24 @@ for _k, _suffix in ((0, ""), (-2, "_2"), (-6, "_6")):
         enriched("lc", "le", X.HOLIDAYS, lag=False),
         grouped("le", "card_id", _spec, _p, "lp", f"month_lag >= {_k}"),
     )
+_cut_ctes = [clean("hist", "lc"), enriched("lc", "le", X.HOLIDAYS, lag=False), amount_source("hist", "a")]
+_cut_names, _cut_joins = [], []
+for _i, _k in enumerate((0, -2, -6)):
+    _spec, _p = profiles.lag_spec(tuple(X.HOLIDAYS)), f"hist_monthlag{_k}"
+    _cut_names += spec_names(_spec, _p) + [f"{_p}purchase_date_{x}" for x in SPAN]
+    _cut_ctes.append(grouped("le", "card_id", _spec, _p, f"lag{_i}", f"month_lag >= {_k}"))
+    _cut_joins.append(f"(SELECT *, {span(_p)} FROM lag{_i})")
+for _i, (_lo, _hi) in enumerate(((-7, -3), (-1, 100), (-3, 100), (-100, 100))):
+    _p = f"hist_month{_lo}{_hi}_amount"
+    _cut_names += spec_names(profiles.amount_spec(), _p)
+    _where = f"month_lag BETWEEN {_lo} AND {_hi}"
+    _cut_ctes.append(grouped("a", "card_id", profiles.amount_spec(), _p, f"range{_i}", _where))
+    _cut_joins.append(f"range{_i}")
+ORACLES["cut_profiles"] = over(
+    f"SELECT {present_profile(_cut_names, dates=False)} FROM {_cut_joins[0]} t0 "
+    + " ".join(f"FULL JOIN {j} t{i} USING (card_id)" for i, j in enumerate(_cut_joins) if i),
+    *_cut_ctes,
+)
 _quarters = profiles.quarter_spec(X.QUARTER_STARTS)
 ORACLES["quarter_profile"] = over(
     f"SELECT card_id, {dbls(spec_names(_quarters, 'hist_'))} FROM qg",

@@ -22,12 +22,14 @@ from cardloom.operators import (
     cards,
     cleaning,
     columns,
+    cuts,
     encode,
     folds,
     lags,
     merchants,
     profiles,
 )
+from cardloom.plans.scoring import AMOUNT_RANGES, LAG_FROM
 from cardloom.sources import readers, staging
 from cardloom.sources import tpch_cards as X
 
@@ -207,6 +209,40 @@ def _(s):
     return staging.staged(s.cards, "cards")
 
 
+@query("checkpoint_resumed")
+def _(s):
+    """One stage asked for five times: how often it was made by then, and its rows."""
+    path, made, out = staging.stage_path(s.spark, "resumed"), [], []
+
+    def run(case: str, table: DataFrame, as_of: str) -> None:
+        def make() -> DataFrame:
+            made.append(case)
+            return cards.elapsed_days(table, as_of)
+
+        stage = staging.resumed(s.spark, make, path, "elapsed", {"as_of": as_of}, [table])
+        kept = stage.agg(F.count(F.lit(1)).alias("rows"), F.sum("elapsed_time").alias("days"))
+        # The next case overwrites the stage, so its sums are taken now.
+        out.append((case, len(made), *kept.first()))
+
+    run("1 first", s.cards, X.AS_OF)
+    run("2 equal", s.cards, X.AS_OF)
+    run("3 other day", s.cards, "2001-10-01")
+    run("4 other cards", s.train, "2001-10-01")
+    run("5 equal", s.train, "2001-10-01")
+    return s.spark.createDataFrame(out, "step string, made long, n_rows long, days long")
+
+
+@query("read_mixed_headers")
+def _(s):
+    """A folder of CSV files of two column orders, each read by its own header."""
+    card = s.cards.withColumn("first_active_month", F.date_format("first_active_month", "yyyy-MM"))
+    path = staging.stage_path(s.spark, "mixed-csv")
+    odd = F.pmod(F.crc32("card_id"), F.lit(2)) == 1
+    card.where(odd).write.csv(path, header=True)
+    card.where(~odd).select(*reversed(card.columns)).write.mode("append").csv(path, header=True)
+    return readers.read_cards(s.spark, path, mixed=True)
+
+
 @query("merchant_store")
 def _(s):
     path = staging.stage_path(s.spark, "merchants")
@@ -607,6 +643,14 @@ for _k, _suffix in ((0, ""), (-2, "_2"), (-6, "_6")):
     )
 
 
+@query("cut_profiles")
+def _(s):
+    """The seven lag and amount profiles together, from one pass over the log."""
+    return floating(
+        cuts.lag_and_amount_profiles(s.hist, X.AS_OF, X.HOLIDAYS, LAG_FROM, AMOUNT_RANGES)
+    )
+
+
 @query("quarter_profile")
 def _(s):
     return floating(profiles.quarter_profile(s.hist, X.QUARTER_STARTS))

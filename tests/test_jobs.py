@@ -1,5 +1,8 @@
 """The scoring jobs on a small feature table, and a second run into the same folder."""
 
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,8 +48,15 @@ def test_fast_path(spark, features, settings):
     assert spark.read.csv(f"{settings.out}/single-model", header=True).count() == 40
 
     # A second run reads the finished stages and writes the same scores.
-    again = scoring.fast_scores(features.limit(0), settings)
+    files = sorted((settings.out, p.name, p.stat().st_mtime) for p in Path(settings.out).glob("s*/part-*.parquet"))
+    again = scoring.fast_scores(features, settings)
     assert sorted(again.collect()) == sorted(out.collect())
+    assert files == sorted((settings.out, p.name, p.stat().st_mtime) for p in Path(settings.out).glob("s*/part-*.parquet")) != []
+    # Other cards, or another number of folds, are scored anew.
+    some = features.where("card_id < 'C_2'")
+    assert scoring.fast_scores(some, settings).count() == some.count() < 240
+    other = scoring.fast_scores(some, replace(settings, folds=2))
+    assert other.where("target IS NOT NULL").select("fold").distinct().count() == 2
     assert (staging.finished(spark, f"{settings.out}/selected-fast")) is True
     scoring.clean_up(spark, settings)
     assert not staging.finished(spark, f"{settings.out}/_work")

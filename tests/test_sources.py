@@ -46,16 +46,91 @@ def test_distinct_counts_do_not_depend_on_the_column_name(spark):
     assert agg_spec(small, "k", {"month": ("small_nunique",)}).first()["month_nunique"] == 1
 
 
-def test_a_job_goes_on_where_it_ended(spark, tmp_path):
-    path = str(tmp_path / "stage")
-    first = staging.resumed(spark, lambda: spark.range(5), path)
-    assert first.count() == 5
-    assert staging.resumed(spark, lambda: spark.range(9), path).count() == 5  # finished: read again
-    (tmp_path / "stage" / "_SUCCESS").unlink()
-    assert staging.resumed(spark, lambda: spark.range(9), path).count() == 9  # cut off: written anew
+@pytest.fixture()
+def made(spark, tmp_path):
+    """Counts how often a stage is made from a table in files."""
+    calls = []
+    table = str(tmp_path / "table")
+    spark.range(5).write.parquet(table)
+
+    def run(path="stage", settings=None, table=table, plan=lambda df: df):
+        rows = plan(spark.read.parquet(table))
+
+        def make():
+            calls.append(path)
+            return staging.staged(rows.withColumn("x", F.col("id") * 2), "inner")
+
+        return staging.resumed(
+            spark, make, str(tmp_path / path), "double", settings or {"as_of": "2001"}, [rows]
+        ).count()
+
+    return run, calls, table, tmp_path
+
+
+def test_a_stage_is_made_again_only_if_something_changed(spark, made):
+    run, calls, table, tmp_path = made
+    assert run() == 5 and len(calls) == 1
+    assert run() == 5 and len(calls) == 1  # equal: read again
+    assert run(settings={"as_of": "2002"}) == 5 and len(calls) == 2
+    assert run(settings={"as_of": "2002"}) == 5 and len(calls) == 2
+    spark.range(5, 8).write.mode("append").parquet(table)  # another file
+    assert run(settings={"as_of": "2002"}) == 8 and len(calls) == 3
+    assert run(settings={"as_of": "2002"}, plan=lambda df: df.where("id < 3")) == 3 and len(calls) == 4
+    assert not list(tmp_path.glob("*.work"))  # spent inner stages are gone
+
+
+def test_a_killed_run_goes_on(spark, made):
+    run, calls, _, tmp_path = made
+    run("a")
+    with pytest.raises(RuntimeError):
+        staging.resumed(spark, lambda: (_ for _ in ()).throw(RuntimeError()), str(tmp_path / "b"), "b")
+    (tmp_path / "a" / "_SUCCESS").unlink()  # cut off while it was written
+    assert run("a") == 5 and calls == ["a", "a"]
+    (tmp_path / "a.manifest").write_text('{"name": "dou')  # cut off in its record
+    assert run("a") == 5 and calls == ["a"] * 3
+    assert run("a") == 5 and run("b") == 5 and calls == ["a", "a", "a", "b"]
+
+
+def test_frames_without_files_are_told_by_their_rows(spark):
+    one, two = (spark.createDataFrame([(i,)], "a int") for i in (1, 2))
+    assert staging.fingerprint(one) != staging.fingerprint(two)
+    again = spark.createDataFrame([(1,)], "a int")
+    assert staging.fingerprint(one) == staging.fingerprint(again)
+    assert staging.fingerprint(spark.range(3)) == staging.fingerprint(spark.range(3))
+
+
+def test_stages_inside_operators_go_below_the_root(spark, tmp_path):
     with staging.stage_root(str(tmp_path / "work")):
         assert staging.staged(spark.range(3), "x").count() == 3
     assert list((tmp_path / "work").glob("cardloom/x-*"))
     staging.remove(spark, str(tmp_path / "work"))
     assert not (tmp_path / "work").exists()
     assert not staging.finished(spark, str(tmp_path / "work"))
+
+
+def test_a_folder_of_differently_ordered_files(spark, tmp_path):
+    folder = tmp_path / "cards"
+    folder.mkdir()
+    write(folder / "a.csv", "card_id,first_active_month,feature_1,feature_2,feature_3,target\nC_1,2017-06,1,2,3,0.5\n")
+    write(folder / "b.csv", "first_active_month,card_id,target,feature_1,feature_2,feature_3\n2017-07,C_2,1.5,4,5,6\n")
+    got = readers.read_cards(spark, str(folder), mixed=True).orderBy("card_id").collect()
+    assert [(r.card_id, str(r.first_active_month), r.feature_3, r.target) for r in got] == [
+        ("C_1", "2017-06-01", 3, 0.5),
+        ("C_2", "2017-07-01", 6, 1.5),
+    ]
+    with pytest.raises(Exception, match="header"):
+        readers.read_cards(spark, str(folder)).collect()
+    write(folder / "c.csv", "first_active_month,card_id\n2017-07,C_3\n")
+    with pytest.raises(ValueError, match="feature_1"):
+        readers.read_cards(spark, str(folder), mixed=True)
+
+
+def test_parquet_of_another_schema_is_refused(spark, tmp_path):
+    path = str(tmp_path / "cards")
+    row = spark.createDataFrame([("C_1", "2017-06", 1, 2, "x", 0.5)], "card_id string, first_active_month string, feature_1 int, feature_2 int, feature_3 string, target double")
+    row.write.parquet(path)
+    with pytest.raises(ValueError, match="feature_3 is string"):
+        readers.read_cards(spark, path, "parquet")
+    row.drop("feature_3").write.parquet(path + "2")
+    with pytest.raises(ValueError, match="no column feature_3"):
+        readers.read_cards(spark, path + "2", "parquet")
