@@ -8,10 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardloom.models.oof import BOOSTED, gbt, ridge, stack_level1, vectors, LEVEL2_ALPHA
+from cardloom.models.gram import fold_grams
+from cardloom.models.oof import BOOSTED, LEVEL2_ALPHA, VECTOR, assembled, gbt, ridge, stack_level1, vectors
 from cardloom.models.scaling import minmax_scale, model_inputs
 from cardloom.operators.cleaning import fill_zero
 from cardloom.operators.folds import card_folds
+from cardloom.sources.staging import staged
 
 WEIGHTS = {"ridge": 0.3, "nn": 0.6, "lgb": 0.1}
 REPEAT_SEED = 10835
@@ -75,16 +77,21 @@ def level2(
     """Ridge and boosted trees over the stacked predictions, blended, averaged
     over reshuffled folds. ``weights`` names 'ridge' and 'lgb'."""
     features = model_columns(stacked)
+    named = [f"fold_{r}" for r in range(repeats)]
+    for r, name in enumerate(named):
+        folds = card_folds(stacked, k, REPEAT_SEED + r)
+        stacked = stacked.join(folds.select("card_id", F.col("fold").alias(name)), "card_id")
+    data = staged(assembled(stacked, features, named), "vectors")
+    # Every repeat and fold of the ridge comes from this one pass.
+    grams = fold_grams(data, VECTOR, named) if "ridge" in weights else None
     frames = []
-    for r in range(repeats):
-        folds = card_folds(stacked, k, REPEAT_SEED + r).select("card_id", "fold")
-        data = vectors(stacked.join(folds, "card_id"), features)
-        learners = {
-            "ridge": ridge(data, LEVEL2_ALPHA),
-            "lgb": gbt(**(BOOSTED["lgb"] | dict(maxDepth=3) | boosting)),
-        }
+    for name in named:
+        rows = data.withColumn("fold", F.col(name)).drop(*named)
+        learners = {"lgb": gbt(**(BOOSTED["lgb"] | dict(maxDepth=3) | boosting))}
+        if grams is not None:
+            learners["ridge"] = ridge(data, LEVEL2_ALPHA, grams, name)
         wanted = {m: learners[m] for m in weights}
-        frames.append(blend(stack_level1(data, wanted, k), weights))
+        frames.append(blend(stack_level1(rows, wanted, k), weights))
     return repeat_average(frames)
 
 

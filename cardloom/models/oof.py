@@ -8,18 +8,19 @@ from functools import reduce
 
 from pyspark.ml.base import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.models.gram import Grams, fold_grams
 from cardloom.operators.cleaning import nan_pred_to_zero
 from cardloom.operators.encode import TEST_FOLD
 from cardloom.sources.staging import staged
 
 VECTOR = "__features"
 HELD = "__held"
-# An estimator, or one per fold.
-Learner = Estimator | Callable[[int], Estimator]
+# An estimator, or an estimator or finished model per fold.
+Learner = Estimator | Callable[[int], Estimator | Model]
 
 # Model slots as (depth, trees, step, row share, column share). The boosted
 # slots differ in depth, step and sampling.
@@ -34,16 +35,20 @@ LEVEL1_ALPHA = 0.1
 LEVEL2_ALPHA = 1.0
 
 
+def assembled(df: DataFrame, features: Sequence[str], folds: Sequence[str] = ("fold",)) -> DataFrame:
+    """card_id, target, the fold columns and one feature vector."""
+    named = df.selectExpr(
+        "card_id", "target", *folds, *[f"cast(`{f}` AS double) AS `{f}`" for f in features]
+    )
+    made = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(named)
+    return made.select("card_id", "target", *folds, VECTOR)
+
+
 def vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Staged card_id, target, fold and one feature vector, laid out by fold so a
     fold is read without scanning the others."""
-    assembled = VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(
-        df.selectExpr(
-            "card_id", "target", "fold", *[f"cast(`{f}` AS double) AS `{f}`" for f in features]
-        )
-    )
     # By fold and some of the rows, so that a fold is a few files and not one per task.
-    rows = assembled.select("card_id", "target", "fold", VECTOR)
+    rows = assembled(df, features)
     rows = rows.repartition("fold", F.pmod(F.xxhash64("card_id"), F.lit(8)))
     return staged(rows, "vectors", partition_by=["fold"])
 
@@ -65,35 +70,19 @@ def forest(seed: int = 131, **params) -> Estimator:
     )
 
 
-def ridge(data: DataFrame, alpha: float) -> Callable[[int], Estimator]:
-    """Ridge per fold. The solver scales the penalty by rows and label deviation,
-    so those of the fold's training rows undo it."""
-    per_fold = (
-        data.filter(F.col("fold") != TEST_FOLD)
-        .groupBy("fold")
-        .agg(F.count("target").alias("n"), F.sum("target").alias("s"), F.var_pop("target").alias("v"))
-        .collect()
-    )
-
-    def estimator(held: int) -> Estimator:
-        kept = [r for r in per_fold if r["fold"] != held]
-        n = sum(r["n"] for r in kept)
-        mean = sum(r["s"] for r in kept) / n
-        spread = sum(r["n"] * (r["v"] + (r["s"] / r["n"] - mean) ** 2) for r in kept) / n
-        return LinearRegression(
-            featuresCol=VECTOR,
-            labelCol="target",
-            elasticNetParam=0.0,
-            standardization=False,
-            solver="normal",
-            regParam=alpha * spread**0.5 / n,
-        )
-
-    return estimator
+def ridge(
+    data: DataFrame, alpha: float, grams: Grams | None = None, fold: str = "fold"
+) -> Callable[[int], Model]:
+    """Ridge per fold, from Gram statistics of all folds: one pass over the rows, or none where
+    ``grams`` of an earlier one are given. The penalty is on the plain coefficients."""
+    grams = grams or fold_grams(data, VECTOR, (fold,))
+    return lambda held: grams.model(data.sparkSession, alpha, held, fold).setFeaturesCol(VECTOR)
 
 
 def _fit(learner: Learner, data: DataFrame, fold: int) -> Model:
     estimator = learner if isinstance(learner, Estimator) else learner(fold)
+    if isinstance(estimator, Model):
+        return estimator
     train = data.filter(F.col("fold") != TEST_FOLD)
     if estimator.hasParam("validationIndicatorCol") and estimator.isSet("validationIndicatorCol"):
         return estimator.fit(train.withColumn(HELD, F.col("fold") == fold))

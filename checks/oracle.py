@@ -1121,6 +1121,50 @@ ORACLES["repeat_average"] = over(
     *[c for r in range(3) for c in ridge_ctes(10835 + r, 1.0, f"r{r}_")],
 )
 
+
+
+def _determinant(a, b, c) -> str:
+    """Of three columns of three values each."""
+    return (
+        f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {b[0]} * ({a[1]} * {c[2]} - {a[2]} * {c[1]})"
+        f" + {c[0]} * ({a[1]} * {b[2]} - {a[2]} * {b[1]}))"
+    )
+
+
+def _gram_ridge() -> str:
+    """Three features by Cramer's rule."""
+    pairs = [(i, j) for i in (1, 2, 3) for j in (1, 2, 3)]
+    column = {j: [f"s{min(i, j)}{max(i, j)}" for i in (1, 2, 3)] for j in (1, 2, 3)}
+    right = ["s1y", "s2y", "s3y"]
+    whole = _determinant(column[1], column[2], column[3])
+    beta = {
+        j: f"({_determinant(*[right if k == j else column[k] for k in (1, 2, 3)])} / {whole})" for j in (1, 2, 3)
+    }
+    ctes, parts = [], []
+    for r in range(3):
+        p = f"g{r}_"
+        ctes += fold_ctes(10835 + r, 6, p)
+        parts.append(
+            f"""SELECT {r} AS r, held, alpha, avg(y) AS my, {', '.join(f'avg(x{i}) AS m{i}' for i in (1, 2, 3))},
+            {', '.join(f'count(*) * covar_pop(x{i}, x{j}) + {"any_value(alpha)" if i == j else "0"} AS s{i}{j}' for i, j in pairs if i <= j)},
+            {', '.join(f'count(*) * covar_pop(x{i}, y) AS s{i}y' for i in (1, 2, 3))}
+            FROM (SELECT fold, mt.target AS y, CAST(hist_rows AS DOUBLE) AS x1, CAST(feature_2 AS DOUBLE) AS x2,
+                  CAST(hist_amount AS DOUBLE) AS x3 FROM {p}folds JOIN mt USING (card_id))
+            JOIN (SELECT unnest(range(0, 6)) AS held) ON fold <> held,
+            (VALUES (0.1e0), (1e0), (1000e0)) v(alpha) GROUP BY held, alpha"""
+        )
+    return over(
+        f"""SELECT CAST(r AS BIGINT) AS r, CAST(held AS BIGINT) AS held, {dbl('alpha', 'alpha')},
+        {', '.join(dbl(beta[j], f'b{j}') for j in (1, 2, 3))},
+        {dbl('my - ' + ' - '.join(f'{beta[j]} * m{j}' for j in (1, 2, 3)), 'b0')}
+        FROM ({' UNION ALL '.join(parts)})""",
+        MODEL_TABLE,
+        *ctes,
+    )
+
+
+ORACLES["gram_ridge"] = _gram_ridge()
+
 # What SQL can state of trained results
 
 _F40 = fold_ctes(40, 6)

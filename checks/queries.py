@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cardloom.functions import lookup as lk
 from cardloom.models import blend as bl
-from cardloom.models import oof, scaling, selection
+from cardloom.models import gram, oof, scaling, selection
 from cardloom.operators import (
     amounts,
     assemble,
@@ -38,6 +38,8 @@ QUERIES: dict[str, Query] = {}
 
 ROW = ("card_id", "purchase_date")
 RIDGE_FEATURES = ["hist_rows", "feature_2"]
+GRAM_FEATURES = ["hist_rows", "feature_2", "hist_amount"]
+GRAM_ALPHAS = (0.1, 1.0, 1000.0)
 
 
 # Sums differ in their last bits with the order of addition, so doubles are
@@ -974,6 +976,24 @@ def _(s):
     return bl.repeat_average(frames)
 
 
+@query("gram_ridge")
+def _(s):
+    """Coefficients of all repeats, folds and penalties from one pass over the rows."""
+    rows = s.model_table
+    named = [f"fold_{r}" for r in range(bl.REPEATS)]
+    for r, name in enumerate(named):
+        f = folds.card_folds(s.cards, 6, bl.REPEAT_SEED + r)
+        rows = rows.join(f.select("card_id", F.col("fold").alias(name)), "card_id")
+    grams = gram.fold_grams(oof.assembled(rows, GRAM_FEATURES, named), oof.VECTOR, named)
+    out = []
+    for r, name in enumerate(named):
+        for held in range(6):
+            for alpha in GRAM_ALPHAS:
+                beta, intercept = grams.solve(alpha, held, name)
+                out.append((r, held, alpha, *map(float, beta), intercept))
+    return s.spark.createDataFrame(out, "r int, held int, alpha double, b1 double, b2 double, b3 double, b0 double")
+
+
 @query("score_single")
 def _(s):
     return bl.score_single(s.model_table, INPUTS, **SMALL_TREES)[1]
