@@ -50,7 +50,8 @@ class _Coder:
     it, so the ids of a text are those of its words in turn. It also cuts between
     letters and anything else, so a word of letters is one piece, whose last id alone
     carries the end-of-word mark; many of them are encoded in one call and told
-    apart by that mark. Other words are encoded between two special tokens.
+    apart by that mark. Other words are encoded between two special tokens. A special token in a
+    text is its id, as the tokenizer has it.
     """
 
     # Distinct words remembered; then it begins anew, with the same results.
@@ -90,6 +91,18 @@ class _Coder:
         self.specials = tuple(t["content"] for t in special)
         self.forget()
 
+    def folded(self, raw: np.ndarray) -> np.ndarray:
+        """Small letters, but for what would be a special token only then: those are met in
+        the text as it is."""
+        low = _folded(raw)
+        data = low.tobytes()
+        for name in (s.encode() for s in self.specials):
+            at = data.find(name)
+            while at >= 0:
+                low[at : at + len(name)] = raw[at : at + len(name)]
+                at = data.find(name, at + 1)
+        return low
+
     def forget(self) -> None:
         self.names = np.zeros(0, words.U64)  # hashes, sorted, and the slot of each
         self.slot = np.zeros(0, np.int64)
@@ -119,13 +132,11 @@ class _Coder:
         count = np.zeros(len(chunks), np.int64)
         each: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(chunks)
         mixed = [k for k, s in enumerate(safe) if not s]
-        self.whole.encode_special_tokens = False
         for a in range(0, len(mixed), self.AT_ONCE):
             part = mixed[a : a + self.AT_ONCE]
             ids = self._encoded(self.whole, [self.mark.join([*(chunks[k] for k in part), ""])])[0]
             for k, x in zip(part, np.split(ids, np.flatnonzero(ids == self.mark_id) + 1)):
                 each[k] = x[:-1]
-        self.whole.encode_special_tokens = True
         for k, x in zip(
             np.flatnonzero(safe), self._encoded(self.whole, [c for c, s in zip(chunks, safe) if s])
         ):
@@ -220,7 +231,7 @@ def _tokenized(tokenizer: str, end_id: int):
         for batch in batches:
             ids, size, key = [], [], []
             for _, raw, bounds in words.slices(batch.column("text"), 2 * words.CHUNK):
-                low = _folded(raw)
+                low = coder.folded(raw)
                 starts, ends, at = _cut(low, bounds)
                 hashed = words.hashes(low, starts, ends)
                 names, first, which = np.unique(hashed, return_index=True, return_inverse=True)

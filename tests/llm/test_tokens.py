@@ -59,7 +59,6 @@ def test_token_counts_of_odd_documents(spark, odd_documents):
 def whole(pieces, texts, n_rows):
     """Check the pieces and return the ids of every document in turn."""
     coder = Tokenizer.from_str(tokenizer())
-    coder.encode_special_tokens = True
     assert pieces.length.gt(0).all()
     size = pieces.groupby("sequence_id").length.sum()
     assert ((size & (size - 1)) == 0).all() and (size <= 2048).all()
@@ -97,6 +96,21 @@ def test_packing_of_odd_documents(spark, odd_documents):
     assert packing.pack(odd_documents.limit(0), tokenizer()).collect() == []
 
 
+def test_special_tokens_in_texts_are_the_tokenizers(spark):
+    """As the tokenizer gives them without a switch, in any case and place."""
+    texts = [
+        "a <|endoftext|> b", "x<|startoftext|>y. <|ENDOFTEXT|> z", "<|endoftext|>", "<|endoftext|><|endoftext|>.",
+        "<|EndOfText|>,<|endoftext|>", "É<|endoftext|>É ok", "<|endoftext", "a <|endoftext|>, b", "plain words, here.",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.pack(frame, tokenizer()).toPandas()
+    want = whole(pieces, dict(enumerate(texts)), len(texts))
+    assert want[0] == [320, 49407, 321, 1]
+    for name, part in pieces.sort_values("start").groupby("doc_id"):
+        got = np.concatenate([np.frombuffer(x, "<u4") for x in part.ids])
+        assert got.tolist() == want[name], texts[name]
+
+
 def test_seed_gets_its_nearest_document():
     docs = [np.array(x) for x in ([5, 6, 7, 8], [90, 91, 92], [6, 7, 40], [50, 51], [60, 61], [62])]
     shard = packing._Shard(docs, end_id=1)
