@@ -15,7 +15,7 @@ pass that begins the next tree, and a model stops once it has not fallen for ``p
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -349,6 +349,32 @@ def predict(rows: DataFrame, base: Sequence[float], models: Sequence[Sequence[Tr
     return rows.drop("margins").mapInArrow(run, f"card_id string, target double, fold int, `{name}` double")
 
 
+def slot(settings: Mapping[str, object]) -> Params:
+    """The parameters of a boosted slot, from the names the library's trees use."""
+    share = settings.get("featureSubsetStrategy", "all")
+    return Params(
+        trees=int(settings.get("maxIter", Params.trees)),
+        depth=int(settings.get("maxDepth", Params.depth)),
+        rate=float(settings.get("stepSize", Params.rate)),
+        row_share=float(settings.get("subsamplingRate", 1.0)),
+        feature_share=1.0 if share == "all" else float(share),
+        min_rows=int(settings.get("minInstancesPerNode", Params.min_rows)),
+        seed=int(settings.get("seed", Params.seed)),
+    )
+
+
+def slots(
+    data: DataFrame, vector: str, k: int, params: Mapping[str, Params], bins: int = BINS
+) -> DataFrame:
+    """card_id and one column of out-of-fold predictions per name, over rows binned once."""
+    rows = binned(data, vector, bins)
+    out = None
+    for name, p in params.items():
+        found = predict(rows, *train(rows, k, p, bins), name).select("card_id", name)
+        out = found if out is None else out.join(found, "card_id")
+    return out
+
+
 def oof_histogram(
     data: DataFrame, vector: str, k: int, params: Params = Params(), name: str = "pred", bins: int = BINS
 ) -> DataFrame:

@@ -21,14 +21,34 @@ LOOKUP_PREFIX = "mer1"
 DATES = ("purchase_date_max", "purchase_date_min")
 
 
+def visited_only(log: DataFrame, visiting: DataFrame) -> DataFrame:
+    """The rows of ``log`` at merchants that ``visiting`` has, a missing one being the
+    default merchant in both. A semi-join, which the optimizer broadcasts or shuffles by the
+    measured size of the visited merchants."""
+    name = F.coalesce("merchant_id", F.lit(cleaning.DEFAULT_MERCHANT)).alias("merchant_id")
+    merchants = visiting.select(name).distinct()
+    return cleaning.fill_defaults(log).join(merchants, "merchant_id", "left_semi")
+
+
 def merchant_profile(
-    log: DataFrame, prefix: str, as_of: str, holidays: Mapping[str, str], amount: str
+    log: DataFrame,
+    prefix: str,
+    as_of: str,
+    holidays: Mapping[str, str],
+    amount: str,
+    visiting: DataFrame | None = None,
 ) -> DataFrame:
+    """With ``visiting``, only of the merchants in that log: those of any other would be
+    aggregated for nobody. Category means stay those of the whole log."""
+    whole = log.select(*LOG_COLUMNS)
+    narrow = cleaning.fill_defaults(whole)
+    if visiting is not None:
+        narrow = visited_only(whole, visiting).select(*LOG_COLUMNS)
     # Logs are kept card by card, so a merchant's rows are everywhere: bring them
     # together while they are narrow.
-    narrow = cleaning.fill_defaults(log.select(*LOG_COLUMNS))
     log = staged(clustered(narrow, "merchant_id"), "by-merchant")
-    df = enrich(log, as_of, holidays, amount, installments_plus1=True)
+    part = None if visiting is None else whole
+    df = enrich(log, as_of, holidays, amount, installments_plus1=True, whole=part)
     df = agg_spec(df, "merchant_id", merchant_spec(tuple(holidays)), prefix)
     return purchase_span(df, as_of, prefix, size="merchant_id_size")
 
@@ -38,8 +58,9 @@ def hist_merchant_profile(
     as_of: str,
     holidays: Mapping[str, str] = calendar.HOLIDAYS,
     amount: str = "clip",
+    visiting: DataFrame | None = None,
 ) -> DataFrame:
-    return merchant_profile(hist, "hist_", as_of, holidays, amount)
+    return merchant_profile(hist, "hist_", as_of, holidays, amount, visiting)
 
 
 def new_merchant_profile(

@@ -70,11 +70,14 @@ def category_amount_stats(
     columns: Sequence[str] = ("category_2", "category_3"),
     stats: Sequence[str] = ("mean", "min", "max", "sum"),
     value: str = "purchase_amount",
+    over: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics of the amount per category, attached to every row. One pass
-    over the log serves all the columns."""
+    over the log serves all the columns. They are those of ``over``, where ``df`` is
+    only a part of the log."""
     combined = (
-        df.groupBy(*columns)
+        (df if over is None else over)
+        .groupBy(*columns)
         .agg(
             F.sum(value).alias("s"),
             F.count(value).alias("n"),
@@ -209,8 +212,10 @@ def enrich(
     amount: str = "clip",
     installments_plus1: bool = False,
     lag_in_month_diff: bool = True,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned log with every column the profile specs name."""
+    """Cleaned log with every column the profile specs name. Where ``log`` is only a part of
+    a log, category means are those of the ``whole``."""
     df = cleaning.clean(log, amount)
     df = calendar.weekend_flag(calendar.calendar_parts(df))
     df = amounts.price_ratio_plus1(df) if installments_plus1 else amounts.price_ratio(df)
@@ -220,7 +225,8 @@ def enrich(
     else:
         df = calendar.month_diff_nolag(df, as_of, name="month_diff")
     df = amounts.amount_month_ratio(amounts.duration(df))
-    return category_amount_stats(df, stats=("mean",))
+    over = None if whole is None else cleaning.clean(whole, amount)
+    return category_amount_stats(df, stats=("mean",), over=over)
 
 
 def hist_card_profile(

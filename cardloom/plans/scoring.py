@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions.lookup import clustered
-from cardloom.models import blend, oof
+from cardloom.models import blend, boosting, oof
 from cardloom.models.scaling import embed_2d, minmax_scale, model_inputs
 from cardloom.models.selection import KEEP, SELECTION_SEED, select_by_importance
 from cardloom.operators import (
@@ -37,6 +37,8 @@ AMOUNT_RANGES = ((-7, -3), (-1, 100), (-3, 100), (-100, 100))
 STACK_SEEDS = (40, 400, 4000)
 # The first two stacks have a learner more.
 STACK_EXTRA = (True, True, False)
+# Boosted on histograms for all folds at once; the other slot keeps the library's trees.
+HISTOGRAM_SLOTS = ("xgb", "lgb", "lgb2")
 EXTRA = dict(seed=4950, numTrees=300, subsamplingRate=1.0)
 
 
@@ -145,7 +147,10 @@ def build_features(
 
     sides = {
         "new": table("new-merchants", merchants.new_merchant_profile, new, s.as_of, s.holidays),
-        "hist": table("hist-merchants", merchants.hist_merchant_profile, hist, s.as_of, s.holidays),
+        # Only merchants in the new log are looked up there.
+        "hist": table(
+            "hist-merchants", merchants.hist_merchant_profile, hist, s.as_of, s.holidays, "clip", new
+        ),
     }
     stored = _stage(
         lambda a, b: by_merchant(merchants.merchant_combined(a, b)),
@@ -193,12 +198,15 @@ def stack(
         folds = card_folds(selected, s.folds, seed).select("card_id", "fold")
         inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
         data = oof.vectors(inputs, features)
-        learners = {m: oof.gbt(**(p | dict(s.boosting))) for m, p in oof.BOOSTED.items()}
+        boosted = {m: p | dict(s.boosting) for m, p in oof.BOOSTED.items()}
+        learners = {m: oof.gbt(**p) for m, p in boosted.items() if m not in HISTOGRAM_SLOTS}
+        by_histogram = {m: boosting.slot(boosted[m]) for m in HISTOGRAM_SLOTS}
         learners["random"] = oof.forest(**s.forest)
         if extra:
             learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
         learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
-        return oof.stack_level1(data, learners, s.folds)
+        plain = oof.stack_level1(data, learners, s.folds)
+        return plain.join(boosting.slots(data, oof.VECTOR, s.folds, by_histogram), "card_id")
 
     return _stage(
         make,

@@ -318,6 +318,11 @@ ORACLES["hist_merchant_profile"] = over(
     f"SELECT {present_profile(HM_NAMES, 'merchant_id')} FROM hm", *HM
 )
 ORACLES["merchant_store"] = ORACLES["hist_merchant_profile"]
+ORACLES["visited_merchant_profile"] = over(
+    f"""SELECT {present_profile(HM_NAMES, 'merchant_id')} FROM hm
+    WHERE merchant_id IN (SELECT coalesce(merchant_id, 'M_ID_00a6ca8a8a') FROM newlog)""",
+    *HM,
+)
 ORACLES["prefix_columns"] = over(
     f"""SELECT card_id, {txt('first_active_month', 'kkkfirst_active_month')},
     {big('feature_1', 'kkkfeature_1')}, {big('feature_2', 'kkkfeature_2')},
@@ -1170,6 +1175,7 @@ ORACLES["gram_ridge"] = _gram_ridge()
 _F40 = fold_ctes(40, 6)
 _STATED = f"card_id, {dbl('target', 'target')}, {bigs(['fold'])}, 1::BIGINT AS predicted"
 ORACLES["oof_gbt_stated"] = over(f"SELECT {_STATED} FROM allfolds", *_F40)
+ORACLES["oof_histogram_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS no_worse FROM allfolds", *_F40)
 ORACLES["oof_forest_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS inside FROM allfolds", *_F40)
 ORACLES["score_single_stated"] = over(
     "SELECT card_id, 1::BIGINT AS scored FROM cards WHERE target IS NULL"

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cardloom.functions import lookup as lk
 from cardloom.models import blend as bl
-from cardloom.models import gram, oof, scaling, selection
+from cardloom.models import boosting, gram, oof, scaling, selection
 from cardloom.operators import (
     amounts,
     assemble,
@@ -679,6 +679,14 @@ def _(s):
     return floating(s.new_merchants)
 
 
+@query("visited_merchant_profile")
+def _(s):
+    """Historical profiles of the merchants that the new log visits."""
+    return floating(
+        merchants.hist_merchant_profile(s.hist, X.AS_OF, X.HOLIDAYS, visiting=s.new)
+    )
+
+
 @query("merchant_combined")
 def _(s):
     return s.all_merchants
@@ -923,6 +931,30 @@ def _(s):
     return oof.oof_gbt(s.folded(40), INPUTS, **SMALL_TREES)
 
 
+BOOSTING = boosting.Params(trees=12, depth=4, leaves=12, rate=0.1, patience=4)
+
+
+@query("oof_histogram")
+def _(s):
+    return boosting.oof_histogram(oof.vectors(s.folded(40), INPUTS), oof.VECTOR, 6, BOOSTING)
+
+
+@query("oof_histogram_stated")
+def _(s):
+    """Every card has a prediction, and a model that may stop at once is no worse, over the
+    folds it never saw, than the mean it starts from."""
+    data = oof.vectors(s.folded(40), INPUTS)
+    out = boosting.oof_histogram(data, oof.VECTOR, 6, BOOSTING)
+    known = out.where("target IS NOT NULL")
+    n, total = known.agg(F.count("target"), F.sum("target")).first()
+    means = known.groupBy("fold").agg(
+        ((F.lit(total) - F.sum("target")) / (F.lit(n) - F.count("target"))).alias("mean")
+    )
+    gap = lambda c: F.sum(F.pow(F.col("target") - F.col(c), F.lit(2)))
+    better = known.join(means, "fold").agg((gap("pred") <= gap("mean")).alias("ok")).first()["ok"]
+    return _stated_predictions(out).withColumn("no_worse", F.lit(int(better)))
+
+
 @query("oof_forest")
 def _(s):
     return oof.oof_forest(s.folded(40), INPUTS, numTrees=10, maxDepth=4)

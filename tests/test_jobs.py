@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardloom.models import oof
-from cardloom.operators import cleaning
+from cardloom.operators import cleaning, profiles
 from cardloom.plans import scoring
 from cardloom.sources import staging
+from cardloom.sources import tpch_cards as X
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,35 @@ def test_stacks_have_their_learners(features, settings):
     for f in folds:
         assert f.count() == 240
         assert f.select(*[F.count(c) for c in more & set(f.columns)]).first()[0] == 240
+
+
+def stamps(out):
+    return {p.name: p.stat().st_mtime for p in Path(out).iterdir() if p.is_dir()}
+
+
+def test_feature_job_makes_again_only_what_changed(spark, sample, tmp_path):
+    """The whole feature job over the sample, then with another day: parts that do not read
+    the day are kept, and equal inputs and settings make nothing again."""
+    tables = X.train_cards(spark, sample), X.test_cards(spark, sample), X.hist_log(spark, sample), X.new_log(spark, sample)
+    settings = scoring.Settings(X.AS_OF, str(tmp_path / "job"), X.HOLIDAYS, X.NEW_HOLIDAYS, X.QUARTER_STARTS)
+    made = scoring.build_features(*tables, settings)
+    cards = X.cards(spark, sample).count()
+    assert {n: df.count() for n, df in made.items()} == dict.fromkeys(made, cards)
+    base, amounts = (set(made[n].columns) for n in ("base", "amounts"))
+    assert len(amounts) > len(base) > 1000 and "hist_monthlag-6purchase_amount_skew" in base
+    assert {f"hist_month{lo}{hi}_amountprice_skew" for lo, hi in scoring.AMOUNT_RANGES} <= amounts - base
+    alone = profiles.lag_profile(tables[2], -2, X.AS_OF, X.HOLIDAYS)
+    column = "hist_monthlag-2installments_skew"
+    assert made["base"].join(alone.select("card_id", F.col(f"`{column}`").alias("x")), "card_id").where(
+        f"abs(`{column}` - x) > 1e-9 OR (`{column}` IS NULL) <> (x IS NULL)"
+    ).count() == 0
+
+    before = stamps(settings.out)
+    scoring.build_features(*tables, settings)
+    assert stamps(settings.out) == before
+    scoring.build_features(*tables, replace(settings, as_of="2001-10-01"))
+    after = stamps(settings.out)
+    assert set(before) == set(after)
+    again = {n for n in after if after[n] != before[n]}
+    assert {"cards", "part-hist", "part-ranges", "base", "amounts"} <= again
+    assert not {"hist", "new", "part-quarters", "part-monthly"} & again

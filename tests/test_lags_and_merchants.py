@@ -71,3 +71,20 @@ def test_outer_assembly_keeps_cards_of_the_log(spark):
     part = spark.createDataFrame([("a", 1), ("z", 2)], "card_id string, n int")
     assert assemble.assemble_features(cards, [part]).count() == 1
     assert assemble.assemble_features(cards, [part], "outer").count() == 2
+
+
+def test_only_visited_merchants_are_profiled(spark, sample):
+    from cardloom.operators import cleaning, merchants
+    from cardloom.sources import tpch_cards as X
+
+    hist, new = X.hist_log(spark, sample), X.new_log(spark, sample).where("merchant_id IN ('M_2', 'M_5')")
+    some = merchants.hist_merchant_profile(hist, X.AS_OF, X.HOLIDAYS, visiting=new)
+    every = merchants.hist_merchant_profile(hist, X.AS_OF, X.HOLIDAYS)
+    visited = {r[0] or cleaning.DEFAULT_MERCHANT for r in new.select("merchant_id").distinct().collect()}
+    want = {r.merchant_id: r for r in every.collect() if r.merchant_id in visited}
+    got = {r.merchant_id: r for r in some.collect()}
+    assert 0 < len(want) < every.count() and set(got) == set(want)
+    for name, row in got.items():
+        for a, b in zip(row, want[name]):
+            assert a == b or (isinstance(a, float) and abs(a - b) <= 1e-9 * max(1, abs(a)))
+
