@@ -59,17 +59,17 @@ def _read(
     if fmt == "csv":
         return _read_csv(spark, path, schema, mixed)
     if fmt == "parquet":
+        # A part of the columns will do; one that is used and lacking is an error there.
         df = spark.read.parquet(path)
-        if missing := [f.name for f in schema if f.name not in df.columns]:
-            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        present = [f for f in schema if f.name in df.columns]
         wrong = [
             f"{f.name} is {df.schema[f.name].dataType.simpleString()}, expected {f.dataType.simpleString()}"
-            for f in schema
+            for f in present
             if not _fits(df.schema[f.name].dataType, f.dataType)
         ]
-        if wrong:
-            raise ValueError(f"{path}: {'; '.join(wrong)}")
-        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+        if wrong or not present:
+            raise ValueError(f"{path}: {'; '.join(wrong) or 'none of the columns'}")
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in present])
     raise ValueError(f"unknown format {fmt!r}")
 
 
