@@ -104,3 +104,23 @@ def test_stacks_join_by_card(spark):
     got = {r["card_id"]: r.asDict() for r in blend.stack_join([a, b]).collect()}
     assert got["a"] == {"card_id": "a", "m_0": 2.0, "m_1": 3.0, "target": 1.0}
     assert got["b"]["m_0"] is None and got["b"]["target"] is None
+
+
+def test_level_two_blends_every_repeat(spark):
+    """The ridge of all repeats from one pass equals one ridge per repeat."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(150):
+        x = rng.normal(size=2)
+        rows.append((f"c{i}", None if i % 5 == 0 else float(x[0] - x[1] + 0.1 * rng.normal()), *map(float, x)))
+    stacked = spark.createDataFrame(rows, "card_id string, target double, m_0 double, m_1 double")
+    got = {r.card_id: r.pred for r in blend.level2(stacked, {"ridge": 1.0}, repeats=2, k=3).collect()}
+    frames = []
+    for r in range(2):
+        folds = blend.card_folds(stacked, 3, blend.REPEAT_SEED + r).select("card_id", "fold")
+        frames.append(oof.oof_ridge(stacked.join(folds, "card_id"), ["m_0", "m_1"], oof.LEVEL2_ALPHA, 3))
+    want = {r.card_id: r.pred for r in blend.repeat_average(frames).collect()}
+    assert set(got) == set(want) == {f"c{i}" for i in range(150)}
+    assert all(got[c] == pytest.approx(want[c], abs=1e-9) for c in want)
+    both = blend.level2(stacked, {"ridge": 0.7, "lgb": 0.3}, repeats=1, k=2, maxIter=2)
+    assert both.where("pred IS NOT NULL AND NOT isnan(pred)").count() == 150
