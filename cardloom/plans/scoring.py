@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions.lookup import clustered
-from cardloom.models import blend, boosting, oof
+from cardloom.models import blend, boosting, oof, ordered
 from cardloom.models.scaling import embed_2d, minmax_scale, model_inputs
 from cardloom.models.selection import KEEP, SELECTION_SEED, select_by_importance
 from cardloom.operators import (
@@ -37,7 +37,7 @@ AMOUNT_RANGES = ((-7, -3), (-1, 100), (-3, 100), (-100, 100))
 STACK_SEEDS = (40, 400, 4000)
 # The first two stacks have a learner more.
 STACK_EXTRA = (True, True, False)
-# Boosted on histograms for all folds at once; the other slot keeps the library's trees.
+# Boosted on histograms for all folds at once; the other slot is ordered boosting.
 HISTOGRAM_SLOTS = ("xgb", "lgb", "lgb2")
 EXTRA = dict(seed=4950, numTrees=300, subsamplingRate=1.0)
 
@@ -199,14 +199,17 @@ def stack(
         inputs = minmax_scale(model_inputs(selected, features), features).join(folds, "card_id")
         data = oof.vectors(inputs, features)
         boosted = {m: p | dict(s.boosting) for m, p in oof.BOOSTED.items()}
-        learners = {m: oof.gbt(**p) for m, p in boosted.items() if m not in HISTOGRAM_SLOTS}
+        learners = {}
         by_histogram = {m: boosting.slot(boosted[m]) for m in HISTOGRAM_SLOTS}
         learners["random"] = oof.forest(**s.forest)
         if extra:
             learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
         learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
         plain = oof.stack_level1(data, learners, s.folds)
-        return plain.join(boosting.slots(data, oof.VECTOR, s.folds, by_histogram), "card_id")
+        # All inputs of this slot are numbers by now, so it has no category columns.
+        cat = ordered.oof_ordered(data, oof.VECTOR, (), s.folds, ordered.slot(boosted["cat"]), "cat")
+        both = plain.join(boosting.slots(data, oof.VECTOR, s.folds, by_histogram), "card_id")
+        return both.join(cat.select("card_id", "cat"), "card_id")
 
     return _stage(
         make,

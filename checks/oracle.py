@@ -1176,6 +1176,33 @@ _F40 = fold_ctes(40, 6)
 _STATED = f"card_id, {dbl('target', 'target')}, {bigs(['fold'])}, 1::BIGINT AS predicted"
 ORACLES["oof_gbt_stated"] = over(f"SELECT {_STATED} FROM allfolds", *_F40)
 ORACLES["oof_histogram_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS no_worse FROM allfolds", *_F40)
+ORACLES["oof_ordered_stated"] = ORACLES["oof_histogram_stated"]
+# The permutation is the order of a hash, cut where its value doubles. A card is told sums over
+# levels below its own, never its own; a held-out or test card those over all levels.
+_LEVEL = " + ".join(
+    f"(substr(md5(card_id || ':0'), 1, 8) >= '{1 << (24 + j):08x}')::INT" for j in range(1, 8)
+)
+ORACLES["ordered_statistics"] = over(
+    f"""SELECT a.card_id, {bigs(['level'])}, a.feature, {big('a.m', 'model')},
+      {dbl('(coalesce(t.s, 0) + p.prior) / (coalesce(t.n, 0) + 1)', 'statistic')}
+    FROM asked a JOIN priors p ON p.m = a.m AND p.top = a.top
+    LEFT JOIN told t ON t.m = a.m AND t.top = a.top AND t.feature = a.feature AND t.value IS NOT DISTINCT FROM a.value""",
+    *_F40,
+    f"lv AS (SELECT f.*, {_LEVEL} AS level FROM allfolds f)",
+    """asks AS (SELECT lv.card_id, lv.target, lv.fold, lv.level, u.feature, u.value FROM lv JOIN (
+      SELECT card_id, 'feature_1' AS feature, CAST(feature_1 AS VARCHAR) AS value FROM cards UNION ALL
+      SELECT card_id, 'feature_2', CAST(feature_2 AS VARCHAR) FROM cards UNION ALL
+      SELECT card_id, 'feature_3', CAST(feature_3 AS VARCHAR) FROM cards) u USING (card_id))""",
+    """asked AS (SELECT asks.*, m, CASE WHEN target IS NULL OR fold = m THEN 8 ELSE level END AS top
+      FROM asks CROSS JOIN range(6) r(m))""",
+    """sums AS (SELECT feature, value, level, fold, sum(target) AS s, count(target) AS n FROM asks
+      WHERE target IS NOT NULL GROUP BY ALL)""",
+    """told AS (SELECT feature, value, m, top, sum(s) AS s, sum(n) AS n FROM sums, range(6) r(m), range(9) t(top)
+      WHERE level < top AND fold <> m GROUP BY ALL)""",
+    """priors AS (SELECT m, top, coalesce(avg(target) FILTER (WHERE fold <> m AND
+        CASE WHEN top = 0 THEN level > 0 ELSE level < top END), 0) AS prior
+      FROM lv, range(6) r(m), range(9) t(top) WHERE target IS NOT NULL GROUP BY ALL)""",
+)
 ORACLES["oof_forest_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS inside FROM allfolds", *_F40)
 ORACLES["score_single_stated"] = over(
     "SELECT card_id, 1::BIGINT AS scored FROM cards WHERE target IS NULL"

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cardloom.functions import lookup as lk
 from cardloom.models import blend as bl
-from cardloom.models import boosting, gram, oof, scaling, selection
+from cardloom.models import boosting, gram, oof, ordered, scaling, selection
 from cardloom.operators import (
     amounts,
     assemble,
@@ -939,12 +939,9 @@ def _(s):
     return boosting.oof_histogram(oof.vectors(s.folded(40), INPUTS), oof.VECTOR, 6, BOOSTING)
 
 
-@query("oof_histogram_stated")
-def _(s):
+def _no_worse(out: DataFrame) -> DataFrame:
     """Every card has a prediction, and a model that may stop at once is no worse, over the
     folds it never saw, than the mean it starts from."""
-    data = oof.vectors(s.folded(40), INPUTS)
-    out = boosting.oof_histogram(data, oof.VECTOR, 6, BOOSTING)
     known = out.where("target IS NOT NULL")
     n, total = known.agg(F.count("target"), F.sum("target")).first()
     means = known.groupBy("fold").agg(
@@ -955,6 +952,43 @@ def _(s):
     return _stated_predictions(out).withColumn("no_worse", F.lit(int(better)))
 
 
+@query("oof_histogram_stated")
+def _(s):
+    data = oof.vectors(s.folded(40), INPUTS)
+    return _no_worse(boosting.oof_histogram(data, oof.VECTOR, 6, BOOSTING))
+
+
+CATEGORIES = ["feature_1", "feature_2", "feature_3"]
+ORDERED = ordered.Params(trees=8, depth=4, rate=0.2, patience=4)
+
+
+@query("ordered_statistics")
+def _(s):
+    told = ordered.ordered_statistics(s.folded(40).select("card_id", "target", "fold", *CATEGORIES), CATEGORIES, 6)
+    each = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}_ts").alias("told")) for c in CATEGORIES])
+    return (
+        told.select("card_id", F.col("__level").alias("level"), F.explode(each).alias("e"))
+        .select("card_id", "level", "e.feature", F.posexplode("e.told").alias("model", "statistic"))
+    )
+
+
+def _ordered(s) -> DataFrame:
+    rows = s.folded(40)
+    data = oof.vectors(rows, [c for c in INPUTS if c not in CATEGORIES])
+    with_kinds = data.join(rows.select("card_id", *CATEGORIES), "card_id")
+    return ordered.oof_ordered(with_kinds, oof.VECTOR, CATEGORIES, 6, ORDERED)
+
+
+@query("oof_ordered")
+def _(s):
+    return _ordered(s)
+
+
+@query("oof_ordered_stated")
+def _(s):
+    return _no_worse(_ordered(s))
+
+
 @query("oof_forest")
 def _(s):
     return oof.oof_forest(s.folded(40), INPUTS, numTrees=10, maxDepth=4)
