@@ -38,39 +38,48 @@ WITH urls AS (
   SELECT host, suffix, domain, sum(bad)::DOUBLE AS bad, count(*)::DOUBLE AS pages
   FROM (SELECT u.host, (l.quality = 0 OR l.toxic = 1)::INT AS bad FROM urls u JOIN labels l USING (doc_id))
   JOIN named USING (host) WHERE bad IS NOT NULL GROUP BY ALL
+), total AS (
+  SELECT (sum(bad) + 0.5::DOUBLE) / (sum(pages) + 1) AS base, sum(pages) AS all_pages FROM counted
 ), su AS (
-  SELECT suffix, sum(bad) AS bad, sum(pages) AS pages,
-         (sum(sum(bad)) OVER () + 0.5) / (sum(sum(pages)) OVER () + 1) AS prior FROM counted GROUP BY suffix
+  SELECT suffix, sum(bad) AS bad, sum(pages) AS pages, any_value(base) AS prior,
+         any_value(base * (1 - base) / (all_pages + 1)) AS unsure FROM counted, total GROUP BY suffix
 ), ss AS (
   SELECT greatest(2.0::DOUBLE, least(1000.0::DOUBLE, CASE WHEN m > 0 AND s > e THEN m / (s - e) - 1 ELSE 1000.0::DOUBLE END)) AS k
   FROM (SELECT sum(pages * power(bad / pages - prior, 2)) AS s, sum(prior * (1 - prior)) AS e,
                sum(prior * (1 - prior) * (pages - 1)) AS m FROM su)
 ), sp AS (
-  SELECT suffix, (bad + k * prior) / (pages + k) AS mean, pages + k AS weight FROM su, ss
+  SELECT suffix, mean, mean * (1 - mean) / (pages + k + 1) + power(k / (pages + k), 2) * unsure AS var
+  FROM (SELECT *, (bad + k * prior) / (pages + k) AS mean FROM su, ss)
 ), du AS (
-  SELECT domain, suffix, sum(bad) AS bad, sum(pages) AS pages, any_value(mean) AS prior
+  SELECT domain, suffix, sum(bad) AS bad, sum(pages) AS pages, any_value(mean) AS prior, any_value(var) AS unsure
   FROM counted JOIN sp USING (suffix) GROUP BY domain, suffix
 ), ds AS (
   SELECT greatest(2.0::DOUBLE, least(1000.0::DOUBLE, CASE WHEN m > 0 AND s > e THEN m / (s - e) - 1 ELSE 1000.0::DOUBLE END)) AS k
   FROM (SELECT sum(pages * power(bad / pages - prior, 2)) AS s, sum(prior * (1 - prior)) AS e,
                sum(prior * (1 - prior) * (pages - 1)) AS m FROM du)
 ), dp AS (
-  SELECT domain, (bad + k * prior) / (pages + k) AS mean, pages + k AS weight FROM du, ds
+  SELECT domain, mean, mean * (1 - mean) / (pages + k + 1) + power(k / (pages + k), 2) * unsure AS var
+  FROM (SELECT *, (bad + k * prior) / (pages + k) AS mean FROM du, ds)
 ), hu AS (
-  SELECT host, bad, pages, mean AS prior FROM counted JOIN dp USING (domain)
+  SELECT host, bad, pages, mean AS prior, var AS unsure FROM counted JOIN dp USING (domain)
 ), hs AS (
   SELECT greatest(2.0::DOUBLE, least(1000.0::DOUBLE, CASE WHEN m > 0 AND s > e THEN m / (s - e) - 1 ELSE 1000.0::DOUBLE END)) AS k
   FROM (SELECT sum(pages * power(bad / pages - prior, 2)) AS s, sum(prior * (1 - prior)) AS e,
                sum(prior * (1 - prior) * (pages - 1)) AS m FROM hu)
 ), hp AS (
-  SELECT host, (bad + k * prior) / (pages + k) AS mean, pages + k AS weight FROM hu, hs
+  SELECT host, mean, mean * (1 - mean) / (pages + k + 1) + power(k / (pages + k), 2) * unsure AS var
+  FROM (SELECT *, (bad + k * prior) / (pages + k) AS mean FROM hu, hs)
+), means AS (
+  SELECT host, coalesce(hp.mean, dp.mean, sp.mean, base) AS mean, hp.var AS hv, dp.var AS dv, sp.var AS sv, base, all_pages,
+         1 / (hs.k + 1) AS h, 1 / (ds.k + 1) AS d, 1 / (ss.k + 1) AS s
+  FROM named LEFT JOIN hp USING (host) LEFT JOIN dp USING (domain) LEFT JOIN sp USING (suffix), total, hs, ds, ss
 ), known AS (
-  SELECT host, coalesce(hp.mean, dp.mean, sp.mean, 0.5) AS mean,
-         coalesce(hp.weight, least(coalesce(dp.weight, sp.weight), 2.0), 1.0) AS weight
-  FROM named LEFT JOIN hp USING (host) LEFT JOIN dp USING (domain) LEFT JOIN sp USING (suffix)
+  SELECT host, base, greatest(0, mean - 1.645 * sqrt(coalesce(hv, dv + mean * (1 - mean) * h, sv + mean * (1 - mean) * (h + d),
+           mean * (1 - mean) * (h + d + s) + base * (1 - base) / (all_pages + 1)))) AS lower
+  FROM means
 )
 SELECT u.page_id, u.host, u.path, f.rule,
-       coalesce(f.action, CASE WHEN greatest(0, mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1))) > 0.2
+       coalesce(f.action, CASE WHEN lower > 0.2 AND lower * (1 - base) > 2 * base * (1 - lower)
                                THEN 'block' ELSE 'allow' END) AS verdict
 FROM urls u JOIN known USING (host) LEFT JOIN fits f USING (page_id)
 """

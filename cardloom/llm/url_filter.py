@@ -5,8 +5,11 @@ are counted by host, registered domain and suffix. At each level the shares of t
 units under one parent are taken as beta-binomial: a unit's posterior is its own
 counts added to a beta prior whose mean is the parent's posterior mean and
 whose strength is estimated by the method of moments over all units of the level.
-A host is blocked when even the lower bound of its share of bad pages is too high,
-so a host with little evidence is judged by its domain, and that by its suffix.
+A host is blocked when even the lower bound of its share stands clearly above the share of
+all pages together: a bad host is one that is worse than others, so a corpus with many bad
+pages spread evenly blocks nobody. The bound has two parts, what the host's own pages leave
+open and how well its prior's mean is known; a prior of many pages does not count as pages
+seen. A host with little evidence is judged by its domain, and that by its suffix.
 """
 
 from __future__ import annotations
@@ -23,6 +26,9 @@ from cardloom.llm.common import ascii_lower, staged
 LONG_SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
 # The bound lies so many standard deviations below the posterior mean.
 BOUND = 1.645
+# To be blocked a host's odds of a bad page are at least this multiple of those of all pages,
+LIFT = 2.0
+# and its share is above this one.
 MAX_BAD = 0.2
 # Limits of a prior's strength, in pages.
 WEAKEST, STRONGEST = 2.0, 1000.0
@@ -92,23 +98,22 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
     return F.when(F.size(fits) > 0, F.struct(best["rule"].alias("rule"), best["verdict"].alias("verdict")))
 
 
-def _level(units: DataFrame, parents: DataFrame | None, key: str, parent: str | None) -> DataFrame:
-    """Posterior mean ``mean`` and ``weight`` (pages and prior) of each unit.
+def _level(
+    units: DataFrame, parents: DataFrame | None, key: str, parent: str | None, base: float, pages: float
+) -> tuple[DataFrame, float]:
+    """Posterior ``mean`` and its variance ``var`` of each unit, and the strength of the prior.
 
-    The strength s of the prior follows from how much the shares vary around
-    their parents' means m: for n pages Var(x / n) = m (1 - m) (1 + (n - 1) r) / n
-    with r = 1 / (s + 1).
+    The strength s follows from how much the shares vary around their parents' means m: for
+    n pages Var(x / n) = m (1 - m) (1 + (n - 1) r) / n with r = 1 / (s + 1). The variance
+    is that of the unit's beta posterior and, as far as the prior weighs, that of m.
     """
     if parents is None:
-        total = units.agg(F.sum("bad").alias("bad"), F.sum("pages").alias("pages")).first()
-        if not total["pages"]:
-            return units.select(key, F.lit(1.0).alias("weight"), F.lit(0.5).alias("mean"))
-        units = units.withColumn("prior", F.lit((total["bad"] + 0.5) / (total["pages"] + 1)))
+        units = units.withColumn("prior", F.lit(base)).withColumn("unsure", F.lit(base * (1 - base) / (pages + 1)))
     else:
-        units = units.join(
-            parents.select(F.col(parents.columns[0]).alias(parent), F.col("mean").alias("prior")),
-            parent,
+        named = parents.select(
+            F.col(parents.columns[0]).alias(parent), F.col("mean").alias("prior"), F.col("var").alias("unsure")
         )
+        units = units.join(named, parent)
     spread = units.agg(
         F.expr("sum(pages * power(bad / pages - prior, 2))").alias("seen"),
         F.expr("sum(prior * (1 - prior))").alias("even"),
@@ -117,24 +122,24 @@ def _level(units: DataFrame, parents: DataFrame | None, key: str, parent: str |
     strength = STRONGEST
     if spread["more"] and spread["seen"] > spread["even"]:
         strength = spread["more"] / (spread["seen"] - spread["even"]) - 1
-    strength = F.lit(float(max(WEAKEST, min(STRONGEST, strength))))
-    return units.select(
-        key,
-        (F.col("pages") + strength).alias("weight"),
-        ((F.col("bad") + strength * F.col("prior")) / (F.col("pages") + strength)).alias("mean"),
-    )
+    strength = float(max(WEAKEST, min(STRONGEST, strength)))
+    s = F.lit(strength)
+    out = units.withColumn("mean", (F.col("bad") + s * F.col("prior")) / (F.col("pages") + s))
+    own = F.col("mean") * (1 - F.col("mean")) / (F.col("pages") + s + 1)
+    told = s / (F.col("pages") + s)
+    return out.select(key, "mean", (own + told * told * F.col("unsure")).alias("var")), strength
 
 
 def reputation(
     labelled: DataFrame, hosts: DataFrame, long: Sequence[str] = LONG_SUFFIXES
 ) -> DataFrame:
-    """``host, mean, weight, lower`` for every row of ``hosts(host)``.
+    """``host, mean, var, lower, base`` for every row of ``hosts(host)``.
 
-    ``labelled(host, bad)`` has one row per labelled page. A host without
-    labelled pages has its parents' mean and their weight limited to the prior's.
-    Rows with a null ``bad`` or host are not counted; without any label
-    nothing is known and every share is one half with weight 1. ``long`` lists the
-    suffixes of more than one label.
+    ``labelled(host, bad)`` has one row per labelled page. A host without labelled pages has
+    its nearest parent's mean, and the variance of a new unit of every level in between.
+    ``base`` is the share of bad pages over all. Rows with a null ``bad`` or host are not
+    counted; without any label nothing is known: mean one half, lower bound 0, ``base`` null.
+    ``long`` lists the suffixes of more than one label.
     """
     counted = staged(
         labelled.dropna()
@@ -144,16 +149,24 @@ def reputation(
         .withColumn("suffix", suffix_of(F.col("host"), long)),
         "host_counts",
     )
+    total = counted.agg(F.sum("bad").alias("bad"), F.sum("pages").alias("pages")).first()
+    if not total["pages"]:
+        half, none = F.lit(0.5), F.lit(None).cast("double")
+        return hosts.select("host", half.alias("mean"), none.alias("var"), F.lit(0.0).alias("lower"), none.alias("base"))
+    base, pages = (total["bad"] + 0.5) / (total["pages"] + 1), total["pages"]
     sums = lambda *keys: counted.groupBy(*keys).agg(
         F.sum("bad").alias("bad"), F.sum("pages").alias("pages")
     )
-    suffixes = staged(_level(sums("suffix"), None, "suffix", None), "suffixes")
-    domains = staged(_level(sums("domain", "suffix"), suffixes, "domain", "suffix"), "domains")
-    known = staged(_level(counted, domains, "host", "domain"), "hosts")
+    suffixes, s1 = _level(sums("suffix"), None, "suffix", None, base, pages)
+    suffixes = staged(suffixes, "suffixes")
+    domains, s2 = _level(sums("domain", "suffix"), suffixes, "domain", "suffix", base, pages)
+    domains = staged(domains, "domains")
+    known, s3 = _level(counted, domains, "host", "domain", base, pages)
+    known = staged(known, "hosts")
     named = lambda df, name: df.select(
         F.col(df.columns[0]).alias(name),
         F.col("mean").alias(f"{name}_mean"),
-        F.col("weight").alias(f"{name}_weight"),
+        F.col("var").alias(f"{name}_var"),
     )
     out = (
         hosts.withColumn("domain", domain_of(F.col("host"), long))
@@ -162,20 +175,18 @@ def reputation(
         .join(named(domains, "domain"), "domain", "left")
         .join(named(suffixes, "suffix"), "suffix", "left")
     )
-    weight = F.coalesce(
-        F.col("weight"),
-        F.least(F.coalesce("domain_weight", "suffix_weight"), F.lit(WEAKEST)),
-        F.lit(1.0),
-    )
-    mean = F.coalesce("mean", "domain_mean", "suffix_mean", F.lit(0.5))
-    return out.select(
-        "host",
-        mean.alias("mean"),
-        weight.alias("weight"),
-        F.greatest(
-            F.lit(0.0), mean - F.lit(BOUND) * F.sqrt(mean * (1 - mean) / (weight + 1))
-        ).alias("lower"),
+    mean = F.coalesce("mean", "domain_mean", "suffix_mean", F.lit(base))
+    # A new unit's share varies around its parent's like that of the units seen.
+    fresh = lambda *strengths: mean * (1 - mean) * sum(1 / (s + 1) for s in strengths)
+    var = F.coalesce(
+        "var",
+        F.col("domain_var") + fresh(s3),
+        F.col("suffix_var") + fresh(s3, s2),
+        fresh(s3, s2, s1) + base * (1 - base) / (pages + 1),
     )
+    out = out.select("host", mean.alias("mean"), var.alias("var"))
+    lower = F.greatest(F.lit(0.0), F.col("mean") - F.lit(BOUND) * F.sqrt("var"))
+    return out.withColumn("lower", lower).withColumn("base", F.lit(base))
 
 
 def judge(
@@ -186,11 +197,14 @@ def judge(
     id_col: str = "page_id",
     url_col: str = "url",
     long: Sequence[str] = LONG_SUFFIXES,
+    lift: float = LIFT,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, lower`` for every row of ``pages``.
 
     The verdict is the rule's, else ``block`` where the lower bound of the host's
-    share of bad pages is above ``max_bad``. ``labelled(host, bad)`` and ``long`` as in
+    share of bad pages is above ``max_bad`` and its odds above ``lift`` times the odds over
+    all pages. Without labels, and where hosts differ no more than chance would have
+    them, nothing but the rules blocks. ``labelled(host, bad)`` and ``long`` as in
     ``reputation``. A url that is null or has no ``://`` has an empty host and
     path and is judged like a host of that name. Null ids and rows that
     repeat are kept, other columns not read. A host with very many pages meets
@@ -210,7 +224,8 @@ def judge(
             "path",
             F.col("found.rule").alias("rule"),
             F.expr(
-                f"coalesce(found.verdict, case when lower > {max_bad}D then 'block' else 'allow' end)"
+                f"coalesce(found.verdict, case when lower > {max_bad}D"
+                f" and lower * (1 - base) > {lift}D * base * (1 - lower) then 'block' else 'allow' end)"
             ).alias("verdict"),
             "lower",
         )

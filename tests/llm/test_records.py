@@ -209,3 +209,34 @@ def test_suffixes_of_the_caller(spark):
     alike, apart = lower(), lower(long=long)
     assert alike[1] == alike[2]
     assert apart[1] > apart[2]
+
+
+def test_a_host_is_blocked_by_its_own_evidence_at_any_size(spark):
+    def verdicts(times, share):
+        """20 hosts with ``share`` of bad pages and one with 60 %, ``times`` 20 pages each."""
+        seen = [(f"h{i}.com", int(j % 20 < 20 * share)) for i in range(20) for j in range(20 * times)]
+        seen += [("worst.com", int(j % 20 < 12)) for j in range(20 * times)]
+        labelled = spark.createDataFrame(seen, "host string, bad int")
+        urls = [(1, "http://h3.com/"), (2, "http://worst.com/"), (3, "http://unseen.com/"), (4, "http://x.org/")]
+        pages = spark.createDataFrame(urls, "page_id long, url string")
+        found = {r.page_id: (r.verdict, r.lower) for r in url_filter.judge(pages, labelled).collect()}
+        return {k: v for k, (v, _) in found.items()}, {k: low for k, (_, low) in found.items()}
+
+    for times in (10, 100):
+        # The base rate of 0.25 is above the fixed share, at both sizes.
+        by, lower = verdicts(times, 0.25)
+        assert by == {1: "allow", 2: "block", 3: "allow", 4: "allow"}
+        assert lower[2] > lower[1] > lower[3] >= lower[4]
+        # Where all hosts are alike, however bad, none is.
+        assert set(verdicts(times, 0.6)[0].values()) == {"allow"}
+
+
+def test_reputation_counts_pages_not_the_prior(spark):
+    rows = [(f"h{i}.com", j % 4 == 0) for i in range(30) for j in range(40)]
+    labelled = spark.createDataFrame([(h, int(b)) for h, b in rows], "host string, bad int")
+    hosts = spark.createDataFrame([("h1.com",), ("new.com",), ("new.org",)], "host string")
+    got = {r.host: r for r in url_filter.reputation(labelled, hosts).collect()}
+    assert abs(got["h1.com"].mean - 0.25) < 0.01 and abs(got["h1.com"].base - 0.25) < 0.01
+    assert got["h1.com"].var < got["new.com"].var < got["new.org"].var
+    nothing = url_filter.reputation(labelled.limit(0), hosts).collect()
+    assert {(r.mean, r.lower, r.base) for r in nothing} == {(0.5, 0.0, None)}
