@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions.lookup import clustered
-from cardloom.models import blend, boosting, oof, ordered
+from cardloom.models import blend, boosting, extra_trees, oof, ordered
 from cardloom.models.scaling import embed_2d, minmax_scale, model_inputs
 from cardloom.models.selection import KEEP, SELECTION_SEED, select_by_importance
 from cardloom.operators import (
@@ -39,7 +39,7 @@ STACK_SEEDS = (40, 400, 4000)
 STACK_EXTRA = (True, True, False)
 # Boosted on histograms for all folds at once; the other slot is ordered boosting.
 HISTOGRAM_SLOTS = ("xgb", "lgb", "lgb2")
-EXTRA = dict(seed=4950, numTrees=300, subsamplingRate=1.0)
+EXTRA = dict(seed=4950, numTrees=300)
 
 
 @dataclass(frozen=True)
@@ -190,8 +190,8 @@ def select(features: DataFrame, s: Settings, name: str) -> DataFrame:
 def stack(
     selected: DataFrame, seed: int, s: Settings, name: str, extra: bool = False
 ) -> DataFrame:
-    """Level-1 predictions of one selected feature set. ``extra`` adds a second forest,
-    on all rows, in the place of extra trees."""
+    """Level-1 predictions of one selected feature set. ``extra`` adds trees of random
+    thresholds, grown on all rows."""
 
     def make(selected: DataFrame) -> DataFrame:
         features = feature_names(selected)
@@ -202,14 +202,16 @@ def stack(
         learners = {}
         by_histogram = {m: boosting.slot(boosted[m]) for m in HISTOGRAM_SLOTS}
         learners["random"] = oof.forest(**s.forest)
-        if extra:
-            learners["extra"] = oof.forest(**(EXTRA | dict(s.forest)))
         learners["ridgek"] = oof.ridge(data, oof.LEVEL1_ALPHA)
         plain = oof.stack_level1(data, learners, s.folds)
         # All inputs of this slot are numbers by now, so it has no category columns.
         cat = ordered.oof_ordered(data, oof.VECTOR, (), s.folds, ordered.slot(boosted["cat"]), "cat")
         both = plain.join(boosting.slots(data, oof.VECTOR, s.folds, by_histogram), "card_id")
-        return both.join(cat.select("card_id", "cat"), "card_id")
+        both = both.join(cat.select("card_id", "cat"), "card_id")
+        if not extra:
+            return both
+        found = extra_trees.oof_extra(data, oof.VECTOR, s.folds, extra_trees.slot(EXTRA | dict(s.forest)), "extra")
+        return both.join(found.select("card_id", "extra"), "card_id")
 
     return _stage(
         make,

@@ -1204,6 +1204,7 @@ ORACLES["ordered_statistics"] = over(
       FROM lv, range(6) r(m), range(9) t(top) WHERE target IS NOT NULL GROUP BY ALL)""",
 )
 ORACLES["oof_forest_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS inside FROM allfolds", *_F40)
+ORACLES["oof_extra_trees_stated"] = ORACLES["oof_forest_stated"]
 ORACLES["score_single_stated"] = over(
     "SELECT card_id, 1::BIGINT AS scored FROM cards WHERE target IS NULL"
 )

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cardloom.functions import lookup as lk
 from cardloom.models import blend as bl
-from cardloom.models import boosting, gram, oof, ordered, scaling, selection
+from cardloom.models import boosting, extra_trees, gram, oof, ordered, scaling, selection
 from cardloom.operators import (
     amounts,
     assemble,
@@ -989,6 +989,23 @@ def _(s):
     return _no_worse(_ordered(s))
 
 
+EXTRA_TREES = extra_trees.Params(trees=40, depth=5, feature_share=0.6)
+
+
+@query("oof_extra_trees")
+def _(s):
+    return extra_trees.oof_extra(oof.vectors(s.folded(40), INPUTS), oof.VECTOR, 6, EXTRA_TREES)
+
+
+@query("oof_extra_trees_stated")
+def _(s):
+    """A tree averages targets of other folds, so its prediction stays between them."""
+    out = extra_trees.oof_extra(oof.vectors(s.folded(40), INPUTS), oof.VECTOR, 6, EXTRA_TREES)
+    low, high = s.train.agg(F.min("target"), F.max("target")).first()
+    inside = F.col("pred").between(low - 1e-9, high + 1e-9).cast("int")
+    return _stated_predictions(out).join(out.select("card_id", inside.alias("inside")), "card_id")
+
+
 @query("oof_forest")
 def _(s):
     return oof.oof_forest(s.folded(40), INPUTS, numTrees=10, maxDepth=4)
