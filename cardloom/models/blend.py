@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.models import network
 from cardloom.models.gram import fold_grams
 from cardloom.models.oof import BOOSTED, LEVEL2_ALPHA, VECTOR, assembled, gbt, ridge, stack_level1, vectors
 from cardloom.models.scaling import minmax_scale, model_inputs
@@ -72,10 +73,11 @@ def level2(
     weights: Mapping[str, float],
     repeats: int = REPEATS,
     k: int = MODEL_FOLDS,
+    net: network.Params = network.Params(widths=network.LEVEL2_WIDTHS, patience=18),
     **boosting,
 ) -> DataFrame:
-    """Ridge and boosted trees over the stacked predictions, blended, averaged
-    over reshuffled folds. ``weights`` names 'ridge' and 'lgb'."""
+    """Ridge, a network and boosted trees over the stacked predictions, blended, averaged
+    over reshuffled folds. ``weights`` names those of 'ridge', 'nn' and 'lgb' that take part."""
     features = model_columns(stacked)
     named = [f"fold_{r}" for r in range(repeats)]
     for r, name in enumerate(named):
@@ -90,8 +92,11 @@ def level2(
         learners = {"lgb": gbt(**(BOOSTED["lgb"] | dict(maxDepth=3) | boosting))}
         if grams is not None:
             learners["ridge"] = ridge(data, LEVEL2_ALPHA, grams, name)
-        wanted = {m: learners[m] for m in weights}
-        frames.append(blend(stack_level1(rows, wanted, k), weights))
+        frame = stack_level1(rows, {m: learners[m] for m in weights if m != "nn"}, k)
+        if "nn" in weights:
+            found = network.oof_network(rows, VECTOR, k, net)
+            frame = frame.join(found.select("card_id", "nn"), "card_id")
+        frames.append(blend(frame, weights))
     return repeat_average(frames)
 
 

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardloom.functions.lookup import clustered
-from cardloom.models import blend, boosting, extra_trees, oof, ordered
+from cardloom.models import blend, boosting, extra_trees, network, oof, ordered
 from cardloom.models.scaling import embed_2d, minmax_scale, model_inputs
 from cardloom.models.selection import KEEP, SELECTION_SEED, select_by_importance
 from cardloom.operators import (
@@ -58,6 +58,8 @@ class Settings:
     # Overrides for every boosted model and forest, e.g. fewer trees.
     boosting: Mapping[str, object] = field(default_factory=dict)
     forest: Mapping[str, object] = field(default_factory=dict)
+    # The same for both networks.
+    network: Mapping[str, object] = field(default_factory=dict)
 
 
 def _stage(
@@ -207,7 +209,10 @@ def stack(
         # All inputs of this slot are numbers by now, so it has no category columns.
         cat = ordered.oof_ordered(data, oof.VECTOR, (), s.folds, ordered.slot(boosted["cat"]), "cat")
         both = plain.join(boosting.slots(data, oof.VECTOR, s.folds, by_histogram), "card_id")
-        both = both.join(cat.select("card_id", "cat"), "card_id")
+        net = replace(network.Params(widths=network.LEVEL1_WIDTHS), **s.network)
+        nn = network.oof_network(data, oof.VECTOR, s.folds, net)
+        for found in (cat.select("card_id", "cat"), nn.select("card_id", "nn")):
+            both = both.join(found, "card_id")
         if not extra:
             return both
         found = extra_trees.oof_extra(data, oof.VECTOR, s.folds, extra_trees.slot(EXTRA | dict(s.forest)), "extra")
@@ -223,24 +228,25 @@ def stack(
         folds=s.folds,
         boosting=dict(s.boosting),
         forest=dict(s.forest),
+        network=dict(s.network),
     )
 
 
 @_job
 def blend_stacks(stacks: Sequence[DataFrame], s: Settings) -> DataFrame:
-    """card_id, target, pred over all cards. The share of the network the
-    original blend gives is divided between the two learners that remain."""
-    total = blend.WEIGHTS["ridge"] + blend.WEIGHTS["lgb"]
-    weights = {m: blend.WEIGHTS[m] / total for m in ("ridge", "lgb")}
+    """card_id, target, pred over all cards, from all three learners of the second level."""
+    weights = blend.WEIGHTS
+    net = replace(network.Params(widths=network.LEVEL2_WIDTHS, patience=18), **s.network)
     stacked = _stage(blend.stack_features, s, "stacked", list(stacks))
     return _stage(
-        lambda table: blend.level2(table, weights, k=s.folds, **dict(s.boosting)),
+        lambda table: blend.level2(table, weights, k=s.folds, net=net, **dict(s.boosting)),
         s,
         "blended",
         stacked,
-        weights=weights,
+        weights=dict(weights),
         folds=s.folds,
         boosting=dict(s.boosting),
+        network=dict(s.network),
     )
 
 

@@ -1205,6 +1205,7 @@ ORACLES["ordered_statistics"] = over(
 )
 ORACLES["oof_forest_stated"] = over(f"SELECT {_STATED}, 1::BIGINT AS inside FROM allfolds", *_F40)
 ORACLES["oof_extra_trees_stated"] = ORACLES["oof_forest_stated"]
+ORACLES["oof_network_stated"] = ORACLES["oof_gbt_stated"]
 ORACLES["score_single_stated"] = over(
     "SELECT card_id, 1::BIGINT AS scored FROM cards WHERE target IS NULL"
 )

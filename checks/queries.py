@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from cardloom.functions import lookup as lk
 from cardloom.models import blend as bl
-from cardloom.models import boosting, extra_trees, gram, oof, ordered, scaling, selection
+from cardloom.models import boosting, extra_trees, gram, network, oof, ordered, scaling, selection
 from cardloom.operators import (
     amounts,
     assemble,
@@ -1006,6 +1006,20 @@ def _(s):
     return _stated_predictions(out).join(out.select("card_id", inside.alias("inside")), "card_id")
 
 
+NETWORK = network.Params(widths=(16, 8), epochs=6, slices=2, rate=0.02)
+
+
+@query("oof_network")
+def _(s):
+    return network.oof_network(oof.vectors(s.folded(40), INPUTS), oof.VECTOR, 6, NETWORK)
+
+
+@query("oof_network_stated")
+def _(s):
+    data = oof.vectors(s.folded(40), INPUTS)
+    return _stated_predictions(network.oof_network(data, oof.VECTOR, 6, NETWORK, "pred"))
+
+
 @query("oof_forest")
 def _(s):
     return oof.oof_forest(s.folded(40), INPUTS, numTrees=10, maxDepth=4)

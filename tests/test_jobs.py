@@ -35,6 +35,7 @@ def settings(tmp_path):
         folds=3,
         boosting=dict(maxIter=4, maxDepth=3),
         forest=dict(numTrees=5, maxDepth=3),
+        network=dict(widths=(4,), epochs=2, slices=1),
     )
 
 
@@ -66,12 +67,25 @@ def test_fast_path(spark, features, settings):
 def test_stacks_have_their_learners(features, settings):
     folds = [scoring.stack(features, 40, settings, f"s{e}", bool(e)) for e in (0, 1)]
     plain, more = (set(f.columns) - {"card_id", "target", "fold"} for f in folds)
-    assert more - plain == {"extra"} and len(more) == 7
+    assert more - plain == {"extra"} and len(more) == 8
     for f in folds:
         assert f.count() == 240
         assert f.select(*[F.count(c) for c in more & set(f.columns)]).first()[0] == 240
 
 
+def test_blend_takes_all_three_learners(features, settings):
+    stacks = [
+        staging.staged(features.select("card_id", "target", *[(F.col(c) / n).alias(m) for m, c in (("m1", "x37"), ("m2", "x11"))]), "stack")
+        for n in (50, 20)
+    ]
+    first = {r.card_id: r.pred for r in scoring.blend_stacks(stacks, settings).collect()}
+    assert len(first) == 240 and all(abs(v) < 100 for v in first.values())
+    # The network has most of the weight, so another one, which makes the stage anew, gives another blend.
+    other = replace(settings, network=dict(widths=(6,), epochs=4, slices=1, rate=0.05))
+    again = {r.card_id: r.pred for r in scoring.blend_stacks(stacks, other).collect()}
+    assert sum(abs(again[c] - first[c]) > 1e-6 for c in first) > 200
+
+
 def stamps(out):
     return {p.name: p.stat().st_mtime for p in Path(out).iterdir() if p.is_dir()}
 

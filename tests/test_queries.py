@@ -18,7 +18,7 @@ fill_defaults recode_category3 restore_amount parse_dates calendar_parts elapsed
 one_hot price_ratio holiday_proximity amount_interactions quarter_window_flags replace_infinite
 lookup_encode_hot_split stack_features hist_card_profile hist_amount_profile category_amount_stats
 last_observation_date transaction_prior lag_pivot monthly_change shuffle_in_class kfold_contiguous
-checkpoint_resumed read_mixed_headers gram_ridge cut_profiles ordered_statistics oof_ordered_stated oof_extra_trees_stated
+checkpoint_resumed read_mixed_headers gram_ridge cut_profiles ordered_statistics oof_ordered_stated oof_extra_trees_stated oof_network_stated
 top_k_features oof_ridge minmax_scale fold_rmse embed_2d_stated feature_importance_stated
 """.split()
 
@@ -31,6 +31,7 @@ ROWS_ONLY = {
     "oof_histogram",
     "oof_ordered",
     "oof_extra_trees",
+    "oof_network",
     "feature_importance",
     "select_by_importance",
     "score_single",
