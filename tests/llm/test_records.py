@@ -240,3 +240,31 @@ def test_reputation_counts_pages_not_the_prior(spark):
     assert got["h1.com"].var < got["new.com"].var < got["new.org"].var
     nothing = url_filter.reputation(labelled.limit(0), hosts).collect()
     assert {(r.mean, r.lower, r.base) for r in nothing} == {(0.5, 0.0, None)}
+
+
+def test_verdicts_equal_sql_where_hosts_differ(spark, tmp_path):
+    """The sample's hosts are alike; here shares differ by host, domain and suffix."""
+    import duckdb
+
+    from cardloom.llm import queries
+    from cardloom.llm.oracle import ORACLES
+
+    urls, labels, n = [], [], 0
+    for d in range(12):
+        suffix = ("com", "org", "co.uk")[d % 3]
+        for h in range(5):
+            for j in range(3 + 7 * h):
+                labels.append((n, 0 if (j * 7 + h) % 10 < (9 if d == 4 else 6 if h == 2 else 1) else 1, None if j == 2 else 0))
+                urls.append((n, f"http://h{h}.d{d}.{suffix}/xx/{n}"))
+                n += 1
+    urls += [(n + i, u) for i, u in enumerate(["http://new.d4.org/", "http://new.other.org/", "http://a.zz/", None])]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({ORACLES['op1_url_reputation']})").fetchall()
+    got = queries.op1_url_reputation(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    by_host = {r.host: r.verdict for r in got}
+    assert by_host["h4.d4.org"] == "block" and by_host["h4.d0.com"] == "allow"
