@@ -94,3 +94,9 @@ def test_reader_turns_nan_into_null(spark, tmp_path):
     df = df.selectExpr("*", "cast(NULL AS double) AS category_2")
     df.write.parquet(path)
     assert readers.read_transactions(spark, path, "parquet").first()["purchase_amount"] is None
+
+
+def test_folds_are_made_once_for_all_branches(spark, sample):
+    for name in ("union_folds", "fold_rmse"):
+        text = plan(queries()[name](spark, sample))
+        assert "lineitem.parquet" not in text and "Window" not in text, name
