@@ -99,19 +99,30 @@ def ordered_statistics(
         return sum(e["s"] for e in kept) / n if n else 0.0
 
     levels = range(prefixes + 1)
-    priors = F.array(*[F.array(*[F.lit(prior(j, m)) for m in range(k)]) for j in levels])
+    known = sums.schema["entries"].dataType
+    # Every level and model of a category once: the rows only look theirs up.
+    statistic = []
+    for j in levels:
+        per_model = []
+        for m in range(k):
+            found = _below(F.col("entries"), F.lit(j), m)
+            per_model.append((found["s"] + F.lit(center) * F.lit(prior(j, m))) / (found["n"] + F.lit(center)))
+        statistic.append(F.array(*per_model))
+    made = staged(sums.where("ix >= 0").select("ix", "value", F.array(*statistic).alias("statistics")), "ordered-statistics")
+    # A category of no train card.
+    nothing = sums.sparkSession.range(1).select(F.expr("array()").cast(known).alias("entries")).select(F.array(*statistic)).first()[0]
+    unseen = F.array(*[F.array(*map(F.lit, per_model)) for per_model in nothing])
     out = rows
     for i, c in enumerate(columns):
-        mine = sums.where(F.col("ix") == i).select(F.col("value").alias("__value"), F.col("entries").alias("__entries"))
+        mine = made.where(F.col("ix") == i).select(F.col("value").alias("__value"), F.col("statistics").alias("__statistics"))
         joined = out.join(mine, F.col(f"`{c}`").cast("string").eqNullSafe(F.col("__value")), "left").drop("__value")
+        statistics = F.coalesce("__statistics", unseen)
         per_model = []
         for m in range(k):
             outside = F.col("target").isNull() | (F.col("fold") == m)
             level = F.when(outside, F.lit(prefixes)).otherwise(F.col("__level"))
-            found = _below(F.coalesce("__entries", F.expr("array()").cast(sums.schema["entries"].dataType)), level, m)
-            base = F.element_at(F.element_at(priors, level + 1), m + 1)
-            per_model.append((found["s"] + F.lit(center) * base) / (found["n"] + F.lit(center)))
-        out = joined.withColumn(f"{c}_ts", F.array(*per_model)).drop("__entries")
+            per_model.append(F.element_at(F.element_at(statistics, level + 1), m + 1))
+        out = joined.withColumn(f"{c}_ts", F.array(*per_model)).drop("__statistics")
     return out
 
 

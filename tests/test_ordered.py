@@ -142,3 +142,15 @@ def test_nothing_to_learn_from(spark):
     data = oof.assembled(same, ["a"]).join(same.select("card_id", "kind"), "card_id")
     out = od.oof_ordered(data, oof.VECTOR, ["kind"], 2, od.Params(trees=3)).collect()
     assert len(out) == 40 and all(r.pred == pytest.approx(2.5) for r in out)
+
+
+def test_rows_look_statistics_up(spark, cards):
+    told = od.ordered_statistics(cards, ["kind"], 4)
+    # No loop over a category's sums for every row and model.
+    assert "lambda" not in told._jdf.queryExecution().optimizedPlan().toString()
+    # A category of no train card is told the priors.
+    extra = spark.createDataFrame([("new", None, -1, 0.0, 0.0, "unseen")], cards.schema)
+    got = od.ordered_statistics(cards.unionByName(extra), ["kind"], 4).where("card_id = 'new'").first()
+    known = [r for r in cards.collect() if r.target is not None]
+    for m in range(4):
+        assert got.kind_ts[m] == pytest.approx(np.mean([r.target for r in known if r.fold != m]))
