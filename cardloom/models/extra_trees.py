@@ -20,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.models import walk
 from cardloom.sources.staging import staged
 
 # Thresholds of one level that a task holds at once.
@@ -45,18 +46,8 @@ class Tree:
     left: list[int] = field(default_factory=lambda: [0])
     value: list[float] = field(default_factory=lambda: [0.0])
 
-    def nodes(self, x: np.ndarray) -> np.ndarray:
-        feature, cut, left = map(np.array, (self.feature, self.cut, self.left))
-        at = np.zeros(len(x), np.int64)
-        while True:
-            inner = np.flatnonzero(feature[at] >= 0)
-            if not len(inner):
-                return at
-            here = at[inner]
-            at[inner] = left[here] + (x[inner, feature[here]] > cut[here])
-
     def values(self, x: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.nodes(x)]
+        return walk.values(self, x)
 
 
 def candidates(p: Params, tree: int, node: int, width: int) -> np.ndarray:
@@ -84,23 +75,25 @@ class _Open:
     cuts: np.ndarray | None = None
 
 
-def _sorted_values(x, y, fold, tree: Tree, todo: _Open):
-    """Of the rows in open nodes, node by node: feature values, targets, the first row of each
-    node that has any, and which nodes these are."""
-    place = np.full(len(tree.feature), -1)
-    place[todo.nodes] = np.arange(len(todo.nodes))
-    slot = place[tree.nodes(x)]
-    take = np.flatnonzero((slot >= 0) & (fold != tree.fold))
-    take = take[np.argsort(slot[take], kind="stable")]
-    slot = slot[take]
-    starts = np.flatnonzero(np.diff(slot, prepend=-1))
-    return x[take[:, None], todo.features[slot]], y[take], slot, starts
+def _by_fold(batches: Iterator[pa.RecordBatch], trees: Mapping[int, Tree], level: Sequence[_Open]):
+    """Features and targets of the rows outside each fold, with the open nodes of that fold's trees."""
+    opened: dict[int, list[_Open]] = {}
+    for o in level:
+        opened.setdefault(trees[o.tree].fold, []).append(o)
+    for x, y, fold, _ in walk.opened(batches, float):
+        for m, some in opened.items():
+            kept = fold != m
+            if kept.any():
+                yield np.asfortranarray(x[kept]), y[kept], m, some
 
 
-def _rows(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        if len(batch):
-            yield _matrix(batch), batch.column("target").to_numpy(), batch.column("fold").to_numpy()
+def _in_open(x: np.ndarray, tree: Tree, todo: _Open):
+    """Of every open node that has rows: its place, their positions and its features, each with place and values."""
+    place = {n: i for i, n in enumerate(todo.nodes)}
+    for node, at in walk.reached(tree, x):
+        if node in place:
+            i = place[node]
+            yield i, at, ((c, x[:, j][at]) for c, j in enumerate(todo.features[i]))
 
 
 def _table(rows: list, scalars: int, names: Sequence[str]) -> pa.RecordBatch:
@@ -117,13 +110,13 @@ def _extremes(trees: Mapping[int, Tree], level: Sequence[_Open]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = {o.tree: np.full(o.features.shape, np.nan) for o in level}
         high = {o.tree: np.full(o.features.shape, np.nan) for o in level}
-        for x, y, fold in _rows(batches):
-            for o in level:
-                v, _, slot, starts = _sorted_values(x, y, fold, trees[o.tree], o)
-                if len(v):
-                    some = slot[starts]
-                    low[o.tree][some] = np.fmin(low[o.tree][some], np.fmin.reduceat(v, starts))
-                    high[o.tree][some] = np.fmax(high[o.tree][some], np.fmax.reduceat(v, starts))
+        for x, _, _, some in _by_fold(batches, trees, level):
+            for o in some:
+                least, most = low[o.tree], high[o.tree]
+                for i, _, values in _in_open(x, trees[o.tree], o):
+                    for c, v in values:
+                        least[i, c] = np.fmin(least[i, c], np.fmin.reduce(v))
+                        most[i, c] = np.fmax(most[i, c], np.fmax.reduce(v))
         rows = [(o.tree, n, a, b) for o in level for n, a, b in zip(o.nodes, low[o.tree], high[o.tree])]
         yield _table(rows, 2, ("tree", "node", "low", "high"))
 
@@ -148,17 +141,15 @@ def _sums(trees: Mapping[int, Tree], level: Sequence[_Open], base: Sequence[floa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {o.tree: np.zeros((2, len(o.nodes))) for o in level}
         left = {o.tree: np.zeros((2, *o.features.shape)) for o in level}
-        for x, y, fold in _rows(batches):
-            for o in level:
-                v, t, slot, starts = _sorted_values(x, y, fold, trees[o.tree], o)
-                if not len(v):
-                    continue
-                some, gap = slot[starts], t - base[trees[o.tree].fold]
-                goes = ~(v > o.cuts[slot])
-                total[o.tree][0, some] += np.add.reduceat(gap, starts)
-                total[o.tree][1, some] += np.diff(starts, append=len(slot))
-                left[o.tree][0, some] += np.add.reduceat(goes * gap[:, None], starts)
-                left[o.tree][1, some] += np.add.reduceat(goes.astype(float), starts)
+        for x, y, m, some in _by_fold(batches, trees, level):
+            gaps = y - base[m]
+            for o in some:
+                for i, at, values in _in_open(x, trees[o.tree], o):
+                    gap = gaps[at]
+                    total[o.tree][:, i] += gap.sum(), len(at)
+                    for c, v in values:
+                        goes = ~(v > o.cuts[i, c])
+                        left[o.tree][:, i, c] += gap @ goes, np.count_nonzero(goes)
         rows = [
             (o.tree, node, total[o.tree][0, i], total[o.tree][1, i], left[o.tree][0, i], left[o.tree][1, i])
             for o in level
@@ -266,10 +257,11 @@ def train(rows: DataFrame, k: int, p: Params = Params()) -> list[list[Tree]]:
         base.append(sum(r["s"] for r in kept) / max(1, sum(r["n"] for r in kept)))
     # Number t is tree t // k of fold t % k, so the trees do not depend on the blocks.
     size = max(1, CELLS // ((1 << max(0, p.depth - 1)) * max(1, round(p.feature_share * width))))
+    packed = walk.blocks(known, _matrix, "x", "extra-blocks")
     out: list[list[Tree]] = [[] for _ in range(k)]
     for start in range(0, p.trees * k, size):
         block = {t: Tree(t % k) for t in range(start, min(p.trees * k, start + size))}
-        _grow(known, block, base, width, p)
+        _grow(packed, block, base, width, p)
         for t, tree in block.items():
             out[t % k].append(tree)
     return out
@@ -281,13 +273,14 @@ def predict(rows: DataFrame, models: Sequence[Sequence[Tree]], name: str = "pred
     models = [list(m) for m in models]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in walk.joined(batches):
+            x, fold = _matrix(batch), batch.column("fold").to_numpy()
             every = np.zeros((len(batch), len(models)))
-            if len(batch):
-                x = _matrix(batch)
-                for m, trees in enumerate(models):
-                    every[:, m] = sum(t.values(x) for t in trees) / len(trees)
-            fold = batch.column("fold").to_numpy()
+            for m, trees in enumerate(models):
+                # A train card is told by the trees of its own fold alone.
+                asked = np.flatnonzero((fold == m) | (fold < 0))
+                some = np.asfortranarray(x[asked])
+                every[asked, m] = sum(t.values(some) for t in trees) / len(trees)
             own = every[np.arange(len(batch)), np.maximum(fold, 0)]
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, ("card_id", "target", "fold")), pa.array(np.where(fold >= 0, own, every.mean(axis=1)))],
