@@ -24,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardloom.models import walk
 from cardloom.sources.staging import staged
 
 BINS = 64
@@ -57,20 +58,8 @@ class Tree:
     left: list[int] = field(default_factory=lambda: [0])
     value: list[float] = field(default_factory=lambda: [0.0])
 
-    def nodes(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of every row."""
-        feature, cut, left = map(np.array, (self.feature, self.cut, self.left))
-        at = np.zeros(len(bins), np.int64)
-        while True:
-            inner = np.flatnonzero(feature[at] >= 0)
-            if not len(inner):
-                return at
-            here = at[inner]
-            right = bins[inner, feature[here]] > cut[here]
-            at[inner] = left[here] + right
-
     def values(self, bins: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.nodes(bins)]
+        return walk.values(self, bins)
 
 
 def _shrunk(g: np.ndarray | float, l1: float):
@@ -119,30 +108,37 @@ def binned(data: DataFrame, vector: str, bins: int = BINS) -> DataFrame:
 
 
 def _bins(batch: pa.RecordBatch) -> np.ndarray:
-    raw = batch.column("bins").to_pylist()
-    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
-
-
-def _margins(batch: pa.RecordBatch, rows: np.ndarray, recent: Sequence[Sequence[Tree]]) -> np.ndarray:
-    """Predictions of every model, rows x models, with the trees not yet written down."""
-    known = batch.column("margins").flatten().to_numpy().reshape(len(batch), -1).copy()
+    col = batch.column("bins")
+    wide = np.int64 if pa.types.is_large_binary(col.type) else np.int32
+    _, ends, data = col.buffers()
+    ends = np.frombuffer(ends, wide)[col.offset : col.offset + len(col) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].reshape(len(col), -1)
+
+
+def _margins(record: Mapping[str, pa.Scalar], x: np.ndarray, base: Sequence[float], recent: Sequence[Sequence[Tree]]) -> np.ndarray:
+    """Predictions of every model, models x rows of a block, with the trees not yet written down."""
+    if "margins" in record:
+        known = np.frombuffer(record["margins"].as_buffer()).reshape(len(base), -1).copy()
+    else:
+        known = np.repeat(np.array(base, float)[:, None], len(x), axis=1)
     for m, trees in enumerate(recent):
         for tree in trees:
-            known[:, m] += tree.values(rows)
+            known[m] += tree.values(x)
     return known
 
 
 HISTOGRAMS = "model int, node int, feature int, g array<double>, n array<double>"
 
 
-def _chosen(batch: pa.RecordBatch, share: float, salt: str) -> np.ndarray:
+def _chosen(record: Mapping[str, pa.Scalar], n: int, share: float, salt: str) -> np.ndarray:
     if share >= 1:
-        return np.ones(len(batch), bool)
+        return np.ones(n, bool)
     low = int(share * 2**32)
-    return np.array([zlib.crc32(f"{salt}:{c}".encode()) < low for c in batch.column("card_id").to_pylist()])
+    return np.array([zlib.crc32(f"{salt}:{c}".encode()) < low for c in record["card_id"].as_py()])
 
 
 def _histograms(
+    base: Sequence[float],
     recent: Sequence[Sequence[Tree]],
     growing: Sequence[Tree | None],
     active: Sequence[Sequence[int]],
@@ -157,17 +153,13 @@ def _histograms(
         total: dict[int, np.ndarray] = {}
         error: dict[int, np.ndarray] = {}
         used: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if not len(batch):
-                continue
-            rows, y = _bins(batch), batch.column("target").to_numpy()
-            fold, margins = batch.column("fold").to_numpy(), _margins(batch, rows, recent)
-            width = rows.shape[1]
-            chosen = _chosen(batch, p.row_share, f"row{p.seed}:{number}")
+        for rows, y, fold, record in walk.opened(batches, np.uint8):
+            margins, width = _margins(record, rows, base, recent), rows.shape[1]
+            chosen = _chosen(record, len(rows), p.row_share, f"row{p.seed}:{number}")
             for m, tree in enumerate(growing):
                 if tree is None:
                     continue
-                gap = margins[:, m] - y
+                gap = margins[m] - y
                 held = fold == m
                 error[m] = error.get(m, 0) + np.array([(gap[held] ** 2).sum(), held.sum()])
                 if m not in used:
@@ -177,22 +169,25 @@ def _histograms(
                         if zlib.crc32(f"col{p.seed}:{number}:{m}:{j}".encode()) < p.feature_share * 2**32
                     ]
                     used[m] = np.array(some or [number % width])
-                place = np.full(len(tree.feature), -1)
-                place[list(active[m])] = np.arange(len(active[m]))
-                at = place[tree.nodes(rows)]
-                take = ~held & chosen & (at >= 0)
-                if not take.any():
+                place = {node: i for i, node in enumerate(active[m])}
+                at = np.full(len(rows), -1)
+                for node, some in walk.reached(tree, rows):
+                    if node in place:
+                        at[some] = place[node]
+                take = np.flatnonzero(~held & chosen & (at >= 0))
+                if not len(take):
                     continue
-                cols = used[m]
-                cell = (at[take, None] * len(cols) + np.arange(len(cols))) * bins + rows[take][:, cols]
-                size = len(active[m]) * len(cols) * bins
-                g = np.bincount(cell.ravel(), np.repeat(gap[take], len(cols)), size)
-                n = np.bincount(cell.ravel(), minlength=size)
-                total[m] = total.get(m, 0) + np.stack([g, n])
+                cols, size = used[m], len(active[m]) * bins
+                if m not in total:
+                    total[m] = np.zeros((2, len(active[m]), len(cols), bins))
+                first, gap = at[take] * bins, gap[take]
+                for i, j in enumerate(cols):
+                    cell = first + rows[:, j][take]
+                    total[m][0, :, i] += np.bincount(cell, gap, size).reshape(-1, bins)
+                    total[m][1, :, i] += np.bincount(cell, minlength=size).reshape(-1, bins)
         out = []
         for m, (g, n) in total.items():
-            shape = len(active[m]), len(used[m]), bins
-            for i, (gs, ns) in enumerate(zip(g.reshape(shape), n.reshape(shape))):
+            for i, (gs, ns) in enumerate(zip(g, n)):
                 out += [(m, active[m][i], int(j), a, b) for j, a, b in zip(used[m], gs, ns)]
         out += [(m, -1, -1, e[:1], e[1:]) for m, e in error.items()]
         columns = list(zip(*out)) or [[]] * 5
@@ -239,11 +234,10 @@ def _best_cuts(p: Params):
     return run
 
 
-def _level(rows: DataFrame, recent, growing, active, p: Params, number: int, bins: int) -> dict:
+def _level(rows: DataFrame, base, recent, growing, active, p: Params, number: int, bins: int) -> dict:
     """``(model, node) -> best cut``; node -1 has the held-out error."""
     best = (
-        rows.where("target IS NOT NULL")
-        .mapInArrow(_histograms(recent, growing, active, p, number, bins), HISTOGRAMS)
+        rows.mapInArrow(_histograms(base, recent, growing, active, p, number, bins), HISTOGRAMS)
         .repartition("model", "node", "feature")
         .mapInArrow(_best_cuts(p), CUTS)
         .groupBy("model", "node")
@@ -253,14 +247,17 @@ def _level(rows: DataFrame, recent, growing, active, p: Params, number: int, bin
     return {(r["model"], r["node"]): r["best"] for r in best}
 
 
-def _written(rows: DataFrame, recent: Sequence[Sequence[Tree]]) -> DataFrame:
+def _written(blocks: DataFrame, base: Sequence[float], recent: Sequence[Sequence[Tree]]) -> DataFrame:
+    kept = [c for c in blocks.columns if c != "margins"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margins = _margins(batch, _bins(batch), recent) if len(batch) else np.zeros((0, 1))
-            at = batch.schema.get_field_index("margins")
-            yield batch.set_column(at, "margins", pa.array(list(margins), pa.list_(pa.float64())))
+        for x, _, _, record in walk.opened(batches, np.uint8):
+            margins = pa.array([_margins(record, x, base, recent).tobytes()], pa.binary())
+            same = [pa.array([record[c].as_py()], record[c].type) for c in kept]
+            yield pa.RecordBatch.from_arrays([*same, margins], [*kept, "margins"])
 
-    return staged(rows.mapInArrow(run, rows.schema), "margins")
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocks.select(*kept).schema)
+    return staged(blocks.mapInArrow(run, f"{types}, margins binary"), "margins")
 
 
 def train(rows: DataFrame, k: int, p: Params, bins: int = BINS) -> tuple[list[float], list[list[Tree]]]:
@@ -277,7 +274,7 @@ def train(rows: DataFrame, k: int, p: Params, bins: int = BINS) -> tuple[list[fl
     for m in range(k):
         kept = [v for f, v in stats.items() if f != m]
         base.append(sum(s for _, s in kept) / max(1, sum(n for n, _ in kept)))
-    now = rows.withColumn("margins", F.array(*[F.lit(float(b)) for b in base]))
+    now = walk.blocks(rows, _bins, "bins", "bin-blocks", cards=p.row_share < 1)
     models: list[list[Tree]] = [[] for _ in range(k)]
     errors: list[list[float]] = [[] for _ in range(k)]  # before each tree
     open_ = [m in stats for m in range(k)]
@@ -290,7 +287,7 @@ def train(rows: DataFrame, k: int, p: Params, bins: int = BINS) -> tuple[list[fl
             if not any(active):
                 break
             last = number == p.trees  # one more pass, for the error of the last tree
-            best = _level(now, recent, growing, active, p, number, bins)
+            best = _level(now, base, recent, growing, active, p, number, bins)
             if not depth:
                 for m, tree in enumerate(growing):
                     if tree is not None and (m, -1) in best:
@@ -323,7 +320,7 @@ def train(rows: DataFrame, k: int, p: Params, bins: int = BINS) -> tuple[list[fl
             if tree is not None:
                 models[m].append(tree)
         if max(len(t) for t in models) - since >= RECENT:
-            now = _written(now, [trees[since:] for trees in models])
+            now = _written(now, base, [trees[since:] for trees in models])
             since = max(len(t) for t in models)
             # Models that stopped earlier have no later trees, so one mark serves all.
     return base, [trees[: int(np.argmin(e))] if e else [] for trees, e in zip(models, errors)]
@@ -335,18 +332,21 @@ def predict(rows: DataFrame, base: Sequence[float], models: Sequence[Sequence[Tr
     base, models = list(base), [list(m) for m in models]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in walk.joined(batches):
             rows, fold = _bins(batch), batch.column("fold").to_numpy()
-            every = np.empty((len(batch), len(base)))
+            every = np.zeros((len(batch), len(base)))
             for m, trees in enumerate(models):
-                every[:, m] = base[m] + sum((t.values(rows) for t in trees), np.zeros(len(rows)))
+                # A train card is told by its own fold's model alone.
+                asked = np.flatnonzero((fold == m) | (fold < 0))
+                some = np.asfortranarray(rows[asked])
+                every[asked, m] = base[m] + sum((t.values(some) for t in trees), np.zeros(len(asked)))
             own = every[np.arange(len(batch)), np.maximum(fold, 0)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("card_id", "target", "fold")), pa.array(np.where(fold >= 0, own, every.mean(axis=1)))],
                 ["card_id", "target", "fold", name],
             )
 
-    return rows.drop("margins").mapInArrow(run, f"card_id string, target double, fold int, `{name}` double")
+    return rows.mapInArrow(run, f"card_id string, target double, fold int, `{name}` double")
 
 
 def slot(settings: Mapping[str, object]) -> Params:
