@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,40 @@ def test_selection_finds_the_signal(table):
     assert sorted(out.columns) == sorted(["card_id", "outliers", "target", "a", "b"])
 
 
+def test_passes_share_one_layout_and_fit_at_the_same_time(table, monkeypatch):
+    wide = table.withColumns({"noise": F.rand(3), "gap": F.when(F.col("a") > 0, F.col("c"))})
+    names, learner = ["a", "b", "c", "noise", "gap"], oof.gbt(maxIter=3, maxDepth=3)
+    whole = scaling.model_inputs(wide, names)
+    kept = names
+    for size in (4, 3, 2):  # one model after the other, each pass laid out anew
+        data = oof.vectors(whole, kept)
+        found = [selection.feature_importance(data, kept, learner, f) for f in (0, 1)]
+        kept = [r["feature"] for r in selection.top_k_features(found[0].union(found[1]), size).collect()]
+
+    laid, plain, both = [], selection.feature_importance, threading.Barrier(2, timeout=120)
+
+    def vectors(df, features):
+        laid.append(df.filter("fold = -1").count())
+        return oof.vectors(df, features)
+
+    def together(data, features, estimator, fold):
+        both.wait()
+        assert data.first()[oof.VECTOR].size == len(features)
+        return plain(data, features, estimator, fold)
+
+    monkeypatch.setattr(selection, "vectors", vectors)
+    monkeypatch.setattr(selection, "feature_importance", together)
+    out = selection.select_by_importance(wide, (4, 3, 2), estimator=learner)
+    assert out.columns == ["card_id", "outliers", "target", *kept]
+    assert out.count() == 240 and laid == [0]
+
+
+def test_slices_keep_rows_and_order(table):
+    data = oof.vectors(table, FEATURES)
+    rows = lambda df: {(r["card_id"], r["target"], r["fold"], tuple(r[oof.VECTOR])) for r in df.collect()}
+    assert rows(selection.sliced(data, [2, 0])) == rows(oof.vectors(table, ["c", "a"]))
+
+
 def test_components_are_orthogonal_and_ordered(table):
     pdf = scaling.embed_2d(table, FEATURES).toPandas()
     assert pdf["umap0"].var() >= pdf["umap1"].var()

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from cardloom.operators.profiles import agg_spec
 from cardloom.sources import readers, staging
+from cardloom.sources import tpch_cards as X
 
 
 def write(path, text):
@@ -136,3 +137,28 @@ def test_parquet_of_another_schema_is_refused(spark, tmp_path):
         readers.read_cards(spark, path + "2", "parquet")
     row.withColumn("feature_3", F.lit(7).cast("smallint")).write.parquet(path + "3")
     assert readers.read_cards(spark, path + "3", "parquet").first().feature_3 == 7
+
+
+def test_lines_are_not_shuffled_to_meet_a_few_shops(spark, tmp_path):
+    def table(name, *columns, n=10):
+        spark.range(n).selectExpr(*columns).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    table("nation", "int(id) n_nationkey", "int(id % 5) n_regionkey", "string(id) n_name")
+    # Shop 3 has no nation, shop 4 one that is not there, shop 5 is there twice, with nation 0 too.
+    shop = "if(id = 10, 5, id) s_suppkey", "CASE id WHEN 3 THEN NULL WHEN 4 THEN 99 ELSE int(id % 10) END s_nationkey"
+    table("supplier", *shop, n=11)
+    table("part", "id p_partkey", "int(id) p_size", "string(id) p_brand")
+    table("orders", "id o_orderkey", "id o_custkey", "'F' o_orderstatus", "'1-X' o_orderpriority",
+          "timestamp_ntz'2001-05-03 00:00:00' o_orderdate")
+    table("lineitem", "id % 10 l_orderkey", "id % 10 l_partkey", "nullif(id % 10, 9) l_suppkey", "1 l_linenumber",
+          "1D l_quantity", "double(id) l_extendedprice", "'A' l_returnflag", "'F' l_linestatus", n=40)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200k")
+    try:
+        log = X.hist_log(spark, str(tmp_path))
+        assert "hashpartitioning(l_suppkey" not in log._jdf.queryExecution().executedPlan().toString()
+        got = {(r["city_id"], r["state_id"]): r["n"] for r in log.groupBy("city_id", "state_id").agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {(c, c % 5): 8 if c == 0 else 4 for c in (0, 1, 2, 5, 6, 7, 8)}
