@@ -112,7 +112,8 @@ class Grams:
 
 def fold_grams(data: DataFrame, vector: str, folds: Sequence[str] = ("fold",)) -> Grams:
     """From rows with a vector column, ``target`` and fold columns. Rows without a target, and
-    per fold column those with a negative fold, are left out; values must be finite."""
+    per fold column those with a negative fold, are left out; values must be finite. The rows are
+    read twice, so what takes joins or shuffles to make should be a stage."""
     rows = data.where("target IS NOT NULL").select(
         *folds, F.col("target").cast("double").alias("target"), vector_to_array(vector).alias("x")
     )

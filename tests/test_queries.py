@@ -8,6 +8,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, differences
 from checks.queries import QUERIES
+from cardloom.models import gram
 from cardloom.operators import profiles
 from cardloom.sources import readers, staging
 from cardloom.sources import tpch_cards as X
@@ -57,6 +58,15 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
+def test_gram_ridge_passes_read_a_stage(spark, sample, monkeypatch):
+    """One plan of all repeats would be in the driver at a time, and run once per pass."""
+    seen, made = [], gram.fold_grams
+    monkeypatch.setattr(gram, "fold_grams", lambda data, *a: seen.append(data) or made(data, *a))
+    assert queries()["gram_ridge"](spark, sample).count() == 54
+    (data,) = seen
+    assert "Scan parquet" in plan(data) and "Exchange" not in plan(data) and "Join" not in plan(data)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
