@@ -109,3 +109,20 @@ def test_merchants_are_made_once(spark, hot):
     got = merchants.card_merchant_profile(rows, shops, "n_")
     assert got.count() == (201 if hot else 200) - 1
     assert made.value == 13
+
+
+@pytest.mark.parametrize("batch", [1, 5, 10_000])
+def test_placed_cuts_equal_those_merged_from_states(spark, batch):
+    spec = {
+        "merchant_id": ("nunique",), "purchase_amount": profiles.SIX, "installments": ("small_nunique", "mean", "count"),
+        "purchase_date": ("min", "max"), "category_1": ("count", "size"), "gap": profiles.SIX,
+    }
+    made = [cuts.Cut("a_", -6, None, spec), cuts.Cut("b_", -9, -4, spec), cuts.Cut("c_", -1, 100, {"gap": ("sum", "var")})]
+    rows = log(spark, 40).withColumn("gap", F.when(F.crc32("merchant_id") % 3 == 0, F.col("purchase_amount")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = cuts.cut_profiles(rows.repartition("card_id"), "card_id", made, placed=True)
+        assert "HashAggregate" in plan(got) and "skewness" not in plan(got)
+        close(got, cuts.cut_profiles(rows, "card_id", made))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
