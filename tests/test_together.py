@@ -111,6 +111,42 @@ def test_merchants_are_made_once(spark, hot):
     assert made.value == 13
 
 
+def by_sql(spark, rows, cards, columns, prefix):
+    """Each card with the statistics of its rows, as plain aggregates and a join."""
+    stats = [F.expr(sql.replace("{c}", c) + f" AS {prefix}{c}_{s}") for c in columns for s, sql in encode._ENCODED_SQL.items()]
+    return cards.join(rows.groupBy("card_id").agg(*stats), "card_id", "left")
+
+
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_placed_encodings_equal_plain_aggregates(spark, batch):
+    """Cards that go on over batches, come twice, have no rows, no values or no id."""
+    nan = float("nan")
+    values = [(f"c{i % 9}", None if i % 4 == 0 else (i * 37 % 11) / 3, 1e8 + i % 3, None if i % 9 != 3 else 2.5) for i in range(120)]
+    values += [("one", 0.1, None, None), ("nan", nan, nan, 1.0), ("nan", 1.0, nan, nan), ("flat", 0.1, 0.1, 0.1), ("flat", 0.1, 0.1, 0.1)]
+    rows = spark.createDataFrame(values, "card_id string, a double, b double, c double")
+    ids = [*{v[0] for v in values}, "c1", "c1", "none", "none", None, None]
+    cards = spark.createDataFrame([(x,) for x in ids], "card_id string")
+    want = by_sql(spark, rows, cards, "abc", "p_")
+    counted = cards.groupBy("card_id").agg(F.count(F.lit(1)).alias("__copies"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        joined = encode.join_encoding_left(counted, rows.repartition("card_id").withColumn("__in", F.lit(1)))
+        got = encode.placed_encoding_profile(joined, "abc", "p_")
+        assert got.columns == want.columns
+        show = lambda t: sorted(str([f"{v:.9g}" if isinstance(v, float) else v for v in r]) for r in t.collect())
+        assert show(got) == show(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_wide_results_of_encodings_are_not_aggregated_or_shuffled(spark):
+    rows = log(spark, 0)
+    cards = rows.where("card_id IS NOT NULL").select("card_id").distinct().withColumn("target", F.crc32("card_id") % 11 / 3.0)
+    text = plan(encode.oof_target_encode(rows, cards, "p_", ["city_id", "category_2"], k=3))
+    assert "var_samp" not in text and text.count("MapInArrow") == 1
+    assert "Exchange" not in text[: text.index("MapInArrow")]
+
+
 @pytest.mark.parametrize("batch", [1, 5, 10_000])
 def test_placed_cuts_equal_those_merged_from_states(spark, batch):
     spec = {
